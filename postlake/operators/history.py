@@ -201,13 +201,14 @@ def latest_history(history: DataFrame) -> DataFrame:
 def observation_flags(observations: DataFrame, known: DataFrame | None = None, width: str = "day") -> DataFrame:
     """Add ``is_new`` and ``content_changed`` per observation.
 
-    Content changed when the caption differs from the observation before, or the permalink or
-    type differ from the *first* observation: neither is updated once stored. ``known`` are
-    the current posts that the observations continue.
+    ``first_media_url`` is the file URL of the post's first observation in the batch. Content
+    changed when the caption differs from the observation before, or the permalink or type differ
+    from the *first* observation: neither is updated once stored. ``known`` are the current
+    posts that the observations continue.
     """
     rows = carry(
         ranked(observations), ["ig_media_id"], ARRIVAL,
-        previous=["caption"], first=["permalink", "media_type"], width=width,
+        previous=["caption"], first=["permalink", "media_type", "media_url"], width=width,
     )
     stored = F.lit(None).cast("struct<caption:string,permalink:string,media_type:string>")
     if known is not None:
@@ -218,12 +219,15 @@ def observation_flags(observations: DataFrame, known: DataFrame | None = None, w
     fresh = F.col("prev").isNull() & F.col("_stored").isNull()
     # Field by field: a missing ``prev`` means the stored row, a null caption is a value.
     caption = F.when(F.col("prev").isNull(), F.col("_stored.caption")).otherwise(F.col("prev.caption"))
-    kept = F.when(F.col("_stored").isNotNull(), F.struct("_stored.permalink", "_stored.media_type")).otherwise(F.col("head"))
+
+    def kept(name: str) -> Column:
+        return F.when(F.col("_stored").isNotNull(), F.col(f"_stored.{name}")).otherwise(F.col(f"head.{name}"))
+
     changed = ~(
         F.col("caption").eqNullSafe(caption)
-        & F.col("permalink").eqNullSafe(kept["permalink"])
-        & F.col("media_type").eqNullSafe(kept["media_type"])
-    )
-    return rows.withColumns({"is_new": fresh, "content_changed": ~fresh & changed}).drop(
-        "prev", "head", "_stored"
+        & F.col("permalink").eqNullSafe(kept("permalink"))
+        & F.col("media_type").eqNullSafe(kept("media_type"))
     )
+    return rows.withColumns(
+        {"is_new": fresh, "content_changed": ~fresh & changed, "first_media_url": F.col("head.media_url")}
+    ).drop("prev", "head", "_stored")

@@ -103,18 +103,21 @@ def validate_pages(pages: DataFrame) -> DataFrame:
 
     Items are exploded, checked and counted back per page; the count combines map-side.
     """
-    parsed = with_page_items(pages).select("sync_run_id", "arrival_seq", "items")
-    items = parsed.select("sync_run_id", "arrival_seq", F.explode_outer("items").alias("payload"))
-    checked = with_validation(items)
-    is_item = F.col("payload").isNotNull()
-    counts = checked.groupBy("sync_run_id", "arrival_seq").agg(
-        F.count_if(is_item).alias("items"),
-        F.count_if(is_item & (F.size("errors") > 0)).alias("invalid_items"),
+    parsed = with_page_items(pages)
+    items = parsed.select(
+        "sync_run_id", "arrival_seq", F.col("items").isNotNull().alias("readable"),
+        F.explode_outer("items").alias("payload"),
     )
-    readable = parsed.select("sync_run_id", "arrival_seq", F.col("items").isNotNull().alias("readable"))
-    return counts.join(readable, ["sync_run_id", "arrival_seq"]).select(
-        "sync_run_id", "arrival_seq", "items", "invalid_items",
-        (F.col("readable") & (F.col("invalid_items") == 0)).alias("accepted"),
+    is_item = F.col("payload").isNotNull()
+    bad_item = is_item & (F.size("errors") > 0)
+    return (
+        with_validation(items)
+        .groupBy("sync_run_id", "arrival_seq")
+        .agg(
+            F.count_if(is_item).alias("items"),
+            F.count_if(bad_item).alias("invalid_items"),
+            F.bool_and(F.col("readable") & ~bad_item).alias("accepted"),
+        )
     )
 
 

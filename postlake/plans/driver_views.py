@@ -27,6 +27,7 @@ DUCKDB = {
     "meta_ts": "strftime({0}, '%Y-%m-%dT%H:%M:%S+0000')",
     "ts": "CAST({0} AS TIMESTAMP)",
     "joined": "string_agg({0}, ',' ORDER BY {1})",
+    "us": "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')",
 }
 
 _ID = "'00000000-0000-4000-8000-' || lpad(CAST({0} AS STRING), 12, '0')"
@@ -169,7 +170,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """
         SELECT event_id AS delivery_no, 'q-' || CAST(user_id AS STRING) || '-' || CAST(k % 10 AS STRING) AS message_id, @ts{ts} AS delivered_at,
-               'h' || CAST(user_id % 25 AS STRING) AS hashtag_id, user_id
+               'h' || CAST(user_id % 40 AS STRING) AS hashtag_id, user_id
         FROM (SELECT event_id, user_id, ts, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events) AS e
         """,
     ),
@@ -231,7 +232,7 @@ TABLES = (
 )
 
 
-_MARK = re.compile(r"@(" + "|".join(SPARK) + r")\{([^{}]*)\}")
+_MARK = re.compile(r"@(" + "|".join(DUCKDB) + r")\{([^{}]*)\}")
 
 
 def _fill(sql: str, dialect: dict[str, str]) -> str:
@@ -243,19 +244,24 @@ def _fill(sql: str, dialect: dict[str, str]) -> str:
         sql = filled
 
 
-def duckdb_with(*names: str) -> str:
-    """``WITH`` clause that defines the named views and whatever they read."""
+def duckdb_with(*names: str, extra: dict[str, tuple[tuple[str, ...], str]] | None = None) -> str:
+    """Common table expressions for the named views and whatever they read."""
+    known = VIEWS | (extra or {})
     ordered: list[str] = []
 
     def visit(name: str) -> None:
-        for needed in VIEWS[name][0]:
+        for needed in known[name][0]:
             visit(needed)
         if name not in ordered:
             ordered.append(name)
 
     for name in names:
         visit(name)
-    return ",\n".join(f"{name} AS ({_fill(VIEWS[name][1], DUCKDB)})" for name in ordered)
+    return ",\n".join(f"{name} AS ({duckdb_text(known[name][1])})" for name in ordered)
+
+
+def duckdb_text(sql: str) -> str:
+    return _fill(sql, DUCKDB)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -15,23 +15,31 @@ def with_page_items(pages: DataFrame) -> DataFrame:
     return pages.withColumn("page", F.from_json("body", PAGE_BODY)).withColumn("items", F.col("page.data"))
 
 
-def land_pages(pages: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
+def land_pages(pages: DataFrame, landed: DataFrame | None = None) -> DataFrame:
     """One ``data_points`` row per item, positions counted from 0.
 
     ``page_number`` restarts with every attempt of a run, ``position_overall`` continues.
-    ``offsets`` (sync_run_id, items_seen, pages by attempt) continues runs that landed pages
-    before. The window ranges over the pages of one run, which the item cap bounds; items are
-    exploded after it.
+    ``landed`` (sync_run_id, attempt, items: one row per page landed before) continues runs of
+    earlier batches. The windows range over the pages of one run, which the item cap bounds;
+    items are exploded after them.
     """
     parsed = with_page_items(pages).filter(F.col("items").isNotNull())
     arrived = Window.partitionBy("sync_run_id").orderBy("arrival_seq")
     attempts = Window.partitionBy("sync_run_id", "attempt").orderBy("arrival_seq")
     before = F.coalesce(F.sum(F.size("items")).over(arrived.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = parsed.withColumns({"_offset": before, "page_number": F.row_number().over(attempts)})
-    if offsets is not None:
-        earlier = offsets.select("sync_run_id", F.col("items_seen").alias("_seen"))
-        placed = placed.join(earlier, "sync_run_id", "left").withColumn(
-            "_offset", F.col("_offset") + F.coalesce("_seen", F.lit(0))
+    if landed is not None:
+        seen = landed.groupBy("sync_run_id").agg(F.sum("items").alias("_seen"))
+        pages_before = landed.groupBy("sync_run_id", "attempt").agg(F.count("*").alias("_pages"))
+        placed = (
+            placed.join(seen, "sync_run_id", "left")
+            .join(pages_before, ["sync_run_id", "attempt"], "left")
+            .withColumns(
+                {
+                    "_offset": F.col("_offset") + F.coalesce("_seen", F.lit(0)),
+                    "page_number": F.col("page_number") + F.coalesce("_pages", F.lit(0)),
+                }
+            )
         )
     items = placed.select("*", F.posexplode("items").alias("position_in_page", "payload"))
     position = F.col("_offset") + F.col("position_in_page")
@@ -45,6 +53,14 @@ def land_pages(pages: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
     )
 
 
+def page_log(pages: DataFrame) -> DataFrame:
+    """One row per page that parses: the record of how far each run has landed."""
+    return with_page_items(pages).filter(F.col("items").isNotNull()).select(
+        "sync_run_id", "attempt", "arrival_seq", F.size("items").alias("items"),
+        F.when(F.col("page.paging.next").isNotNull(), F.col("page.paging.cursors.after")).alias("next_cursor"),
+    )
+
+
 def raw_run_scan(data_points: DataFrame, sync_run_id: str | Column) -> DataFrame:
     """Raw rows of one run in response order."""
     return data_points.filter(F.col("sync_run_id") == sync_run_id).orderBy("position_overall")

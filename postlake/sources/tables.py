@@ -1,110 +1,125 @@
 """Typed readers and writers of the six tables.
 
-Snapshot tables (posts, assets, runs, tags) are written whole under ``v=<version>``. A version
-counts once its ``_SUCCESS`` marker exists, so a job that dies half-way leaves the previous
-version current and a repeated job overwrites its own attempt.
+Storage model. Log tables (raw rows, history) only grow: each batch owns one folder
+``batch=<n>``. State tables (posts, assets) are kept as a log of the rows each batch changed
+plus an optional compacted base ``v=<n>``; the current state is the newest row per key. A batch
+therefore writes only what it touched, never the whole table, and a retried batch replaces its
+own folder. A folder counts once its ``_SUCCESS`` marker exists.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlake.schemas import TABLES
 
-# Physical layout. Pruning on the tag or the day follows from the folder names.
-PARTITIONS = {
-    "media_posts": ["hashtag_id"],
-    "media_post_history": ["hashtag_id"],
-    "data_points": ["fetched_on"],
-}
-# Sort within files, so that row-group statistics can skip on the listing's order.
+# Physical layout: pruning by tag follows from the folder names, and the sort lets row-group
+# statistics skip on the listing's order.
+PARTITIONS = {"media_posts": ["hashtag_id"], "media_post_history": ["hashtag_id"]}
 ORDER_WITHIN = {"media_posts": ["taken_at", "id"], "media_post_history": ["captured_at"]}
+KEYS = {"media_posts": "ig_media_id", "media_assets": "media_id", "hashtags": "id", "sync_runs": "id"}
+
+# Bookkeeping tables beside the six.
+EXTRA = {
+    "page_log": T.StructType()
+    .add("sync_run_id", "string").add("attempt", "integer").add("arrival_seq", "long")
+    .add("items", "integer").add("next_cursor", "string"),
+    "run_deltas": T.StructType()
+    .add("sync_run_id", "string").add("pages_fetched", "long").add("items_seen", "long")
+    .add("items_new", "long").add("items_updated", "long").add("metrics_recorded", "long")
+    .add("asset_jobs_enqueued", "long"),
+}
+
+
+def schema_of(table: str) -> T.StructType:
+    return TABLES.get(table) or EXTRA[table]
+
+
+def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Select the declared columns with the declared types; absent ones become null."""
+    present = set(df.columns)
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select the declared columns with the declared types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[table].fields])
+    return conform_to(df, schema_of(table))
 
 
-def _write(df: DataFrame, table: str, path: str, mode: str) -> None:
+def _write(df: DataFrame, table: str, path: str) -> None:
     out = conform(df, table)
     folders = PARTITIONS.get(table, [])
-    if "fetched_on" in folders:
-        out = out.withColumn("fetched_on", F.to_date("fetched_at"))
     if table in ORDER_WITHIN:
         out = out.sortWithinPartitions(*folders, *ORDER_WITHIN[table])
-    writer = out.write.mode(mode)
+    writer = out.write.mode("overwrite")
     if folders:
         writer = writer.partitionBy(*folders)
     writer.parquet(path)
 
 
-def write_snapshot(df: DataFrame, table: str, root: str, version: int) -> None:
-    _write(df, table, f"{root}/{table}/v={version}", "overwrite")
-
-
-def current_version(spark: SparkSession, table: str, root: str, below: int | None = None) -> int | None:
-    """Newest finished version (older than ``below`` when given)."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return None
-    versions = []
-    for status in fs.listStatus(folder):
-        path = status.getPath()
-        if path.getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-            versions.append(int(path.getName()[2:]))
-    return max((v for v in versions if below is None or v < below), default=None)
-
-
-def read_snapshot(spark: SparkSession, table: str, root: str, below: int | None = None) -> DataFrame | None:
-    version = current_version(spark, table, root, below)
-    if version is None:
-        return None
-    return _typed(spark, table, f"{root}/{table}/v={version}")
-
-
 def append_batch(df: DataFrame, table: str, root: str, batch: int) -> None:
-    """Add one batch to an append-only table; a retried batch replaces its own folder."""
-    _write(df, table, f"{root}/{table}/batch={batch}", "overwrite")
-
-
-def read_log(spark: SparkSession, table: str, root: str, below: int | None = None) -> DataFrame:
-    """An append-only table, optionally only the batches before ``below``."""
-    if current_batches(spark, table, root) == 0:
-        return spark.createDataFrame([], TABLES[table])
-    log = _typed(spark, table, f"{root}/{table}", keep=("batch",))
-    if below is not None:
-        log = log.filter(F.col("batch") < below)
-    return log.drop("batch")
+    """Write one batch of a log or state table; a retry replaces the same folder."""
+    _write(df, table, f"{root}/{table}/batch={batch}")
 
 
-def current_batches(spark: SparkSession, table: str, root: str) -> int:
+def finished(spark: SparkSession, table: str, root: str, kind: str = "batch") -> list[int]:
+    """Numbers of the finished ``batch=`` or ``v=`` folders (a listing of names, no data)."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(folder):
-        return 0
-    return sum(1 for status in fs.listStatus(folder) if status.getPath().getName().startswith("batch="))
-
-
-def _typed(spark: SparkSession, table: str, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    schema = TABLES[table]
-    frame = spark.read.schema(_with_folders(schema, table, keep)).parquet(path)
-    return frame.select(*schema.names, *keep)
-
-
-def _with_folders(schema, table: str, keep: tuple[str, ...]):
-    from pyspark.sql import types as T
-
-    out = T.StructType(list(schema.fields))
-    for name in keep:
-        out.add(name, T.LongType())
-    if "fetched_on" in PARTITIONS.get(table, []):
-        out.add("fetched_on", T.DateType())
-    return out
+        return []
+    names = [status.getPath() for status in fs.listStatus(folder)]
+    done = [p.getName() for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(name.split("=")[1]) for name in done if name.startswith(f"{kind}="))
+
+
+def read_log(
+    spark: SparkSession, table: str, root: str, below: int | None = None, above: int = -1, with_batch: bool = False
+) -> DataFrame:
+    """All rows of the batches in (above, below)."""
+    schema = schema_of(table)
+    batches = [b for b in finished(spark, table, root) if b > above and (below is None or b < below)]
+    if not batches:
+        empty = T.StructType(list(schema.fields)).add("batch", T.LongType())
+        log = spark.createDataFrame([], empty)
+    else:
+        full = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]).add("batch", T.LongType())
+        log = (
+            spark.read.schema(full)
+            .option("basePath", f"{root}/{table}")
+            .parquet(*[f"{root}/{table}/batch={b}" for b in batches])
+        )
+    return log.select(*schema.names, *(["batch"] if with_batch else []))
+
+
+def read_current(spark: SparkSession, table: str, root: str, below: int | None = None) -> DataFrame:
+    """Current state of a state table: the newest row per key over base and log. The newest-row
+    aggregate combines map-side."""
+    versions = [v for v in finished(spark, table, root, "v") if below is None or v < below]
+    base = versions[-1] if versions else -1
+    rows = read_log(spark, table, root, below, above=base, with_batch=True)
+    if base >= 0:
+        compacted = spark.read.schema(schema_of(table)).parquet(f"{root}/{table}/v={base}")
+        rows = rows.unionByName(compacted.select(*schema_of(table).names).withColumn("batch", F.lit(base).cast("long")))
+    names = schema_of(table).names
+    newest = F.max_by(F.struct(*names), F.col("batch"))
+    return rows.groupBy(F.col(KEYS[table]).alias("_key")).agg(newest.alias("row")).select("row.*")
+
+
+def compact(spark: SparkSession, table: str, root: str) -> int | None:
+    """Fold a state table's log into a new base, as of its last finished batch."""
+    batches = finished(spark, table, root)
+    if not batches:
+        return None
+    _write(read_current(spark, table, root), table, f"{root}/{table}/v={batches[-1]}")
+    return batches[-1]
 
 
 def point_lookup(table: DataFrame, **keys: object) -> DataFrame:
