@@ -15,7 +15,6 @@ from postlake.operators.history import ARRIVAL, ranked, state_digest
 from postlake.schemas import OBSERVATION, TRACKED_FIELDS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-RUN_TTL_MS = 30 * 24 * 3600 * 1000
 
 _INPUT = [*OBSERVATION.names, "rank"]
 OUTPUT = (
@@ -26,31 +25,40 @@ OUTPUT = (
 
 
 class RecordChanges(StatefulProcessor):
-    """State per post: digests of the last recorded fields, and the runs already recorded. A
-    run's entry expires, because a finished run sends no more rows."""
+    """State per post: digests of the last recorded fields, and the runs already recorded.
+
+    Every state call is a round trip between worker and executor, so a post costs a fixed few
+    per micro-batch: read both, append the new runs in one go, replace the digests.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         digests = ", ".join(f"{column} string" for column, _ in TRACKED_FIELDS)
         self.last = handle.getValueState("last", digests)
-        self.runs = handle.getMapState("runs", "sync_run_id string", "seen boolean", RUN_TTL_MS)
+        self.runs = handle.getListState("runs", "sync_run_id string")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         # A micro-batch may hold several observations of a post: restore their arrival order.
         frame = pd.concat(list(rows), ignore_index=True).sort_values(list(ARRIVAL), kind="stable")
-        last = tuple(self.last.get()) if self.last.exists() else None
-        marks = [f"_d_{column}" for column, _ in TRACKED_FIELDS]
-        keep, names = [], []
+        stored = self.last.get()
+        last = tuple(stored) if stored is not None else None
+        recorded = {run for (run,) in self.runs.get()} if last is not None else set()
+        marks = [f"digest_{column}" for column, _ in TRACKED_FIELDS]
+        keep, names, added = [], [], []
         for place, run, *digests in zip(frame.index, frame["sync_run_id"], *[frame[m] for m in marks]):
+            if run in recorded:
+                continue
             changed = [
                 name for i, (_, name) in enumerate(TRACKED_FIELDS) if last is None or last[i] != digests[i]
             ]
-            if changed and not self.runs.containsKey((run,)):
-                self.runs.updateValue((run,), (True,))
+            if changed:
                 last = tuple(digests)
+                recorded.add(run)
+                added.append((run,))
                 keep.append(place)
                 names.append(changed)
         if keep:
             self.last.update(last)
+            self.runs.appendList(added)
             out = frame.loc[keep, _INPUT].copy()
             out["changed_fields"] = names
             for name in ("position_overall", "like_count", "comments_count", "rank"):
@@ -64,15 +72,17 @@ class RecordChanges(StatefulProcessor):
 def stream_history(observations: DataFrame) -> DataFrame:
     """The observations that enter the history, emitted as they arrive.
 
-    Needs the RocksDB state store. Field digests, not the texts, are kept as state.
+    Needs the RocksDB state store. Field digests, not the texts, are kept as state. The list of
+    recorded runs grows by one id per history row; rows of one post that share a micro-batch
+    are bounded by the source's ``maxFilesPerTrigger``.
     """
     rows = ranked(observations).select(*_INPUT)
-    digests = {f"_d_{column}": state_digest((column,)) for column, _ in TRACKED_FIELDS}
+    digests = {f"digest_{column}": state_digest((column,)) for column, _ in TRACKED_FIELDS}
     return (
         rows.withColumns(digests)
         .withColumn("post", F.col("ig_media_id"))
         .groupBy("post")
         .transformWithStateInPandas(
-            statefulProcessor=RecordChanges(), outputStructType=OUTPUT, outputMode="Append", timeMode="ProcessingTime"
+            statefulProcessor=RecordChanges(), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
         )
     )
