@@ -12,8 +12,9 @@ from postlake.functions.scalars import (
     truncate_error,
     usage_summary,
 )
-from postlake.schemas import DEFAULT_ITEM_CAP
 from postlake.operators.history import observation_flags, record_changes
+from postlake.operators.validate import split_valid
+from postlake.schemas import DEFAULT_ITEM_CAP
 
 
 def resumable_run(runs: DataFrame) -> DataFrame:
@@ -128,9 +129,13 @@ def run_counters(observations: DataFrame, page: Column, runs: DataFrame | None =
     )
 
 
-def replay_summary(validated: DataFrame, observations: DataFrame) -> DataFrame:
-    """Per run: payloads reprocessed, posts created, posts changed, payloads invalid."""
+def replay_summary(validated: DataFrame) -> DataFrame:
+    """Per run: payloads reprocessed, posts created, posts changed, payloads invalid.
+
+    ``validated`` is the checked raw layer, with its ``errors`` column.
+    """
     invalid = validated.groupBy("sync_run_id").agg(F.count_if(F.size("errors") > 0).alias("invalid"))
+    observations, _ = split_valid(validated)
     applied = observation_flags(observations).groupBy("sync_run_id").agg(
         F.count("*").alias("reprocessed"),
         F.count_if("is_new").alias("created"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postlake.functions.captions import normalize_tag
 from postlake.functions.scalars import UUID_PATTERN, parse_source_ts
 from postlake.schemas import ERROR_BODY, JOB_BODY, MEDIA_TYPES, SOURCES
+from postlake.session import staged
 from postlake.sources.bronze import with_page_items
 
 # Error codes and statuses by what they mean.
@@ -27,24 +28,30 @@ MAX_COUNT = 2_147_483_647
 def with_validation(rows: DataFrame, payload: str = "payload") -> DataFrame:
     """Add the post fields read from the JSON text and ``errors``, the fields that break a rule.
 
-    Rules look at the raw JSON type, because a tolerant reader would turn the text ``"7"`` into
-    a number and 3.5 into null. An optional field may be absent but not JSON null.
+    One parse reads every named field as a variant, which keeps its raw JSON type: a typed
+    reader would turn the text ``"7"`` into a number and 3.5 into null. An optional field may be
+    absent but not JSON null.
     """
-    doc = rows.withColumn("_doc", F.try_parse_json(F.col(payload)))
+    names = ("id", "media_type", "timestamp", "permalink", "media_url", "caption", "like_count", "comments_count")
+    schema = ", ".join(f"{name} variant" for name in names) + ", _corrupt_record string"
+    parsed = rows.withColumn("_doc", F.from_json(payload, schema, {"mode": "PERMISSIVE"}))
 
     def kind(field: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get("_doc", f"$.{field}", "variant"))
+        return F.schema_of_variant(F.col(f"_doc.{field}"))
 
     def text(field: str) -> Column:
-        return F.when(kind(field) == "STRING", F.try_variant_get("_doc", f"$.{field}", "string"))
+        return F.when(kind(field) == "STRING", F.try_variant_get(F.col(f"_doc.{field}"), "$", "string"))
 
     def count(field: str) -> Column:
-        return F.when(kind(field).rlike(NUMERIC_KIND), F.try_variant_get("_doc", f"$.{field}", "decimal(38,6)"))
+        number = F.try_variant_get(F.col(f"_doc.{field}"), "$", "decimal(38,6)")
+        return F.when(kind(field).rlike(NUMERIC_KIND), number)
 
-    fields = {f"_k_{f}": kind(f).isNotNull() for f in ("media_url", "caption", "like_count", "comments_count")}
+    readable = F.col(payload).rlike(r"^\s*\{") & F.col("_doc").isNotNull() & F.col("_doc._corrupt_record").isNull()
+    fields = {f"_k_{f}": F.col(f"_doc.{f}").isNotNull() for f in ("media_url", "caption", "like_count", "comments_count")}
     fields |= {f"_{f}": text(f) for f in ("id", "media_type", "timestamp", "permalink", "media_url", "caption")}
     fields |= {f"_{f}": count(f) for f in ("like_count", "comments_count")}
-    read = doc.withColumns(fields)
+    fields["_readable"] = F.coalesce(readable, F.lit(False))
+    read = parsed.withColumns(fields)
 
     def whole(field: str) -> Column:
         value = F.col(f"_{field}")
@@ -69,7 +76,7 @@ def with_validation(rows: DataFrame, payload: str = "payload") -> DataFrame:
     broken = F.filter(
         F.array(*[F.when(~rule, F.lit(name)) for name, rule in rules.items()]), lambda e: e.isNotNull()
     )
-    errors = F.when(F.col("_doc").isNull(), F.array(F.lit("document"))).otherwise(broken)
+    errors = F.when(~F.col("_readable"), F.array(F.lit("document"))).otherwise(broken)
     named = {
         "errors": errors,
         "ig_media_id": F.col("_id"),
@@ -86,16 +93,18 @@ def with_validation(rows: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined rows)."""
+    """(good rows, quarantined rows). Best applied to a stored table: on an unstored one the
+    filter is pushed below the parsing and repeats it."""
     ok = F.size("errors") == 0
     return validated.filter(ok).drop("errors"), validated.filter(~ok)
 
 
 def observations_of(data_points: DataFrame) -> DataFrame:
-    """Valid raw rows as observations."""
+    """Valid raw rows as observations. The checked rows are stored once, because everything
+    built from observations reads them several times."""
     raw = data_points.select("sync_run_id", "hashtag_id", "source", "position_overall", "fetched_at", "payload")
-    good, _ = split_valid(with_validation(raw))
-    return good.drop("payload")
+    good, _ = split_valid(staged(with_validation(raw).drop("payload"), "checked"))
+    return good
 
 
 def validate_pages(pages: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from postlake.operators import tags as TG
 from postlake.operators import validate as V
 from postlake.plans import driver_views
 from postlake.plans.oracle import joined, mentions_sql, oracle, tags_sql
-from postlake.session import configure, shared_dir
+from postlake.session import configure, shared_dir, staged
 from postlake.sources import bronze as BZ
 from postlake.sources import tables as TB
 from postlake.streaming import ingest as ST
@@ -770,8 +770,7 @@ def _(i):
          ON f.sync_run_id = c.sync_run_id""",
 )
 def _(i):
-    raw = i.raw()
-    return RN.replay_summary(V.with_validation(raw.select("sync_run_id", "payload")), V.observations_of(raw))
+    return RN.replay_summary(staged(V.with_validation(i.raw().drop("id", "ig_media_id")), "checked"))
 
 
 OUTCOME = f""", keyed AS (SELECT *, {STORAGE_KEY} AS storage_key FROM files),

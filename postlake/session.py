@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -33,3 +33,16 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="postlake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For results that several branches of a later plan read: they scan the stored columns they
+    need instead of repeating the work, and a lost executor costs a re-read only. The folder
+    stays until its owner clears ``spark.checkpoint.dir``.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.schemas import TABLES
+from postlake.schemas import OBSERVATION, TABLES
 
 # Physical layout: pruning by tag follows from the folder names, and the sort lets row-group
 # statistics skip on the listing's order.
@@ -23,6 +23,7 @@ KEYS = {"media_posts": "ig_media_id", "media_assets": "media_id", "hashtags": "i
 
 # Bookkeeping tables beside the six.
 EXTRA = {
+    "observations": OBSERVATION,
     "page_log": T.StructType()
     .add("sync_run_id", "string").add("attempt", "integer").add("arrival_seq", "long")
     .add("items", "integer").add("next_cursor", "string"),

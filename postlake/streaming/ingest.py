@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake.functions.scalars import stable_id
 from postlake.operators.assets import ensure_pending, merge_assets
 from postlake.operators.history import change_history, latest_history, observation_flags
 from postlake.operators.posts import upsert_posts
-from postlake.operators.validate import observations_of, route_messages
+from postlake.operators.validate import route_messages, split_valid, with_validation
 from postlake.schemas import MAX_DELIVERIES
 from postlake.sources.bronze import land_pages, page_log, read_landing_stream
 from postlake.sources.tables import append_batch, read_current, read_log
@@ -27,8 +28,10 @@ def _curate(spark: SparkSession, batch: int, root: str) -> None:
     Everything is read back from the landed rows, so a retry starts from storage, and only
     rows of touched posts are written.
     """
-    raw = read_log(spark, "data_points", root, below=batch + 1, above=batch - 1)
-    observations = observations_of(raw)
+    raw = read_log(spark, "data_points", root, below=batch + 1, above=batch - 1).drop("id", "ig_media_id")
+    good, _ = split_valid(with_validation(raw))
+    append_batch(good, "observations", root, batch)
+    observations = read_log(spark, "observations", root, below=batch + 1, above=batch - 1)
     touched = observations.select("ig_media_id").distinct()
 
     posts = read_current(spark, "media_posts", root, below=batch).join(touched, "ig_media_id", "left_semi")
@@ -51,8 +54,6 @@ def _curate(spark: SparkSession, batch: int, root: str) -> None:
 def _progress(
     spark: SparkSession, observations: DataFrame, posts: DataFrame, assets: DataFrame, batch: int, root: str
 ) -> DataFrame:
-    from postlake.functions.scalars import stable_id
-
     flags = observation_flags(observations, posts).withColumn("media_id", stable_id(F.col("ig_media_id")))
     status = assets.select("media_id", F.col("status").alias("_status"))
     new_status = F.when(F.col("first_media_url").isNull(), "skipped").otherwise("pending")
