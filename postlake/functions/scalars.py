@@ -110,31 +110,37 @@ def decode_cursor(token: Column) -> Column:
 
 
 def usage_entries(app_usage: Column, business_usage: Column) -> Column:
-    """Both usage headers as one array of entries; unreadable parts are left out."""
-    app = F.from_json(app_usage, USAGE_ENTRY)
+    """Both usage headers as one array of entries; unreadable parts are left out.
+
+    The business header is a map of arrays. Its levels are opened as text one by one, so that a
+    malformed part does not take its neighbours with it.
+    """
+    def is_object(text: Column) -> Column:
+        return text.rlike(r"^\s*\{") & F.try_parse_json(text).isNotNull()
+
     groups = F.map_values(F.from_json(business_usage, "map<string,string>"))
-    nested = F.transform(groups, lambda text: F.from_json(text, f"array<struct<{USAGE_ENTRY.replace(' double', ': double')}>>"))
-    flat = F.flatten(F.filter(nested, lambda entries: entries.isNotNull()))
-    empty = F.filter(F.array(app), lambda _: F.lit(False))
-    return F.filter(
-        F.concat(F.array(app), F.coalesce(flat, empty)), lambda entry: entry.isNotNull()
-    )
+    lists = F.transform(groups, lambda text: F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>")))
+    nested = F.flatten(F.filter(lists, lambda entries: entries.isNotNull()))
+    texts = F.concat(F.array(app_usage), F.coalesce(nested, F.array().cast("array<string>")))
+    return F.transform(F.filter(texts, is_object), lambda text: F.from_json(text, USAGE_ENTRY))
 
 
 def usage_summary(app_usage: Column, business_usage: Column) -> Column:
     """struct(worst_pct, call_pct, cpu_pct, total_pct, regain_minutes); null without headers."""
-    entries = usage_entries(app_usage, business_usage)
+    # Bound by a one-element transform, so that the headers are parsed once per row.
+    return F.transform(F.array(usage_entries(app_usage, business_usage)), _summary_of)[0]
+
 
+def _summary_of(entries: Column) -> Column:
     def worst(field: str) -> Column:
         return F.array_max(F.transform(entries, lambda e: e[field]))
 
     call, cpu, total = worst("call_count"), worst("total_cputime"), worst("total_time")
     regain = worst("estimated_time_to_regain_access")
-    zero = F.lit(0.0)
     return F.when(
         F.size(entries) > 0,
         F.struct(
-            F.greatest(zero, call, cpu, total).alias("worst_pct"),
+            F.greatest(F.lit(0.0), call, cpu, total).alias("worst_pct"),
             call.alias("call_pct"),
             cpu.alias("cpu_pct"),
             total.alias("total_pct"),
