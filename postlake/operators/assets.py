@@ -77,16 +77,20 @@ def download_summary(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("outcome").agg(F.count("*").alias("files"))
 
 
-def asset_store(files: DataFrame, root: str, known: DataFrame | None = None) -> None:
-    """Write each distinct new object once, below a folder per first key level."""
+def asset_store(files: DataFrame, root: str, known: DataFrame | None = None, files_per_folder: int = 4) -> None:
+    """Write each distinct new object once, below a folder per first key level.
+
+    Digests spread evenly over the 256 folders; ``files_per_folder`` sets how many tasks share
+    one, so that the write can use 256 times as many tasks.
+    """
     keyed = with_storage_key(files)
     firsts = _first_arrivals(keyed.select("storage_key", "arrival"), known)
     objects = keyed.join(firsts, ["storage_key", "arrival"], "left_semi")
     out = objects.select("storage_key", "sha256", "size_bytes", "content_type", "content").withColumn(
         "p1", F.substring("sha256", 1, 2)
     )
-    # A folder receives one file per task, so rows of a folder are brought together first.
-    out.repartition("p1").write.mode("append").partitionBy("p1").parquet(root)
+    share = F.pmod(F.xxhash64("storage_key"), F.lit(files_per_folder))
+    out.repartition("p1", share).write.mode("append").partitionBy("p1").parquet(root)
 
 
 def ensure_pending(observations: DataFrame, assets: DataFrame | None = None) -> DataFrame:

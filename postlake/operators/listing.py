@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from postlake.functions.captions import strip_tag
 from postlake.functions.scalars import decode_cursor, encode_cursor, iso_millis, locator
-from postlake.operators.timeline import SLOT, slot_of
 from postlake.schemas import DEFAULT_PAGE_LIMIT, MAX_PAGE_LIMIT, MAX_TAG_LENGTH, MEDIA_TYPES
+from postlake.session import staged
 
 PROJECTION = (
     "id", "ig_media_id", "hashtag_name", "media_type", "caption", "caption_hashtags",
@@ -174,21 +174,24 @@ def media_document(rows: DataFrame, include_asset: bool = True, locator_prefix:
     return rows.select("id", F.when(F.col("asset_key").isNotNull(), with_file).otherwise(without).alias("document"))
 
 
-def paging_walk(posts: DataFrame, tags: DataFrame, args: ListArgs = ListArgs(), width: str = "day") -> DataFrame:
+def paging_walk(posts: DataFrame, tags: DataFrame, args: ListArgs = ListArgs()) -> DataFrame:
     """The page number and place of every post, as a reader who follows the cursors sees them.
 
-    The place in the total order is the number of posts in later slots plus the place within
-    the slot, so no single task orders the whole table.
+    Posts are range-partitioned on the unique sort key, so parts are even whatever the times
+    look like; a post's place is the size of the parts before its own plus its place within.
+    The parts are stored once, because a second sampling could draw their edges differently.
     """
-    rows = filtered(posts, tags, args).select("id", "taken_at").withColumn(SLOT, slot_of("taken_at", width))
-    # One row per slot, bounded by elapsed time.
-    later = Window.orderBy(F.desc(SLOT)).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy(SLOT).agg(F.count("*").alias("_n"))
-    starts = sizes.select(SLOT, F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_before"))
-    within = Window.partitionBy(SLOT).orderBy(F.desc("taken_at"), F.desc("id"))
-    place = F.col("_before") + F.row_number().over(within)
+    order = (F.desc("taken_at"), F.desc("id"))
+    rows = filtered(posts, tags, args).select("id", "taken_at")
+    parts = staged(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "walk")
+    # One row per part.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parts.groupBy("part").agg(F.count("*").alias("_n"))
+    starts = sizes.select("part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy(*order))
     return (
-        rows.join(starts, SLOT)
-        .withColumn("place", place)
+        parts.withColumn("_within", within)
+        .join(starts, "part")
+        .withColumn("place", F.col("_before") + F.col("_within"))
         .select("id", "taken_at", "place", F.ceil(F.col("place") / args.limit).alias("page"))
     )

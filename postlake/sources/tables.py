@@ -100,15 +100,22 @@ def read_log(
     return log.select(*schema.names, *(["batch"] if with_batch else []))
 
 
-def read_current(spark: SparkSession, table: str, root: str, below: int | None = None) -> DataFrame:
-    """Current state of a state table: the newest row per key over base and log. The newest-row
-    aggregate combines map-side."""
+def read_current(
+    spark: SparkSession, table: str, root: str, below: int | None = None, only: DataFrame | None = None
+) -> DataFrame:
+    """Current state of a state table: the newest row per key over base and log.
+
+    The newest-row aggregate combines map-side. ``only`` (a frame with the key column) limits
+    the read to those keys before the aggregate, so a small batch does not shuffle the table.
+    """
     versions = [v for v in finished(spark, table, root, "v") if below is None or v < below]
     base = versions[-1] if versions else -1
     rows = read_log(spark, table, root, below, above=base, with_batch=True)
     if base >= 0:
         compacted = spark.read.schema(schema_of(table)).parquet(f"{root}/{table}/v={base}")
         rows = rows.unionByName(compacted.select(*schema_of(table).names).withColumn("batch", F.lit(base).cast("long")))
+    if only is not None:
+        rows = rows.join(only.select(KEYS[table]), KEYS[table], "left_semi")
     names = schema_of(table).names
     newest = F.max_by(F.struct(*names), F.col("batch"))
     return rows.groupBy(F.col(KEYS[table]).alias("_key")).agg(newest.alias("row")).select("row.*")

@@ -33,8 +33,9 @@ def _curate(spark: SparkSession, batch: int, root: str) -> None:
     append_batch(good, "observations", root, batch)
     observations = read_log(spark, "observations", root, below=batch + 1, above=batch - 1)
     touched = observations.select("ig_media_id").distinct()
+    files = touched.select(stable_id(F.col("ig_media_id")).alias("media_id"))
 
-    posts = read_current(spark, "media_posts", root, below=batch).join(touched, "ig_media_id", "left_semi")
+    posts = read_current(spark, "media_posts", root, below=batch, only=touched)
     append_batch(upsert_posts(observations, posts), "media_posts", root, batch)
 
     known = read_log(spark, "media_post_history", root, below=batch).join(touched, "ig_media_id", "left_semi")
@@ -42,10 +43,8 @@ def _curate(spark: SparkSession, batch: int, root: str) -> None:
     pairs = known.select("ig_media_id", "sync_run_id").join(runs, "sync_run_id", "left_semi")
     append_batch(change_history(observations, latest_history(known), pairs), "media_post_history", root, batch)
 
-    before = read_current(spark, "media_assets", root, below=batch)
-    pending = ensure_pending(observations, before)
-    mine = before.join(pending.select("media_id"), "media_id", "left_semi")
-    append_batch(merge_assets(mine, pending), "media_assets", root, batch)
+    before = read_current(spark, "media_assets", root, below=batch, only=files)
+    append_batch(merge_assets(before, ensure_pending(observations, before)), "media_assets", root, batch)
 
     # Progress last: counters never run ahead of the rows they count.
     append_batch(_progress(spark, observations, posts, before, batch, root), "run_deltas", root, batch)
