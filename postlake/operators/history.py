@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from postlake.functions.captions import with_caption_arrays
 from postlake.functions.scalars import effective_rank, stable_id
 from postlake.operators.timeline import carry, closed_segments
-from postlake.schemas import TRACKED_COLUMNS, TRACKED_FIELDS
+from postlake.schemas import OBSERVATION, TRACKED_COLUMNS, TRACKED_FIELDS
 
 ARRIVAL = ("fetched_at", "sync_run_id", "position_overall")
 
@@ -52,16 +52,15 @@ def changed_names(before: Column) -> Column:
 def _fold_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Flag the rows each outcome records. Rows arrive sorted by (post, segment, arrival), so
     a segment is never held in memory, only its last state and its recorded runs."""
-    here = None
-    fresh_state = kept_state = None
+    here_post = here_segment = fresh_state = kept_state = None
     fresh_runs: set[str] = set()
     kept_runs: set[str] = set()
     for batch in batches:
         columns = [batch.column(name).to_pylist() for name in ("ig_media_id", "_seg", "sync_run_id", "_state")]
         if_new, if_same = [], []
         for post, segment, run, state in zip(*columns):
-            if (post, segment) != here:
-                here = (post, segment)
+            if segment != here_segment or post != here_post:
+                here_post, here_segment = post, segment
                 fresh_state, kept_state = None, state
                 fresh_runs, kept_runs = set(), set()
             new = state != fresh_state and run not in fresh_runs
@@ -98,7 +97,7 @@ def record_changes(
             recorded_pairs.select("ig_media_id", "sync_run_id"), ["ig_media_id", "sync_run_id"], "left_anti"
         )
     rows = closed_segments(ranked(observations), "ig_media_id", "sync_run_id", "fetched_at", "_seg", width)
-    rows = rows.withColumns({"_state": state_digest(), "_seg": F.unix_micros("_seg")})
+    rows = rows.withColumns({"_state": F.unhex(state_digest()), "_seg": F.unix_micros("_seg")})
     candidates = (
         rows.repartition("ig_media_id", "_seg")
         .sortWithinPartitions("ig_media_id", "_seg", *ARRIVAL)
@@ -120,7 +119,7 @@ def record_changes(
     )
     segments = segments.withColumn("end_same", F.coalesce("end_same", "first"))
     if seed is not None:
-        before = seed.select("ig_media_id", F.struct(*TRACKED_COLUMNS, state_digest().alias("_state")).alias("seed"))
+        before = seed.select("ig_media_id", F.struct(*TRACKED_COLUMNS, F.unhex(state_digest()).alias("_state")).alias("seed"))
         segments = segments.join(before, "ig_media_id", "left")
     else:
         segments = segments.withColumn("seed", F.lit(None).cast(segments.schema["first"].dataType))
@@ -182,7 +181,9 @@ def change_history(
     width: str = "day",
 ) -> DataFrame:
     """``media_post_history`` rows for the observations."""
-    rows = with_caption_arrays(record_changes(observations, seed, recorded_pairs, width))
+    # The fold is opaque to column pruning, so unused columns are dropped before it.
+    narrow = observations.select(*[c for c in OBSERVATION.names if c not in ("media_url", "taken_at")])
+    rows = with_caption_arrays(record_changes(narrow, seed, recorded_pairs, width))
     return rows.select(
         stable_id(F.col("ig_media_id"), F.col("sync_run_id")).alias("id"),
         stable_id(F.col("ig_media_id")).alias("media_id"),

@@ -12,9 +12,9 @@ from postlake.functions.scalars import (
     truncate_error,
     usage_summary,
 )
-from postlake.operators.history import observation_flags, record_changes
+from postlake.operators.history import ARRIVAL, observation_flags, record_changes
 from postlake.operators.validate import split_valid
-from postlake.schemas import DEFAULT_ITEM_CAP
+from postlake.schemas import DEFAULT_ITEM_CAP, TRACKED_COLUMNS
 
 
 def resumable_run(runs: DataFrame) -> DataFrame:
@@ -114,7 +114,8 @@ def run_counters(observations: DataFrame, page: Column, runs: DataFrame | None =
         F.count_if("content_changed").alias("items_updated"),
         F.count_if(wants_file).alias("asset_jobs_enqueued"),
     )
-    written = record_changes(observations).groupBy("sync_run_id").agg(F.count("*").alias("metrics_recorded"))
+    tracked = observations.select("ig_media_id", *ARRIVAL, "source", *[c for c in TRACKED_COLUMNS if c != "rank"])
+    written = record_changes(tracked).groupBy("sync_run_id").agg(F.count("*").alias("metrics_recorded"))
     counters = seen.join(written, "sync_run_id", "left").withColumn(
         "metrics_recorded", F.coalesce("metrics_recorded", F.lit(0))
     )
