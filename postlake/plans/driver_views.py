@@ -15,7 +15,7 @@ SPARK = {
     "plus_seconds": "timestampadd(SECOND, CAST({1} AS INT), {0})",
     "bytes": "octet_length({0})",
     "millis": "date_format({0}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")",
-    "meta_ts": "date_format({0}, \"yyyy-MM-dd'T'HH:mm:ss'+0000'\")",
+    "text_ts": "date_format({0}, \"yyyy-MM-dd'T'HH:mm:ss'+0000'\")",
     "ts": "CAST({0} AS TIMESTAMP)",
     "joined": "listagg({0}, ',') WITHIN GROUP (ORDER BY {1})",
 }
@@ -24,7 +24,7 @@ DUCKDB = {
     "plus_seconds": "({0} + to_seconds(CAST({1} AS INT)))",
     "bytes": "octet_length(encode({0}))",
     "millis": "strftime({0}, '%Y-%m-%dT%H:%M:%S.%gZ')",
-    "meta_ts": "strftime({0}, '%Y-%m-%dT%H:%M:%S+0000')",
+    "text_ts": "strftime({0}, '%Y-%m-%dT%H:%M:%S+0000')",
     "ts": "CAST({0} AS TIMESTAMP)",
     "joined": "string_agg({0}, ',' ORDER BY {1})",
     "us": "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')",
@@ -77,7 +77,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN k = 13 THEN '{"id": "' || ig_media_id || '", "media_type": '
                     ELSE '{"id":"' || CASE WHEN k = 17 THEN '' ELSE ig_media_id END
                       || '","media_type":"' || CASE WHEN k = 19 THEN 'GIF' ELSE media_type END
-                      || '","timestamp":"' || CASE WHEN k = 23 THEN 'not-a-date' ELSE @meta_ts{fetched_at} END || '"'
+                      || '","timestamp":"' || CASE WHEN k = 23 THEN 'not-a-date' ELSE @text_ts{fetched_at} END || '"'
                       || CASE WHEN k = 29 THEN '' ELSE ',"permalink":"' || permalink || '"' END
                       || CASE WHEN media_url IS NULL THEN '' ELSE ',"media_url":"' || media_url || '"' END
                       || CASE WHEN k = 31 THEN ',"caption":null' ELSE ',"caption":"' || caption || '"' END
