@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm import sharding, simhash, substrings, url_rules
+from postlake.llm import mixing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules
 from postlake.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,18 +39,47 @@ def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts_of(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+# The public 32k vocabulary of the box; any SentencePiece model file will do.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op3_sentencepiece")
+def _(spark, sf_dir):
+    vocabulary = sentencepiece_codec.read_vocabulary(TOKENIZER)
+    encoded = sentencepiece_codec.encode_captions(_posts(spark, sf_dir), vocabulary)
+    decoded = sentencepiece_codec.decode_captions(encoded, vocabulary)
+    return decoded.select(F.col("id").alias("doc_id"), "n_pieces", "pieces", F.sha2("caption", 256).alias("decoded_sha256"))
+
+
 @query("op4_simhash_near_dedup")
 def _(spark, sf_dir):
     found = simhash.simhash_duplicates(_posts(spark, sf_dir))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "kept")
 
 
+def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").selectExpr("doc_id AS id", "toxic")
+
+
+@query("op5_toxicity")
+def _(spark, sf_dir):
+    posts = _posts(spark, sf_dir)
+    scored = toxicity.score_toxicity(posts, toxicity.train_toxicity(posts, labels_of(spark, sf_dir)))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 @query("op6_substring_dedup")
 def _(spark, sf_dir):
     cut = substrings.remove_repeats(_posts(spark, sf_dir))
     return cut.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_caption", 256).alias("kept_sha256"))
 
 
+@query("op7_mixing")
+def _(spark, sf_dir):
+    taken = mixing.taken_per_post(mixing.mix_posts(_posts(spark, sf_dir)))
+    return taken.select(F.col("id").alias("doc_id"), F.col("hashtag_id").alias("source"), "size", "source_size", "target", "taken")
+
+
 @query("op9_two_pass_shuffle")
 def _(spark, sf_dir):
     written = sharding.shard_posts(_posts(spark, sf_dir))
