@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +25,45 @@ def n_words(column) -> F.Column:
     return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Rows sorted by ``keys``, cut so that no group is split: a table and the bounds of its groups.
+
+    For tasks with very many small groups, where a call per group would cost more than its work.
+    """
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
+        change = np.zeros(table.num_rows, bool)
+        change[0] = True
+        for key in keys:
+            values = table[key].to_numpy(zero_copy_only=False)
+            change[1:] |= values[1:] != values[:-1]
+        cuts = np.flatnonzero(change).tolist()
+        if len(cuts) > 1:
+            yield table.slice(0, cuts[-1]), cuts
+        held = table.slice(cuts[-1])
+    if held is not None:
+        yield held, [0, held.num_rows]
+
+
+def forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """Lowest position reachable from each of ``n`` positions over the links."""
+    root = np.arange(n)
+    while len(left):
+        low = np.minimum(root[left], root[right])
+        before = root.copy()
+        np.minimum.at(root, left, low)
+        np.minimum.at(root, right, low)
+        while (root[root] != root).any():
+            root = root[root]
+        if (root == before).all():
+            break
+    return root
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of ``edges(src, dst)``: one row per node with the smallest node it reaches.
 

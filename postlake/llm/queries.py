@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm import mixing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules
-from postlake.session import configure
+from postlake.llm import embeddings, mixing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules, warc
+from postlake.session import configure, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +39,20 @@ def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts_of(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+@query("op1_embedding_near_dedup")
+def _(spark, sf_dir):
+    return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op2_warc_zstd")
+def _(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    raw = pages.selectExpr("page_id AS id", "url AS permalink", "html AS payload", "CAST(NULL AS TIMESTAMP) AS fetched_at")
+    archives = staged(warc.write_archives(raw, "text/html; charset=utf-8"), "archives")
+    records = warc.read_archives(archives, "long")
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "error")
+
+
 # The public 32k vocabulary of the box; any SentencePiece model file will do.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import components, words_of
+from postlake.llm.common import components, forest, words_of
 from postlake.session import staged
 
 SHINGLE = 4
@@ -80,28 +80,13 @@ def _links(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.nd
     return np.concatenate(left), np.concatenate(right)
 
 
-def _forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
-    """Lowest position reachable from each of ``n`` positions over the links."""
-    root = np.arange(n)
-    while len(left):
-        low = np.minimum(root[left], root[right])
-        before = root.copy()
-        np.minimum.at(root, left, low)
-        np.minimum.at(root, right, low)
-        while (root[root] != root).any():
-            root = root[root]
-        if (root == before).all():
-            break
-    return root
-
-
 def _compare(frames: Iterator[pd.DataFrame], radius: int) -> Iterator[pd.DataFrame]:
     """Fewest links that connect what two tiles have in common: at most one per fingerprint of the pair."""
     for frame in frames:
         for a, b in zip(frame["a"], frame["b"]):
             a, b = np.asarray(a, np.int64), np.asarray(b, np.int64)
             left, right = _links(a.view(np.uint64), b.view(np.uint64), radius)
-            root = _forest(left, right + len(a), len(a) + len(b))
+            root = forest(left, right + len(a), len(a) + len(b))
             both, moved = np.concatenate((a, b)), np.flatnonzero(root != np.arange(len(root)))
             found = pd.DataFrame({"src": both[moved], "dst": both[root[moved]]})
             yield found[found.src != found.dst].drop_duplicates()
