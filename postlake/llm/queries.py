@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm import embeddings, mixing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules, warc
+from postlake.llm import embeddings, line_quality, mixing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules, warc
 from postlake.session import configure, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,13 @@ def _(spark, sf_dir):
     return taken.select(F.col("id").alias("doc_id"), F.col("hashtag_id").alias("source"), "size", "source_size", "target", "taken")
 
 
+@query("op8_line_quality")
+def _(spark, sf_dir):
+    posts = _posts(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").selectExpr("doc_id AS id", "quality")
+    return line_quality.judge_captions(posts, line_quality.train_field(posts, labels)).withColumnRenamed("id", "doc_id")
+
+
 @query("op9_two_pass_shuffle")
 def _(spark, sf_dir):
     written = sharding.shard_posts(_posts(spark, sf_dir))
