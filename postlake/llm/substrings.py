@@ -18,8 +18,8 @@ WINDOW = 20
 # A window is filed under the smallest hash among its runs of GRAM words.
 GRAM = 6
 # Words that a task indexes before it sends what it found, and about as many windows as a block holds.
-FLUSH_WORDS = 1 << 21
-BLOCK_WORDS = 3 << 19
+FLUSH_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C13  # odd
@@ -256,15 +256,12 @@ def _parse_block(table: pa.Table) -> pa.Table:
         runs = _runs(d, r, s - np.arange(len(s)), q - s)
         ready.append(np.stack((d[runs], s[runs], np.diff([*runs, len(d)]), r[runs], q[runs])))
     found = np.concatenate(ready, axis=1) if ready else np.zeros((5, 0), np.int64)
-    found = found[:, np.argsort(found[0], kind="stable")]
-    cuts = _runs(found[0]) if found.shape[1] else np.zeros(0, np.int64)
-    factor = pa.StructArray.from_arrays(
-        [pa.array(found[1], pa.int32()), pa.array(found[2], pa.int32()), pa.array([ids[k] for k in found[3]], id_type), pa.array(found[4], pa.int32())],
-        names=["start", "n", "ref_id", "ref_start"],
-    )
-    lists = pa.ListArray.from_arrays(pa.array([*cuts, found.shape[1]], pa.int32()), factor)
-    owners = found[0][cuts]
-    return pa.table({"id": pa.array([ids[k] for k in owners], id_type), "key": pa.array([keys[k] for k in owners], pa.int64()), "factors": lists})
+    columns = {
+        "id": pa.array([ids[k] for k in found[0]], id_type), "key": pa.array([keys[k] for k in found[0]], pa.int64()),
+        "start": pa.array(found[1], pa.int32()), "n": pa.array(found[2], pa.int32()),
+        "ref_id": pa.array([ids[k] for k in found[3]], id_type), "ref_start": pa.array(found[4], pa.int32()),
+    }
+    return pa.table(columns)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -332,10 +329,11 @@ def remove_repeats(posts: DataFrame, window: int = WINDOW) -> DataFrame:
     packed = T.StructType().add("block", T.IntegerType()).add("done", T.BooleanType()).add("ids", T.ArrayType(id_type))
     packed = packed.add("keys", T.ArrayType(T.LongType())).add("body", T.BinaryType())
     filed = texts.mapInArrow(lambda b: _index(b, window, blocks), packed)
-    factor = T.StructType().add("start", T.IntegerType()).add("n", T.IntegerType()).add("ref_id", id_type).add("ref_start", T.IntegerType())
-    found = T.StructType().add("id", id_type).add("key", T.LongType()).add("factors", T.ArrayType(factor))
+    found = T.StructType().add("id", id_type).add("key", T.LongType()).add("start", T.IntegerType()).add("n", T.IntegerType())
+    found = found.add("ref_id", id_type).add("ref_start", T.IntegerType())
     parsed = staged(filed.groupBy("block").applyInArrow(_parse_block, found), "factors")
-    parsed = parsed.groupBy("id", "key").agg(F.flatten(F.collect_list("factors")).alias("factors"))
+    factor = F.struct("start", "n", "ref_id", "ref_start")
+    parsed = parsed.groupBy("id", "key").agg(F.collect_list(factor).alias("factors"))
     given = texts.join(parsed, ["id", "key"], "left").select("id", "caption", "factors")
     kept = T.StructType().add("start", T.IntegerType()).add("n_words", T.IntegerType()).add("ref_id", id_type).add("ref_start", T.IntegerType())
     out = T.StructType().add("id", id_type).add("n_words", T.LongType()).add("n_removed", T.LongType()).add("kept_caption", T.StringType())
