@@ -100,7 +100,8 @@ def judge_links(posts: DataFrame, rules: Iterable[Rule] = (*HOST_RULES, *PATTERN
     if names:
         wanted = posts.sparkSession.createDataFrame([(n,) for n in names], "token string")
         held = links.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("target"), F.lit("[a-z0-9]+"), 0))).alias("token"))
-        counts = dict(held.join(wanted, "token", "left_semi").groupBy("token").count().collect())
+        # The tokens of the rules are a parameter, so their size is bounded and a frequent token is never gathered.
+        counts = dict(held.join(F.broadcast(wanted), "token", "left_semi").groupBy("token").count().collect())
     index: dict[str, list[Rule]] = {}
     always = [rule for rule in rules if not literal[rule]]
     for rule, tokens in literal.items():
