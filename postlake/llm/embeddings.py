@@ -91,7 +91,7 @@ def _near(batches: Iterator[pa.RecordBatch], group: list[str], threshold: float)
         parts, near = table["part"].to_pylist(), np.zeros(table.num_rows, bool)
         for low, high in zip(cuts[:-1], cuts[1:]):
             home, other = low + np.flatnonzero(mine[low:high]), low + np.flatnonzero(~mine[low:high])
-            if not len(home) or len(other) < 2:
+            if not len(home) or not len(other):
                 continue
             a, b = (np.frombuffer(b"".join([parts[k] for k in at]), "<f4").reshape(len(at), -1).astype(np.float64) for at in (home, other))
             budget = _budgets(int(dims[low]), threshold)[int(blocks[low])] + 1e-5  # coordinates are single precision here
