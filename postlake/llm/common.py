@@ -25,6 +25,13 @@ def n_words(column) -> F.Column:
     return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches cut small, so that few texts at a time are Python objects."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, list[int]]]:
     """Rows sorted by ``keys``, cut so that no group is split: a table and the bounds of its groups.
 

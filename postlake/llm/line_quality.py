@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postlake.llm.common import in_parts
 from postlake.session import staged
 
 # The base rules.
@@ -130,7 +131,7 @@ def held_out(post_id) -> F.Column:
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         rows = []
         for text in batch["caption"].to_pylist():
             _, lines = base_figures(text)
@@ -207,7 +208,7 @@ def train_field(posts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
 
 def _judge(batches: Iterator[pa.RecordBatch], field: Field) -> Iterator[pa.RecordBatch]:
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    for batch in batches:
+    for batch in in_parts(batches):
         rows = []
         for text in batch["caption"].to_pylist():
             figures, lines = base_figures(text)

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
+from postlake.llm.common import in_parts
+
 # Fixed value: the mark that stands for a space in pieces.
 SPACE = "▁"
 # Fixed value: how much less than the worst piece an uncovered character scores.
@@ -126,12 +128,10 @@ class Decoder:
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast) -> Iterator[pa.RecordBatch]:
     encoder = Encoder(Vocabulary(*vocabulary.value))
-    for batch in batches:
-        texts = batch["caption"].to_pylist()
-        for low in range(0, len(texts), 1000):
-            ids = [encoder.encode(t) for t in texts[low : low + 1000]]
-            columns = [batch["id"].slice(low, 1000), pa.array([len(x or ()) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_pieces", "pieces"])
+    for batch in in_parts(batches):
+        ids = [encoder.encode(t) for t in batch["caption"].to_pylist()]
+        columns = [batch["id"], pa.array([len(x or ()) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "n_pieces", "pieces"])
 
 
 def encode_captions(posts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -152,13 +152,10 @@ def encode_captions(posts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def _decode(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast) -> Iterator[pa.RecordBatch]:
     decoder = Decoder(Vocabulary(*vocabulary.value))
-    for batch in batches:
-        for low in range(0, batch.num_rows, 1000):
-            part = batch.slice(low, 1000)
-            texts = [decoder.decode(ids) for ids in part["pieces"].to_pylist()]
-            kept = [part[c] for c in batch.schema.names if c != "caption"]
-            names = [c for c in batch.schema.names if c != "caption"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=[*names, "caption"])
+    for batch in in_parts(batches):
+        texts = [decoder.decode(ids) for ids in batch["pieces"].to_pylist()]
+        columns = [*batch.columns, pa.array(texts, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "caption"])
 
 
 def decode_captions(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import components, forest, words_of
+from postlake.llm.common import components, forest, in_parts, words_of
 from postlake.session import staged
 
 SHINGLE = 4
@@ -43,7 +43,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         prints = np.array([fingerprint(t, shingle) for t in batch["caption"].to_pylist()], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch["id"], pa.array(prints)], names=["id", "fp"])
 

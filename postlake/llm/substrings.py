@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.common import words_of
+from postlake.llm.common import in_parts, words_of
 from postlake.session import staged
 
 WINDOW = 20
@@ -118,7 +118,7 @@ class _Flush:
 
     def clear(self) -> None:
         self.ids, self.keys, self.lengths, self.codes, self.size = [], [], [], [], 0
-        if len(self.vocabulary) > 1 << 19:
+        if len(self.vocabulary) > 1 << 17:
             self.vocabulary = _Words()
 
     def add(self, post, key: int, words: list[bytes]) -> None:
@@ -189,7 +189,7 @@ class _Flush:
 
 def _index(batches: Iterator[pa.RecordBatch], window: int, blocks: int) -> Iterator[pa.RecordBatch]:
     flush = None
-    for batch in batches:
+    for batch in in_parts(batches):
         id_type = batch.schema.field("id").type
         flush = flush or _Flush(id_type, window, blocks)
         for post, key, text in zip(batch["id"].to_pylist(), batch["key"].to_pylist(), batch["caption"].to_pylist()):
@@ -265,7 +265,7 @@ def _parse_block(table: pa.Table) -> pa.Table:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         ids = batch["id"]
         totals, removed, kept, lists = [], [], [], []
         for text, found in zip(batch["caption"].to_pylist(), batch["factors"].to_pylist()):

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlake.llm.common import in_parts
 from postlake.session import staged
 
 ORDERS = (4, 5, 6)
@@ -62,7 +63,7 @@ def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def _parts(batches: Iterator[pa.RecordBatch], chars: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Batches cut so that a part holds about ``chars`` characters, or one text."""
-    for batch in batches:
+    for batch in in_parts(batches):
         texts, low, size = batch["caption"].to_pylist(), 0, 0
         for k, text in enumerate(texts):
             size += len(text or "")
