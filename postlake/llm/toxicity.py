@@ -97,22 +97,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         )
 
 
-def _ratios(frame: pd.DataFrame, significance: float) -> pd.DataFrame:
-    """Log-count ratios of the n-grams whose ratio exceeds what chance explains."""
+def _ratios(frame: pd.DataFrame, significance: float, strength: float) -> pd.DataFrame:
+    """Log-count ratios of the n-grams that are clearly tilted, beyond what chance explains."""
     clean, toxic = np.sum([np.frombuffer(b, np.int32).reshape(2, -1) for b in frame["counts"]], axis=0)
     n_clean, n_toxic = frame["clean"].sum(), frame["toxic"].sum()
     ratio = np.log((toxic + 1) / (n_toxic + 2)) - np.log((clean + 1) / (n_clean + 2))
-    sure = np.abs(ratio) > significance * np.sqrt(1 / (toxic + 1) + 1 / (clean + 1))
+    sure = np.abs(ratio) > np.maximum(strength, significance * np.sqrt(1 / (toxic + 1) + 1 / (clean + 1)))
     at = np.flatnonzero(sure)
     return pd.DataFrame({"feature": at + int(frame["slice"].iloc[0]) * len(clean), "ratio": ratio[at]})
 
 
 def _chosen(batches: Iterator[pa.RecordBatch], features: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch, texts in _parts(batches):
-        rows = [[] for _ in texts]
-        for owner, at in zip(*(x.tolist() for x in _hits(texts, features))):
-            rows[owner].append(at)
-        yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(rows, pa.list_(pa.int32()))], names=["toxic", "at"])
+        owner, at = _hits(texts, features)
+        offsets = np.searchsorted(owner, np.arange(len(texts) + 1))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(at, pa.int32()))
+        yield pa.RecordBatch.from_arrays([batch["place"], batch["toxic"], lists], names=["place", "toxic", "at"])
 
 
 def _hits(texts: list[str | None], features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,22 +125,33 @@ def _hits(texts: list[str | None], features: np.ndarray) -> tuple[np.ndarray, np
     return _once(owner[found], at[found].astype(np.int64))
 
 
-def _fit(toxic: np.ndarray, rows: list, ratio: np.ndarray, weight: np.ndarray, ridge: float, steps: int) -> tuple[float, np.ndarray]:
-    """Logistic regression on ratio-scaled marks, by full-batch Adam."""
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    column = np.concatenate([np.asarray(r, np.int64) for r in rows]) if len(owner) else np.empty(0, np.int64)
-    value = ratio[column]
+def _fit(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, share: dict[int, int], ridge: float, steps: int) -> Iterator[pa.RecordBatch]:
+    """Logistic regression on ratio-scaled marks, by full-batch Adam. Gives the weight per feature and, last, the bias.
+
+    Rows are put in the order of ``place``, so the sums do not depend on how they arrive.
+    """
+    table = pa.Table.from_batches(list(batches), pa.schema([("place", pa.int64()), ("toxic", pa.int32()), ("at", pa.list_(pa.int32()))]))
+    table = table.sort_by([("place", "ascending"), ("toxic", "ascending")]).combine_chunks()
+    toxic = table["toxic"].to_numpy().astype(np.float64)
+    lists = table["at"].combine_chunks() if isinstance(table["at"], pa.ChunkedArray) else table["at"]
+    column = lists.flatten().to_numpy().astype(np.int32)
+    owner = np.repeat(np.arange(len(toxic), dtype=np.int32), pa.compute.list_value_length(lists).to_numpy())
     theta = np.zeros(len(ratio) + 1)
-    theta[-1] = np.log(weight[toxic == 1].sum() / weight[toxic == 0].sum())
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    total = weight.sum()
-    for t in range(1, steps + 1):
-        margin = np.bincount(owner, value * theta[column], len(rows)) + theta[-1]
-        error = weight * (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - toxic) / total
-        gradient = np.append(np.bincount(column, value * error[owner], len(ratio)) + ridge * theta[:-1], error.sum())
-        m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
-        theta -= 0.03 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-    return theta[-1], theta[:-1]
+    if len(set(toxic)) == 2:
+        value = ratio[column].astype(np.float32)
+        weight = np.where(toxic == 1, share[1] / (toxic == 1).sum(), share[0] / (toxic == 0).sum())
+        total = weight.sum()
+        theta[-1] = np.log(weight[toxic == 1].sum() / weight[toxic == 0].sum())
+        m, v = np.zeros_like(theta), np.zeros_like(theta)
+        for t in range(1, steps + 1):
+            margin = np.bincount(owner, value * theta[column], len(toxic)) + theta[-1]
+            error = weight * (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - toxic) / total
+            gradient = np.append(np.bincount(column, value * error[owner], len(ratio)) + ridge * theta[:-1], error.sum())
+            m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
+            theta -= 0.03 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+    else:
+        theta[-1] = 60.0 if toxic.any() else -60.0
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(theta))), pa.array(theta)], names=["place", "weight"])
 
 
 def held_out(post_id) -> F.Column:
@@ -148,7 +159,7 @@ def held_out(post_id) -> F.Column:
 
 
 def train_toxicity(
-    posts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, significance: float = 4.0, ridge: float = 1e-5, steps: int = 300
+    posts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, significance: float = 4.0, strength: float = 1.0, ridge: float = 1e-5, steps: int = 300
 ) -> Model:
     """Fit the classifier on labelled posts.
 
@@ -156,10 +167,10 @@ def train_toxicity(
     ids and null labels are left out; of several labels of a post the highest counts. The fit uses at most
     ``per_class`` posts of either class, those with the lowest hash of their id; this documented bound is what makes
     it safe to send the sample's ids to all tasks and the sample's marks (positions of the model's n-grams, no texts)
-    to the driver. Classes are weighted back to their share among all labels of the fold.
+    to one task. Classes are weighted back to their share among all labels of the fold.
 
     A text is the set of its hashed character n-grams of 4 to 6 characters. N-grams keep their log-count ratio, the
-    logarithm of how much more often they occur in toxic texts, where it exceeds ``significance`` standard errors. A
+    logarithm of how much more often they occur in toxic texts, where it exceeds ``strength`` and ``significance`` standard errors. A
     logistic regression is fitted on the ratios of the n-grams present.
 
     Without labels of both classes the model is a constant: the share of toxic labels, 0 without any.
@@ -174,20 +185,17 @@ def train_toxicity(
     drawn = [usable.filter(F.col("toxic") == c).orderBy(F.xxhash64("id"), "id").limit(per_class) for c in (0, 1)]
     sample = F.broadcast(drawn[0].union(drawn[1]))
     # Texts of the sample, dealt to few tasks, as a count table is made per task.
-    texts = posts.select("id", "caption").join(sample, "id").select("caption", "toxic")
+    texts = posts.select("id", "caption").join(sample, "id").select(F.xxhash64("id").alias("place"), "caption", "toxic")
     texts = staged(texts.repartition(16), "labelled-texts")
     counted = texts.mapInArrow(_count, "slice long, counts binary, clean long, toxic long")
-    ratios = counted.groupBy("slice").applyInPandas(lambda f: _ratios(f, significance), "feature long, ratio double")
+    ratios = counted.groupBy("slice").applyInPandas(lambda f: _ratios(f, significance, strength), "feature long, ratio double")
     ratios = ratios.toPandas().sort_values("feature")
     features, ratio = ratios["feature"].to_numpy(np.int64), ratios["ratio"].to_numpy()
-    marked = texts.mapInArrow(lambda b: _chosen(b, features), "toxic int, at array<int>").collect()
-    toxic = np.array([row[0] for row in marked], np.float64)
-    if len(set(toxic)) < 2:
-        return Model(60.0 if toxic.any() else -60.0, *empty)
-    weight = np.where(toxic == 1, shares[1] / (toxic == 1).sum(), shares[0] / (toxic == 0).sum())
-    order = sorted(range(len(marked)), key=lambda k: (marked[k][0], marked[k][1]))
-    bias, theta = _fit(toxic[order], [marked[k][1] for k in order], ratio, weight[order], ridge, steps)
-    return Model(float(bias), features, ratio * theta)
+    marked = texts.mapInArrow(lambda b: _chosen(b, features), "place long, toxic int, at array<int>")
+    # One task fits the bounded sample: numbers only, no texts.
+    fitted = marked.coalesce(1).mapInArrow(lambda b: _fit(b, ratio, shares, ridge, steps), "place long, weight double")
+    theta = fitted.toPandas().sort_values("place")["weight"].to_numpy()
+    return Model(float(theta[-1]), features, ratio * theta[:-1])
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
