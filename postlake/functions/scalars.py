@@ -22,7 +22,7 @@ EXTENSIONS = {
 DEFAULT_EXTENSION = ".bin"
 
 # Text formats.
-SOURCE_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXX"
+SOURCE_TS_PATTERN = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2}))?$"
 ISO_MILLIS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 UUID_PATTERN = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
@@ -44,8 +44,13 @@ def stable_id(*parts: Column) -> Column:
 
 
 def parse_source_ts(raw: Column) -> Column:
-    """``2026-08-12T17:08:55+0000`` -> timestamp, null when it does not parse."""
-    return F.try_to_timestamp(raw, F.lit(SOURCE_TS_FORMAT))
+    """``2026-08-12T17:08:55+0000`` -> timestamp, null when it does not parse.
+
+    The offset may also be ``+00:00`` or ``Z``, seconds may be missing or have a fraction (cut to microseconds), and a bare
+    date is midnight UTC. A time without an offset is rejected: it names no moment.
+    """
+    spelled = F.regexp_replace(F.regexp_replace(raw, r"(T.*[+-]\d{2})(\d{2})$", "$1:$2"), r"(\.\d{6})\d+", "$1")
+    return F.when(raw.rlike(SOURCE_TS_PATTERN), spelled.try_cast("timestamp"))
 
 
 def iso_millis(ts: Column) -> Column:
@@ -161,7 +166,7 @@ def throttle_delay_ms(worst_pct: Column, regain_minutes: Column, threshold: floa
 
 
 def duration_ms(started_at: Column, finished_at: Column) -> Column:
-    return F.round((F.unix_micros(finished_at) - F.unix_micros(started_at)) / 1000).cast("int")
+    return F.round((F.unix_micros(finished_at) - F.unix_micros(started_at)) / 1000).cast("long")
 
 
 def truncate_error(text: Column, length: int) -> Column:

@@ -22,9 +22,10 @@ RETRYABLE = ("pending", "failed", "downloading")
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Downloaded files with digest and size; partition folders become columns."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path)
-    return files.withColumns({"sha256": content_sha256(F.col("content")), "size_bytes": content_size(F.col("content"))})
+    """Downloaded files with digest and size. ``media_id`` is the file's name up to its first dot: a flat or nested
+    folder of files works alike, and no folder per file has to be listed."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.withColumns({"media_id": F.regexp_extract("path", r"([^/.]+)[^/]*$", 1), "sha256": content_sha256(F.col("content")), "size_bytes": content_size(F.col("content"))})
 
 
 def asset_exists(candidates: DataFrame, stored: DataFrame) -> DataFrame:
@@ -77,20 +78,20 @@ def download_summary(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("outcome").agg(F.count("*").alias("files"))
 
 
-def asset_store(files: DataFrame, root: str, known: DataFrame | None = None, files_per_folder: int = 4) -> None:
-    """Write each distinct new object once, below a folder per first key level.
+def asset_store(files: DataFrame, root: str, known: DataFrame | None = None, batch: str = "0") -> None:
+    """Write each distinct new object once, below ``batch`` and a folder per key level.
 
-    Digests spread evenly over the 256 folders; ``files_per_folder`` sets how many tasks share
-    one, so that the write can use 256 times as many tasks.
+    A repeated batch replaces its own folders, so nothing is stored twice. Winners are chosen on keys alone. The bytes
+    move once: files are partitioned by key, which spreads over as many tasks as the session has shuffle
+    partitions, and the winners come to them; writing keeps that partitioning.
     """
     keyed = with_storage_key(files)
     firsts = _first_arrivals(keyed.select("storage_key", "arrival"), known)
     objects = keyed.join(firsts, ["storage_key", "arrival"], "left_semi")
-    out = objects.select("storage_key", "sha256", "size_bytes", "content_type", "content").withColumn(
-        "p1", F.substring("sha256", 1, 2)
+    out = objects.select("storage_key", "sha256", "size_bytes", "content_type", "content").withColumns(
+        {"p1": F.substring("sha256", 1, 2), "p2": F.substring("sha256", 3, 2)}
     )
-    share = F.pmod(F.xxhash64("storage_key"), F.lit(files_per_folder))
-    out.repartition("p1", share).write.mode("append").partitionBy("p1").parquet(root)
+    out.write.mode("overwrite").partitionBy("p1", "p2").parquet(f"{root}/batch={batch}")
 
 
 def ensure_pending(observations: DataFrame, assets: DataFrame | None = None) -> DataFrame:
@@ -148,10 +149,10 @@ def merge_assets(assets: DataFrame, pending: DataFrame) -> DataFrame:
 
 
 def asset_transitions(assets: DataFrame, changes: DataFrame) -> DataFrame:
-    """Apply ordered state changes (media_id, seq, status, at, sha256, storage_key, size_bytes,
+    """Apply ordered state changes (media_id, seq, status, at, sha256, storage_key, storage_provider, size_bytes,
     content_type, reason) to the asset rows."""
     to = F.col("status")
-    stored = F.struct("sha256", "storage_key", "content_type", "size_bytes", F.col("at").alias("stored_at"))
+    stored = F.struct("sha256", "storage_key", "storage_provider", "content_type", "size_bytes", F.col("at").alias("stored_at"))
     settled = to.isin("stored", "failed", "skipped")
     reason = F.struct(F.when(to != "stored", truncate_error(F.col("reason"), ASSET_ERROR_LENGTH)).alias("text"))
     last = changes.groupBy("media_id").agg(
@@ -170,7 +171,7 @@ def asset_transitions(assets: DataFrame, changes: DataFrame) -> DataFrame:
         "last_error": F.when(F.col("_reason").isNotNull(), F.col("_reason.text")).otherwise(F.col("last_error")),
         "updated_at": F.coalesce("_at", "updated_at"),
     }
-    for name in ("sha256", "storage_key", "content_type", "size_bytes", "stored_at"):
+    for name in ("sha256", "storage_key", "storage_provider", "content_type", "size_bytes", "stored_at"):
         columns[name] = F.when(F.col("_stored").isNotNull(), F.col(f"_stored.{name}")).otherwise(F.col(name))
     return joined.withColumns(columns).select(*assets.columns)
 
@@ -193,8 +194,10 @@ def repost_clusters(assets: DataFrame, min_count: int = 2) -> DataFrame:
     )
 
 
-def retryable_assets(assets: DataFrame, limit: int = 100) -> DataFrame:
-    return assets.filter(F.col("status").isin(*RETRYABLE)).orderBy("media_id").limit(limit)
+def retryable_assets(assets: DataFrame, limit: int | None = None) -> DataFrame:
+    """Assets to try again, all of them unless the caller sets a limit."""
+    rows = assets.filter(F.col("status").isin(*RETRYABLE)).orderBy("media_id")
+    return rows if limit is None else rows.limit(limit)
 
 
 def retention_expired(assets: DataFrame, now: Column, days: int = RETENTION_DAYS) -> DataFrame:

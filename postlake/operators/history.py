@@ -11,7 +11,8 @@ the last recorded state S. If S differs from the segment's first observation x,
 recorded and everything after it is determined; if S equals x it is skipped, and everything
 after it is determined as well. A segment therefore has exactly two possible outcomes, which
 are folded without knowing S. One small row per (post, segment) then decides which outcome
-holds, and a hot post is folded by as many tasks as it has segments.
+holds, and a hot post is folded by as many tasks as it has segments. The fold sees keys and digests
+only; the recorded rows are fetched afterwards.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from postlake.functions.captions import with_caption_arrays
 from postlake.functions.scalars import effective_rank, stable_id
 from postlake.operators.timeline import carry, closed_segments
 from postlake.schemas import OBSERVATION, TRACKED_COLUMNS, TRACKED_FIELDS
+from postlake.session import staged
 
 ARRIVAL = ("fetched_at", "sync_run_id", "position_overall")
 
@@ -96,9 +98,11 @@ def record_changes(
         observations = observations.join(
             recorded_pairs.select("ig_media_id", "sync_run_id"), ["ig_media_id", "sync_run_id"], "left_anti"
         )
-    rows = closed_segments(ranked(observations), "ig_media_id", "sync_run_id", "fetched_at", "_seg", width)
-    rows = rows.withColumns({"_state": F.unhex(state_digest()), "_seg": F.unix_micros("_seg")})
-    candidates = (
+    observations = ranked(observations)
+    rows = closed_segments(observations, "ig_media_id", "sync_run_id", "fetched_at", "_seg", width)
+    # Keys, order and digest are all that the fold needs; texts stay where they are.
+    rows = rows.select("ig_media_id", *ARRIVAL, F.unhex(state_digest()).alias("_state"), F.unix_micros("_seg").alias("_seg"))
+    flagged = (
         rows.repartition("ig_media_id", "_seg")
         .sortWithinPartitions("ig_media_id", "_seg", *ARRIVAL)
         .mapInArrow(
@@ -108,33 +112,36 @@ def record_changes(
             .add("_if_same", T.BooleanType()),
         )
     )
+    # Two branches read the fold: it runs once.
+    candidates = staged(flagged, "fold")
 
     # One row per (post, segment): its first state, and where each outcome leaves the post.
     arrival = F.struct(*ARRIVAL)
-    fields = F.struct(*TRACKED_COLUMNS, "_state")
     segments = candidates.groupBy("ig_media_id", "_seg").agg(
-        F.min_by(fields, arrival).alias("first"),
-        F.max_by(fields, F.when(F.col("_if_new"), arrival)).alias("end_new"),
-        F.max_by(fields, F.when(F.col("_if_same"), arrival)).alias("end_same"),
+        F.min_by("_state", arrival).alias("first"),
+        F.max_by("_state", F.when(F.col("_if_new"), arrival)).alias("end_new"),
+        F.max_by("_state", F.when(F.col("_if_same"), arrival)).alias("end_same"),
     )
     segments = segments.withColumn("end_same", F.coalesce("end_same", "first"))
     if seed is not None:
-        before = seed.select("ig_media_id", F.struct(*TRACKED_COLUMNS, F.unhex(state_digest()).alias("_state")).alias("seed"))
+        before = seed.select("ig_media_id", F.unhex(state_digest()).alias("seed"))
         segments = segments.join(before, "ig_media_id", "left")
     else:
-        segments = segments.withColumn("seed", F.lit(None).cast(segments.schema["first"].dataType))
+        segments = segments.withColumn("seed", F.lit(None).cast("binary"))
     segments = _choose(segments)
 
     # A row counts when the outcome it belongs to is the one that holds.
     holds = (F.col("starts_same") & F.col("_if_same")) | (~F.col("starts_same") & F.col("_if_new"))
-    recorded = candidates.join(segments, ["ig_media_id", "_seg"]).filter(holds)
-    within = Window.partitionBy("ig_media_id", "_seg").orderBy(*ARRIVAL)
-    before = F.coalesce(F.lag(F.struct(*TRACKED_COLUMNS)).over(within), F.col("state_in"))
-    return (
-        recorded.withColumn("_before", before)
-        .withColumn("changed_fields", changed_names(F.col("_before")))
-        .select(*observations.columns, "rank", "changed_fields")
-    )
+    chosen = candidates.join(segments, ["ig_media_id", "_seg"]).filter(holds).select("ig_media_id", *ARRIVAL)
+    # A row that was delivered twice matches once.
+    recorded = observations.join(chosen, ["ig_media_id", *ARRIVAL], "left_semi").dropDuplicates(["ig_media_id", *ARRIVAL])
+    recorded = carry(recorded, ["ig_media_id"], ARRIVAL, previous=TRACKED_COLUMNS, width=width)
+    before = F.col("prev")
+    if seed is not None:
+        known = seed.select("ig_media_id", F.struct(*TRACKED_COLUMNS).alias("_seed"))
+        recorded = recorded.join(known, "ig_media_id", "left")
+        before = F.coalesce(before, F.col("_seed"))
+    return recorded.withColumn("changed_fields", changed_names(before)).select(*observations.columns, "changed_fields")
 
 
 def _choose(segments: DataFrame) -> DataFrame:
@@ -145,13 +152,13 @@ def _choose(segments: DataFrame) -> DataFrame:
     of the negations since, which plain windows give.
     """
     along = Window.partitionBy("ig_media_id").orderBy("_seg")
-    x = F.col("first._state")
+    x = F.col("first")
 
     def same_after(end: str) -> Column:
-        return F.coalesce(F.lag(f"{end}._state").over(along) == x, F.lit(False))
+        return F.coalesce(F.lag(end).over(along) == x, F.lit(False))
 
     is_head = F.row_number().over(along) == 1
-    seeded = F.coalesce(F.col("seed._state") == x, F.lit(False))
+    seeded = F.coalesce(F.col("seed") == x, F.lit(False))
     out = segments.withColumns(
         {
             "_a": F.when(is_head, seeded).otherwise(same_after("end_same")),
@@ -165,13 +172,7 @@ def _choose(segments: DataFrame) -> DataFrame:
     odd = (F.col("_flips") - F.col("_fixed.flips")) % 2 == 1
     out = out.withColumn("starts_same", F.col("_fixed.value") != odd)
 
-    chosen = F.when(F.col("starts_same"), F.col("end_same")).otherwise(F.col("end_new"))
-    out = out.withColumn("_chosen", chosen)
-    arriving = F.coalesce(F.lag("_chosen").over(along), F.col("seed"))
-    state_in = F.when(
-        arriving.isNotNull(), F.struct(*[arriving[c].alias(c) for c in TRACKED_COLUMNS])
-    )
-    return out.select("ig_media_id", "_seg", "starts_same", state_in.alias("state_in"))
+    return out.select("ig_media_id", "_seg", "starts_same")
 
 
 def change_history(

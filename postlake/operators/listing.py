@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import base64
+import binascii
 import datetime as dt
+import json
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.functions.captions import strip_tag
-from postlake.functions.scalars import decode_cursor, encode_cursor, iso_millis, locator
+from postlake.functions.scalars import UUID_PATTERN, decode_cursor, encode_cursor, iso_millis, locator
 from postlake.schemas import DEFAULT_PAGE_LIMIT, MAX_PAGE_LIMIT, MAX_TAG_LENGTH, MEDIA_TYPES
 from postlake.session import staged
 
@@ -42,8 +46,24 @@ class ListArgs:
             raise ValueError(f"media_type must be one of {MEDIA_TYPES}")
         if self.hashtag is not None and not 1 <= len(self.hashtag) <= MAX_TAG_LENGTH:
             raise ValueError(f"hashtag must have 1 to {MAX_TAG_LENGTH} characters")
-        if self.cursor is not None and not self.cursor:
-            raise ValueError("cursor must not be empty")
+        if self.cursor is not None:
+            check_cursor(self.cursor)
+
+
+def check_cursor(token: str) -> None:
+    """Raise a ValueError for a token that is no cursor: an empty page would look like the end of the list."""
+    try:
+        body = json.loads(base64.urlsafe_b64decode(token + "=" * (-len(token) % 4)))
+    except (binascii.Error, ValueError) as wrong:
+        raise ValueError("cursor is not base64url-encoded JSON") from wrong
+    if not isinstance(body, dict) or not isinstance(body.get("takenAt"), str) or not isinstance(body.get("id"), str):
+        raise ValueError("cursor lacks takenAt or id")
+    try:
+        dt.datetime.fromisoformat(body["takenAt"])
+    except ValueError as wrong:
+        raise ValueError("cursor has no valid takenAt") from wrong
+    if not re.match(UUID_PATTERN, body["id"]):
+        raise ValueError("cursor has no valid id")
 
 
 def _common(args: ListArgs) -> list[Column]:
@@ -110,12 +130,13 @@ def count_media(posts: DataFrame, tags: DataFrame, args: ListArgs = ListArgs())
 def list_media(posts: DataFrame, tags: DataFrame, assets: DataFrame, args: ListArgs = ListArgs()) -> DataFrame:
     """One page, newest post first, with ``has_more`` and ``next_cursor`` (null on the last page).
 
-    One extra row tells whether more follow. Assets are 1:0..1, so they join after the limit:
-    at most 101 rows meet the asset table.
+    One extra row tells whether more follow. Assets are 1:0..1, so they join after the limit. The
+    page's ids, at most 101, pick the assets first, so the asset table is filtered where it lies
+    and never shuffled.
     """
     rows = filtered(posts, tags, args)
     if args.cursor is not None:
-        # A constant: folded once by the optimizer; a broken token matches nothing.
+        # A constant, checked with the arguments and folded once by the optimizer.
         at = decode_cursor(F.lit(args.cursor))
         rows = rows.filter(keyset_predicate(at["taken_at"], at["id"]))
     top = rows.orderBy(F.desc("taken_at"), F.desc("id")).limit(args.limit + 1)
@@ -126,8 +147,11 @@ def list_media(posts: DataFrame, tags: DataFrame, assets: DataFrame, args: ListA
     has_more = F.col("_n") > args.limit
     last = F.max(F.when(F.col("row_no") == args.limit, encode_cursor(F.col("taken_at"), F.col("id")))).over(whole)
     out = numbered.withColumns({"has_more": has_more, "next_cursor": F.when(has_more, last)})
+    shown = out.filter(F.col("row_no") <= args.limit)
+    # Bounded by the page limit: at most 101 ids.
+    ids = F.broadcast(top.select(F.col("id").alias("media_id")))
     return (
-        posts_left_assets(out.filter(F.col("row_no") <= args.limit), assets)
+        posts_left_assets(shown, assets.join(ids, "media_id", "left_semi"))
         .select("row_no", *PROJECTION, "has_more", "next_cursor")
         .orderBy("row_no")
     )
@@ -174,6 +198,19 @@ def media_document(rows: DataFrame, include_asset: bool = True, locator_prefix:
     return rows.select("id", F.when(F.col("asset_key").isNotNull(), with_file).otherwise(without).alias("document"))
 
 
+def page_document(posts: DataFrame, tags: DataFrame, assets: DataFrame, args: ListArgs = ListArgs()) -> DataFrame:
+    """``pagination`` of a page as JSON text: limit, count, total, hasMore and nextCursor (null on the last page).
+
+    One row, also for an empty page. ``total`` follows ``count_media``: dates and cursor do not narrow it.
+    """
+    page = list_media(posts, tags, assets, args)
+    summary = page.agg(F.count("*").alias("count"), F.coalesce(F.bool_or("has_more"), F.lit(False)).alias("hasMore"), F.max("next_cursor").alias("nextCursor"))
+    # Two tables of one row each.
+    both = summary.withColumn("one", F.lit(1)).join(count_media(posts, tags, args).withColumn("one", F.lit(1)), "one")
+    body = F.struct(F.lit(args.limit).alias("limit"), "count", "total", "hasMore", "nextCursor")
+    return both.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("pagination"))
+
+
 def paging_walk(posts: DataFrame, tags: DataFrame, args: ListArgs = ListArgs()) -> DataFrame:
     """The page number and place of every post, as a reader who follows the cursors sees them.
 

@@ -18,14 +18,14 @@ class Rebuilt:
     new_history: DataFrame
 
 
-def rebuild_all(data_points: DataFrame) -> Rebuilt:
+def rebuild_all(data_points: DataFrame, width: str = "day") -> Rebuilt:
     """Both tables from all raw rows in their original order."""
     observations = observations_of(data_points)
-    return Rebuilt(upsert_posts(observations), change_history(observations))
+    return Rebuilt(upsert_posts(observations, width=width), change_history(observations, width=width))
 
 
 def replay_run(
-    data_points: DataFrame, sync_run_id: str, now: Column, posts: DataFrame, history: DataFrame
+    data_points: DataFrame, sync_run_id: str, now: Column, posts: DataFrame, history: DataFrame, width: str = "day"
 ) -> Rebuilt:
     """Apply one run's raw rows again, as of ``now``.
 
@@ -39,6 +39,6 @@ def replay_run(
     known = history.join(touched, "ig_media_id", "left_semi")
     pairs = known.filter(F.col("sync_run_id") == sync_run_id).select("ig_media_id", "sync_run_id")
     return Rebuilt(
-        upsert_posts(observations, posts),
-        change_history(observations, latest_history(known), pairs),
+        upsert_posts(observations, posts, width),
+        change_history(observations, latest_history(known), pairs, width),
     )

@@ -32,20 +32,31 @@ def start_runs(jobs: DataFrame, runs: DataFrame) -> DataFrame:
     """The run each (type, tag) of the jobs works on: the unfinished one, else a new one.
 
     ``jobs`` has type, hashtag_id, message_id, attempt and at. Jobs of one batch that name the
-    same (type, tag) share the run that the earliest of them starts.
+    same (type, tag) share the run that the earliest of them starts. The id of a new run is made from
+    message, attempt and start, so a message that comes again after its run ended starts another run.
+    A resumed run goes on after ``last_cursor`` and ``items_seen`` where ``runs`` has them, and counts one more attempt.
     """
     first = F.min_by(F.struct("message_id", "attempt", "at"), F.struct("at", "message_id"))
     wanted = jobs.groupBy("type", "hashtag_id").agg(first.alias("job"))
     open_runs = resumable_run(runs)
+
+    def stored(name: str, kind: str, default: Column) -> Column:
+        held = F.coalesce(F.col(name), default) if name in runs.columns else default
+        return held.cast(kind)
+
     resumed = open_runs.join(wanted.select("type", "hashtag_id"), ["type", "hashtag_id"], "left_semi").select(
         "id", "type", "hashtag_id", "status", "triggered_by_message_id", "started_at",
-        F.lit(True).alias("resumed"),
+        (stored("attempts", "int", F.lit(1)) + 1).alias("attempts"), stored("items_seen", "int", F.lit(0)).alias("items_seen"),
+        stored("last_cursor", "string", F.lit(None)).alias("last_cursor"), F.lit(True).alias("resumed"),
     )
     fresh = wanted.join(open_runs.select("type", "hashtag_id"), ["type", "hashtag_id"], "left_anti").select(
-        stable_id(F.col("job.message_id"), F.col("type"), F.col("hashtag_id")).alias("id"),
+        stable_id(
+            F.col("job.message_id"), F.col("type"), F.col("hashtag_id"), F.col("job.attempt").cast("string"), F.unix_micros("job.at").cast("string")
+        ).alias("id"),
         "type", "hashtag_id", F.lit("running").alias("status"),
         F.col("job.message_id").alias("triggered_by_message_id"),
-        F.col("job.at").alias("started_at"), F.lit(False).alias("resumed"),
+        F.col("job.at").alias("started_at"), F.coalesce("job.attempt", F.lit(1)).cast("int").alias("attempts"),
+        F.lit(0).alias("items_seen"), F.lit(None).cast("string").alias("last_cursor"), F.lit(False).alias("resumed"),
     )
     return resumed.unionByName(fresh)
 
@@ -98,13 +109,13 @@ def run_item_cap(data_points: DataFrame, tags: DataFrame) -> DataFrame:
     ).withColumn("hit_item_cap", (F.col("items_kept") >= F.col("cap")).cast("int"))
 
 
-def run_counters(observations: DataFrame, page: Column, runs: DataFrame | None = None) -> DataFrame:
+def run_counters(observations: DataFrame, page: Column, runs: DataFrame | None = None, width: str = "day") -> DataFrame:
     """Progress per run: pages, items seen, new and updated, history rows, asset jobs.
 
     ``page`` identifies the page an observation arrived on. With ``runs`` the increments are
     added to the stored counters.
     """
-    flags = observation_flags(observations.withColumn("_page", page))
+    flags = observation_flags(observations.withColumn("_page", page), width=width)
     # A post first seen without a file URL is skipped for good, so later URLs start no job.
     wants_file = F.col("media_url").isNotNull() & F.col("first_media_url").isNotNull()
     seen = flags.groupBy("sync_run_id").agg(
@@ -115,7 +126,7 @@ def run_counters(observations: DataFrame, page: Column, runs: DataFrame | None =
         F.count_if(wants_file).alias("asset_jobs_enqueued"),
     )
     tracked = observations.select("ig_media_id", *ARRIVAL, "source", *[c for c in TRACKED_COLUMNS if c != "rank"])
-    written = record_changes(tracked).groupBy("sync_run_id").agg(F.count("*").alias("metrics_recorded"))
+    written = record_changes(tracked, width=width).groupBy("sync_run_id").agg(F.count("*").alias("metrics_recorded"))
     counters = seen.join(written, "sync_run_id", "left").withColumn(
         "metrics_recorded", F.coalesce("metrics_recorded", F.lit(0))
     )
@@ -130,14 +141,14 @@ def run_counters(observations: DataFrame, page: Column, runs: DataFrame | None =
     )
 
 
-def replay_summary(validated: DataFrame) -> DataFrame:
+def replay_summary(validated: DataFrame, width: str = "day") -> DataFrame:
     """Per run: payloads reprocessed, posts created, posts changed, payloads invalid.
 
     ``validated`` is the checked raw layer, with its ``errors`` column.
     """
     invalid = validated.groupBy("sync_run_id").agg(F.count_if(F.size("errors") > 0).alias("invalid"))
     observations, _ = split_valid(validated)
-    applied = observation_flags(observations).groupBy("sync_run_id").agg(
+    applied = observation_flags(observations, width=width).groupBy("sync_run_id").agg(
         F.count("*").alias("reprocessed"),
         F.count_if("is_new").alias("created"),
         F.count_if("content_changed").alias("changed"),
@@ -167,13 +178,17 @@ def duplicate_delivery(runs: DataFrame) -> DataFrame:
 
 
 def usage_vs_duration(runs: DataFrame, app_usage: Column, business_usage: Column, step: int = 10) -> DataFrame:
-    """Run duration and failure rate by bucket of the worst usage percentage."""
+    """Run duration and failure rate by bucket of the worst usage percentage, and over all runs the correlation of
+    usage and duration (``usage_corr``, null with fewer than two different values)."""
     worst = usage_summary(app_usage, business_usage)["worst_pct"]
     finished = runs.filter(F.col("finished_at").isNotNull()).withColumn("worst_pct", worst)
     took = duration_ms(F.col("started_at"), F.col("finished_at"))
-    return (
-        finished.filter(F.col("worst_pct").isNotNull())
-        .groupBy((F.floor(F.col("worst_pct") / step) * step).cast("int").alias("usage_from"))
+    read = finished.filter(F.col("worst_pct").isNotNull())
+    whole = read.agg(F.corr("worst_pct", took.cast("double")).alias("_corr")).select(
+        F.lit(1).alias("one"), F.when(~F.isnan("_corr"), F.round("_corr", 6)).alias("usage_corr")
+    )
+    buckets = (
+        read.groupBy((F.floor(F.col("worst_pct") / step) * step).cast("int").alias("usage_from"))
         .agg(
             F.count("*").alias("runs"),
             F.sum(took.cast("long")).alias("total_ms"),
@@ -181,6 +196,7 @@ def usage_vs_duration(runs: DataFrame, app_usage: Column, business_usage: Column
             F.round(F.avg(F.when(F.col("status").isin("failed", "partial"), 1.0).otherwise(0.0)), 6).alias("failure_rate"),
         )
     )
+    return buckets.withColumn("one", F.lit(1)).join(whole, "one").drop("one")
 
 
 def cascade_delete(run_ids: DataFrame, *tables: DataFrame) -> list[DataFrame]:

@@ -42,9 +42,15 @@ def broken_tags(tags: DataFrame) -> DataFrame:
 
 def ensure_tracked(tags: DataFrame, asked: DataFrame, name: str, now: Column) -> DataFrame:
     """Add the asked tags that are not tracked yet. A known tag keeps its settings and only
-    has ``updated_at`` touched."""
-    wanted = asked.select(normalize_tag(F.col(name)).alias("name")).distinct()
-    touched = wanted.withColumn("_asked", F.lit(True))
+    has ``updated_at`` touched.
+
+    ``asked`` may carry ``track_from``, ``track_until`` and ``notes`` for new tags; when a tag is asked for several
+    times, the smallest (name as written, window, notes) counts.
+    """
+    given = [c for c in ("track_from", "track_until", "notes") if c in asked.columns]
+    named = asked.select(normalize_tag(F.col(name)).alias("name"), F.struct(F.col(name).alias("_as"), *given).alias("_ask"))
+    wanted = named.groupBy("name").agg(F.min("_ask").alias("_ask"))
+    touched = wanted.drop("_ask").withColumn("_asked", F.lit(True))
     kept = tags.join(touched, "name", "left").withColumn(
         "updated_at", F.when(F.col("_asked"), now).otherwise(F.col("updated_at"))
     )
@@ -52,6 +58,7 @@ def ensure_tracked(tags: DataFrame, asked: DataFrame, name: str, now: Column) ->
         stable_id(F.col("name")).alias("id"), "name", F.lit(True).alias("is_active"),
         F.lit(True).alias("top_sync_enabled"), F.lit(True).alias("recent_sync_enabled"),
         F.lit(0).alias("consecutive_failures"), now.alias("created_at"), now.alias("updated_at"),
+        *[F.col(f"_ask.{c}").alias(c) for c in given],
     )
     return kept.drop("_asked").unionByName(fresh, allowMissingColumns=True)
 
@@ -132,29 +139,36 @@ def sync_health(tags: DataFrame, ends: DataFrame) -> DataFrame:
     )
 
 
-def rolling_unique_tags(runs: DataFrame, days: int = UNIQUE_TAG_DAYS, limit: int = UNIQUE_TAG_LIMIT) -> DataFrame:
+def rolling_unique_tags(
+    runs: DataFrame, days: int = UNIQUE_TAG_DAYS, limit: int = UNIQUE_TAG_LIMIT, account: str | None = None, width: str = "month"
+) -> DataFrame:
     """Unique tags asked for in the trailing window, at every moment a tag enters it.
 
+    With ``account``, the quota of each account is counted on its own. ``width`` is the slot that one task orders.
+
     A tag is inside the window from a query until ``days`` after its last query. Those spans
     turn into +1 and -1 steps whose running total is the count, so no task ever holds the
     queries of a week, and the total is ordered by day, not by one global window over rows.
     """
-    asked = runs.select("hashtag_id", F.col("started_at").alias("at")).distinct()
+    by = [account] if account else []
+    asked = runs.select(*by, "hashtag_id", F.col("started_at").alias("at")).distinct()
     span = F.expr(f"INTERVAL {days} DAYS")
-    before = carry(asked, ["hashtag_id"], ["at"], previous=["at"], width="month")
+    before = carry(asked, [*by, "hashtag_id"], ["at"], previous=["at"], width=width)
     enters = before.filter(F.col("prev").isNull() | (F.col("at") > F.col("prev.at") + span))
     # Looking backwards from every entry gives the end of the span before it; the last span of
     # a tag ends after all entries that could count it twice, so it needs no step.
     leaves = enters.filter(F.col("prev").isNotNull()).select(
+        *by,
         # A query exactly at the edge still counts: the tag leaves one microsecond later.
         (F.col("prev.at") + span + F.expr("INTERVAL 1 MICROSECOND")).alias("at"), F.lit(-1).alias("step"),
     )
-    final = asked.groupBy("hashtag_id").agg(F.max("at").alias("at")).select(
+    final = asked.groupBy(*by, "hashtag_id").agg(F.max("at").alias("at")).select(
+        *by,
         (F.col("at") + span + F.expr("INTERVAL 1 MICROSECOND")).alias("at"), F.lit(-1).alias("step")
     )
-    steps = enters.select("at", F.lit(1).alias("step")).unionByName(leaves).unionByName(final)
-    per_moment = steps.groupBy("at").agg(F.sum("step").alias("step"), F.count_if(F.col("step") > 0).alias("entered"))
-    total = running_total(per_moment, "at", "step", "unique_tags", width="month")
+    steps = enters.select(*by, "at", F.lit(1).alias("step")).unionByName(leaves).unionByName(final)
+    per_moment = steps.groupBy(*by, "at").agg(F.sum("step").alias("step"), F.count_if(F.col("step") > 0).alias("entered"))
+    total = running_total(per_moment, "at", "step", "unique_tags", width=width, keys=by)
     return total.filter("entered > 0").select(
-        F.col("at").alias("entered_at"), "entered", "unique_tags", (F.col("unique_tags") > limit).alias("over_limit")
+        *by,        F.col("at").alias("entered_at"), "entered", "unique_tags", (F.col("unique_tags") > limit).alias("over_limit")
     )

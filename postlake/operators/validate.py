@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions.captions import normalize_tag
 from postlake.functions.scalars import UUID_PATTERN, parse_source_ts
-from postlake.schemas import ERROR_BODY, JOB_BODY, MEDIA_TYPES, SOURCES
+from postlake.schemas import JOB_BODY, MEDIA_TYPES, SOURCES
 from postlake.session import staged
 from postlake.sources.bronze import with_page_items
 
@@ -20,9 +20,10 @@ TOO_LARGE_CODE = 1
 TOO_LARGE_TEXT = r"(?i)reduce the amount of data"
 TRANSIENT_STATUSES = (408, 425, 429, 500, 502, 503, 504)
 
-URL_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*:(//)?[^\s/?#]+"
+URL_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*:(//)?[^\s/?#]+\S*$"
 NUMERIC_KIND = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
-MAX_COUNT = 2_147_483_647
+# Fixed value: the largest whole number that a JSON reader with double precision keeps exactly.
+MAX_COUNT = 2**53 - 1
 
 
 def with_validation(rows: DataFrame, payload: str = "payload") -> DataFrame:
@@ -43,7 +44,7 @@ def with_validation(rows: DataFrame, payload: str = "payload") -> DataFrame:
         return F.when(kind(field) == "STRING", F.try_variant_get(F.col(f"_doc.{field}"), "$", "string"))
 
     def count(field: str) -> Column:
-        number = F.try_variant_get(F.col(f"_doc.{field}"), "$", "decimal(38,6)")
+        number = F.try_variant_get(F.col(f"_doc.{field}"), "$", "double")
         return F.when(kind(field).rlike(NUMERIC_KIND), number)
 
     readable = F.col(payload).rlike(r"^\s*\{") & F.col("_doc").isNotNull() & F.col("_doc._corrupt_record").isNull()
@@ -85,8 +86,8 @@ def with_validation(rows: DataFrame, payload: str = "payload") -> DataFrame:
         "permalink": F.col("_permalink"),
         "media_url": F.col("_media_url"),
         "caption": F.col("_caption"),
-        "like_count": F.col("_like_count").cast("decimal(38,0)").try_cast("int"),
-        "comments_count": F.col("_comments_count").cast("decimal(38,0)").try_cast("int"),
+        "like_count": F.col("_like_count").try_cast("long"),
+        "comments_count": F.col("_comments_count").try_cast("long"),
     }
     temporary = ["_doc", *fields]
     return read.withColumns(named).drop(*temporary)
@@ -162,8 +163,20 @@ def classify_errors(responses: DataFrame) -> DataFrame:
     status = F.col("status")
     empty = F.col("body") == ""
     doc = F.try_parse_json(F.col("body"))
-    error = F.from_json("body", ERROR_BODY)["error"]
-    code, message = error["code"], error["message"]
+
+    # An envelope counts only with the declared kinds: a text message, and numbers or texts where they are declared.
+    def member(name: str, kind: str, *kinds: str) -> tuple[Column, Column]:
+        raw = F.try_variant_get(doc, f"$.error.{name}", "variant")
+        found = F.schema_of_variant(raw)
+        return F.try_variant_get(doc, f"$.error.{name}", kind), raw.isNull() | found.rlike("|".join(kinds))
+
+    text, text_ok = member("message", "string", "^STRING$")
+    code, code_ok = member("code", "double", NUMERIC_KIND)
+    others = [member(n, "string", k)[1] for n, k in (("type", "^STRING$"), ("fbtrace_id", "^STRING$"), ("error_subcode", NUMERIC_KIND))]
+    envelope = text_ok & code_ok
+    for fits in others:
+        envelope = envelope & fits
+    message = F.when(envelope, text)
     outcome = (
         F.when(~empty & doc.isNull(), "invalid_json")
         .when(message.isNotNull() & code.isin(*AUTH_CODES), "auth")

@@ -51,7 +51,7 @@ HASHTAGS = _table(
 SYNC_RUNS = _table(
     ("id", _S, 1), ("type", _S, 1), ("status", _S, 1), ("hashtag_id", _S, 1),
     ("triggered_by_message_id", _S), ("started_at", _TS, 1), ("finished_at", _TS),
-    ("duration_ms", _I), ("pages_fetched", _I, 1), ("items_seen", _I, 1), ("items_new", _I, 1),
+    ("duration_ms", _L), ("pages_fetched", _I, 1), ("items_seen", _I, 1), ("items_new", _I, 1),
     ("items_updated", _I, 1), ("metrics_recorded", _I, 1), ("asset_jobs_enqueued", _I, 1),
     ("hit_item_cap", _I, 1), ("rate_limit_snapshot", _S), ("last_cursor", _S),
     ("attempts", _I, 1), ("error", _S), ("created_at", _TS, 1),
@@ -68,7 +68,7 @@ MEDIA_POSTS = _table(
     ("caption", _S), ("permalink", _S, 1), ("source_media_url", _S),
     ("caption_hashtags", _TAGS), ("caption_mentions", _TAGS), ("taken_at", _TS, 1),
     ("first_seen_at", _TS, 1), ("last_seen_at", _TS, 1), ("content_updated_at", _TS),
-    ("like_count", _I), ("comments_count", _I), ("metrics_updated_at", _TS),
+    ("like_count", _L), ("comments_count", _L), ("metrics_updated_at", _TS),
     ("first_seen_via", _S, 1), ("seen_in_top", _B, 1), ("seen_in_recent", _B, 1),
     ("best_top_rank", _I), ("is_stale", _B, 1), ("created_at", _TS, 1), ("updated_at", _TS, 1),
 )
@@ -76,8 +76,8 @@ MEDIA_POSTS = _table(
 MEDIA_POST_HISTORY = _table(
     ("id", _S, 1), ("media_id", _S, 1), ("hashtag_id", _S, 1), ("sync_run_id", _S, 1),
     ("ig_media_id", _S, 1), ("media_type", _S, 1), ("caption", _S), ("permalink", _S, 1),
-    ("caption_hashtags", _TAGS), ("caption_mentions", _TAGS), ("like_count", _I),
-    ("comments_count", _I), ("rank", _I), ("source", _S, 1), ("changed_fields", _TAGS),
+    ("caption_hashtags", _TAGS), ("caption_mentions", _TAGS), ("like_count", _L),
+    ("comments_count", _L), ("rank", _I), ("source", _S, 1), ("changed_fields", _TAGS),
     ("captured_at", _TS, 1), ("position_overall", _I),
 )
 
@@ -101,8 +101,8 @@ TABLES = {
 OBSERVATION = _table(
     ("ig_media_id", _S), ("hashtag_id", _S), ("sync_run_id", _S), ("source", _S),
     ("position_overall", _I), ("fetched_at", _TS), ("media_type", _S), ("caption", _S),
-    ("permalink", _S), ("media_url", _S), ("taken_at", _TS), ("like_count", _I),
-    ("comments_count", _I),
+    ("permalink", _S), ("media_url", _S), ("taken_at", _TS), ("like_count", _L),
+    ("comments_count", _L),
 )
 
 # One landed page response. ``body`` is the response text exactly as received.
@@ -116,6 +116,5 @@ PAGE_BODY = "data array<string>, paging struct<cursors: struct<before: string, a
 
 JOB_BODY = "type string, kind string, hashtagId string, mediaId string"
 
-ERROR_BODY = "error struct<message: string, type: string, code: int, error_subcode: int, fbtrace_id: string>"
 
 USAGE_ENTRY = "call_count double, total_cputime double, total_time double, estimated_time_to_regain_access double"

@@ -53,6 +53,13 @@ def land_pages(pages: DataFrame, landed: DataFrame | None = None) -> DataFrame:
     )
 
 
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """Pages whose body is no page, as they arrived, with the reason. With ``land_pages`` they make up all pages."""
+    broken = with_page_items(pages).filter(F.col("items").isNull())
+    reason = F.when(F.try_parse_json("body").isNull(), "not JSON").otherwise("no data array")
+    return broken.select(*LANDED_PAGE.names, reason.alias("reason"))
+
+
 def page_log(pages: DataFrame) -> DataFrame:
     """One row per page that parses: the record of how far each run has landed."""
     return with_page_items(pages).filter(F.col("items").isNotNull()).select(

@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.schemas import OBSERVATION, TABLES
+from postlake.schemas import LANDED_PAGE, OBSERVATION, TABLES
 
 # Physical layout: pruning by tag follows from the folder names, and the sort lets row-group
 # statistics skip on the listing's order.
-PARTITIONS = {"media_posts": ["hashtag_id"], "media_post_history": ["hashtag_id"]}
+PARTITIONS = {"media_posts": ["hashtag_id"], "media_post_history": ["hashtag_id"], "messages": ["bucket"]}
 ORDER_WITHIN = {"media_posts": ["taken_at", "id"], "media_post_history": ["captured_at"]}
 KEYS = {"media_posts": "ig_media_id", "media_assets": "media_id", "hashtags": "id", "sync_runs": "id"}
 
@@ -30,7 +30,14 @@ EXTRA = {
     "run_deltas": T.StructType()
     .add("sync_run_id", "string").add("pages_fetched", "long").add("items_seen", "long")
     .add("items_new", "long").add("items_updated", "long").add("metrics_recorded", "long")
-    .add("asset_jobs_enqueued", "long"),
+    .add("asset_jobs_enqueued", "long").add("pages_unreadable", "long").add("items_invalid", "long"),
+    "page_quarantine": T.StructType(LANDED_PAGE.fields).add("reason", "string"),
+    "item_quarantine": T.StructType()
+    .add("sync_run_id", "string").add("hashtag_id", "string").add("source", "string").add("position_overall", "integer")
+    .add("fetched_at", "timestamp").add("payload", "string").add("errors", T.ArrayType(T.StringType())),
+    "download_jobs": T.StructType().add("type", "string").add("media_id", "string").add("url", "string"),
+    "messages": T.StructType()
+    .add("message_id", "string").add("hashtag_id", "string").add("delivered_at", "timestamp").add("bucket", "integer"),
 }
 
 
@@ -64,6 +71,21 @@ def _write(df: DataFrame, table: str, path: str) -> None:
     writer.parquet(path)
 
 
+def first_batch(spark: SparkSession, root: str, query_id: str) -> int:
+    """The number that a stream's batch 0 has in this lake, remembered per stream.
+
+    A stream with a new checkpoint is a new stream: its batches follow those in the lake instead of replacing them.
+    """
+    path = f"{root}/_streams/query={query_id}"
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+        return spark.read.schema("first long").parquet(path).first()[0]
+    first = 1 + max((b for table in (*TABLES, *EXTRA) for b in finished(spark, table, root)), default=-1)
+    spark.range(1).select(F.lit(first).cast("long").alias("first")).coalesce(1).write.mode("overwrite").parquet(path)
+    return first
+
+
 def append_batch(df: DataFrame, table: str, root: str, batch: int) -> None:
     """Write one batch of a log or state table; a retry replaces the same folder."""
     _write(df, table, f"{root}/{table}/batch={batch}")

@@ -61,8 +61,10 @@ class RecordChanges(StatefulProcessor):
             self.runs.appendList(added)
             out = frame.loc[keep, _INPUT].copy()
             out["changed_fields"] = names
-            for name in ("position_overall", "like_count", "comments_count", "rank"):
+            for name in ("position_overall", "rank"):
                 out[name] = out[name].astype("Int32")
+            for name in ("like_count", "comments_count"):
+                out[name] = out[name].astype("Int64")
             yield out
 
     def close(self) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +13,9 @@ from postlake.operators.history import change_history, latest_history, observati
 from postlake.operators.posts import upsert_posts
 from postlake.operators.validate import route_messages, split_valid, with_validation
 from postlake.schemas import MAX_DELIVERIES
-from postlake.sources.bronze import land_pages, page_log, read_landing_stream
-from postlake.sources.tables import append_batch, read_current, read_log
+from postlake.session import staged
+from postlake.sources.bronze import land_pages, page_log, read_landing_stream, unreadable_pages
+from postlake.sources.tables import append_batch, first_batch, read_current, read_log
 
 
 def _land(pages: DataFrame, batch: int, root: str) -> None:
@@ -20,6 +23,7 @@ def _land(pages: DataFrame, batch: int, root: str) -> None:
     landed = read_log(spark, "page_log", root, below=batch)
     append_batch(land_pages(pages, landed), "data_points", root, batch)
     append_batch(page_log(pages), "page_log", root, batch)
+    append_batch(unreadable_pages(pages), "page_quarantine", root, batch)
 
 
 def _curate(spark: SparkSession, batch: int, root: str) -> None:
@@ -29,8 +33,10 @@ def _curate(spark: SparkSession, batch: int, root: str) -> None:
     rows of touched posts are written.
     """
     raw = read_log(spark, "data_points", root, below=batch + 1, above=batch - 1).drop("id", "ig_media_id")
-    good, _ = split_valid(with_validation(raw))
+    # Checked once: both parts are filters over the stored rows.
+    good, bad = split_valid(staged(with_validation(raw), "checked"))
     append_batch(good, "observations", root, batch)
+    append_batch(bad, "item_quarantine", root, batch)
     observations = read_log(spark, "observations", root, below=batch + 1, above=batch - 1)
     touched = observations.select("ig_media_id").distinct()
     files = touched.select(stable_id(F.col("ig_media_id")).alias("media_id"))
@@ -44,7 +50,10 @@ def _curate(spark: SparkSession, batch: int, root: str) -> None:
     append_batch(change_history(observations, latest_history(known), pairs), "media_post_history", root, batch)
 
     before = read_current(spark, "media_assets", root, below=batch, only=files)
-    append_batch(merge_assets(before, ensure_pending(observations, before)), "media_assets", root, batch)
+    pending = staged(ensure_pending(observations, before), "pending")
+    append_batch(merge_assets(before, pending), "media_assets", root, batch)
+    jobs = pending.filter("enqueue").select(F.lit("DOWNLOAD_MEDIA_ASSET").alias("type"), "media_id", F.col("fetched_from_url").alias("url"))
+    append_batch(jobs, "download_jobs", root, batch)
 
     # Progress last: counters never run ahead of the rows they count.
     append_batch(_progress(spark, observations, posts, before, batch, root), "run_deltas", root, batch)
@@ -67,19 +76,31 @@ def _progress(
     pages = pages.groupBy("sync_run_id").agg(F.count("*").alias("pages_fetched"))
     written = read_log(spark, "media_post_history", root, below=batch + 1, above=batch - 1)
     written = written.groupBy("sync_run_id").agg(F.count("*").alias("metrics_recorded"))
-    return pages.join(seen, "sync_run_id", "left").join(written, "sync_run_id", "left").fillna(0)
+    unread = read_log(spark, "page_quarantine", root, below=batch + 1, above=batch - 1)
+    unread = unread.groupBy("sync_run_id").agg(F.count("*").alias("pages_unreadable"))
+    invalid = read_log(spark, "item_quarantine", root, below=batch + 1, above=batch - 1)
+    invalid = invalid.groupBy("sync_run_id").agg(F.count("*").alias("items_invalid"))
+    # A run may have nothing but unreadable pages.
+    out = pages.join(unread, "sync_run_id", "full_outer")
+    for part in (seen, written, invalid):
+        out = out.join(part, "sync_run_id", "left")
+    return out.fillna(0)
 
 
 def run_progress(spark: SparkSession, root: str) -> DataFrame:
-    """Counters per run, summed over the batches that fed it."""
+    """Counters per run, summed over the batches that fed it, and ``failure`` for ``finish_runs``: a run with an
+    unreadable page is not complete and cannot succeed."""
     deltas = read_log(spark, "run_deltas", root)
     names = [c for c in deltas.columns if c != "sync_run_id"]
-    return deltas.groupBy("sync_run_id").agg(*[F.sum(c).alias(c) for c in names])
+    summed = deltas.groupBy("sync_run_id").agg(*[F.sum(c).alias(c) for c in names])
+    lost = F.format_string("%d unreadable page(s)", F.col("pages_unreadable"))
+    return summed.withColumn("failure", F.when(F.col("pages_unreadable") > 0, lost))
 
 
 def land_available(spark: SparkSession, landing: str, root: str, checkpoint: str, max_files: int | None = None) -> None:
     """Land every page that arrived since the checkpoint, raw rows only, then stop."""
-    _run(spark, landing, checkpoint, max_files, lambda pages, batch: _land(pages, batch, root))
+    pages = read_landing_stream(spark, landing, max_files)
+    _run(pages, root, checkpoint, lambda rows, batch: _land(rows, batch, root))
 
 
 def ingest_available(spark: SparkSession, landing: str, root: str, checkpoint: str, max_files: int | None = None) -> None:
@@ -93,13 +114,21 @@ def ingest_available(spark: SparkSession, landing: str, root: str, checkpoint: s
         _land(pages, batch, root)
         _curate(pages.sparkSession, batch, root)
 
-    _run(spark, landing, checkpoint, max_files, step)
+    _run(read_landing_stream(spark, landing, max_files), root, checkpoint, step)
+
+
+def _run(rows: DataFrame, root: str, checkpoint: str, step: Callable[[DataFrame, int], None]) -> None:
+    """Run ``step`` on every micro-batch, numbered after what other streams left in the lake."""
+    first: dict[str, int] = {}
 
+    def numbered(batch_rows: DataFrame, batch: int) -> None:
+        spark = batch_rows.sparkSession
+        if not first:
+            first["batch"] = first_batch(spark, root, spark.sparkContext.getLocalProperty("sql.streaming.queryId"))
+        step(batch_rows, first["batch"] + batch)
 
-def _run(spark, landing, checkpoint, max_files, step) -> None:
     query = (
-        read_landing_stream(spark, landing, max_files)
-        .writeStream.foreachBatch(step)
+        rows.writeStream.foreachBatch(numbered)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -107,10 +136,27 @@ def _run(spark, landing, checkpoint, max_files, step) -> None:
     query.awaitTermination()
 
 
-def dedupe_stream(messages: DataFrame, at: str = "delivered_at", within: str = "7 days") -> DataFrame:
-    """First delivery of every message id. The watermark bounds the state: an id is forgotten
-    once no redelivery within the given time is possible."""
-    return messages.withWatermark(at, within).dropDuplicatesWithinWatermark(["message_id"])
+BUCKETS = 64
+
+
+def dedupe_available(messages: DataFrame, root: str, checkpoint: str) -> None:
+    """Add every message of the stream that is not in the lake's ``messages`` yet, then stop.
+
+    However late a delivery comes, it is kept when it is the first with its id: there is no watermark that would drop
+    it. Ids lie in BUCKETS folders by hash; a micro-batch reads the folders that its ids fall into. Of several
+    deliveries in a micro-batch the earliest stays.
+    """
+
+    def step(rows: DataFrame, batch: int) -> None:
+        bucket = F.pmod(F.xxhash64("message_id"), F.lit(BUCKETS)).cast("int")
+        first = F.min_by(F.struct("hashtag_id", "delivered_at"), F.struct("delivered_at", "hashtag_id"))
+        fresh = rows.groupBy("message_id").agg(first.alias("first")).select("message_id", "first.*", bucket.alias("bucket"))
+        fresh = staged(fresh, "deliveries")
+        touched = [row[0] for row in fresh.select("bucket").distinct().collect()]  # BUCKETS numbers at most
+        known = read_log(rows.sparkSession, "messages", root, below=batch).filter(F.col("bucket").isin(touched))
+        append_batch(fresh.join(known.select("message_id"), "message_id", "left_anti"), "messages", root, batch)
+
+    _run(messages, root, checkpoint, step)
 
 
 def dead_letter(deliveries: DataFrame, max_deliveries: int = MAX_DELIVERIES) -> DataFrame:

@@ -1,11 +1,13 @@
 """Time-line operators, the read query, and the tag and asset state changes."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from postlake.functions import scalars as fn
 from postlake.operators import assets as A
 from postlake.operators import listing as L
 from postlake.operators import reports as R
@@ -197,3 +199,71 @@ def test_health_counts_failures_since_success(spark):
     )
     got = {r.id: (r.consecutive_failures, r.last_sync_error) for r in TG.sync_health(tags, ends).collect()}
     assert got == {"h1": (1, "late"), "h2": (6, "x" * 2000), "h3": (0, None), "h4": (5, "old")}
+
+
+def test_runs_over_midnight_do_not_tie_the_days_together(spark):
+    night = dt.datetime(2026, 3, 1, 23, 58, tzinfo=UTC)
+    rows = [("m1", f"r{d}", night + dt.timedelta(days=d, minutes=m)) for d in range(10) for m in (0, 3, 5)]
+    # A run inside the night's run goes with it; one that starts a second later does not.
+    rows += [("m1", "inner", night + dt.timedelta(days=4, minutes=4)), ("m1", "next", night + dt.timedelta(days=4, minutes=5, seconds=1))]
+    out = TL.closed_segments(spark.createDataFrame(rows, "k string, g string, at timestamp"), "k", "g", "at").collect()
+    found = {}
+    for r in out:
+        found.setdefault(r.g, set()).add(r.segment)
+    assert all(len(s) == 1 for s in found.values()) and len(out) == len(rows)
+    assert len({min(s) for g, s in found.items() if g[0] == "r"}) == 10
+    assert found["inner"] == found["r4"] and found["next"] == found["r5"]
+
+
+def test_run_of_several_days_is_one_segment(spark):
+    day = dt.timedelta(days=1)
+    rows = [("m1", "long", DAY0), ("m1", "long", DAY0 + 4 * day), ("m1", "a", DAY0 + 2 * day), ("m1", "b", DAY0 + 4 * day + dt.timedelta(hours=1)), ("m1", "c", DAY0 + 4 * day - dt.timedelta(hours=1))]
+    out = {r.g: r.segment for r in TL.closed_segments(spark.createDataFrame(rows, "k string, g string, at timestamp"), "k", "g", "at").collect()}
+    assert out["long"] == out["a"] == out["c"] != out["b"]
+
+
+@pytest.mark.parametrize("token", ["!!", "bm90IGpzb24", "eyJpZCI6MX0", "W10", "eyJ0YWtlbkF0IjoibmV2ZXIiLCJpZCI6IjAwMDAwMDAwLTAwMDAtNDAwMC04MDAwLTAwMDAwMDAwMDAwMSJ9"])
+def test_broken_cursors_are_refused(token):
+    with pytest.raises(ValueError, match="cursor"):
+        L.ListArgs(cursor=token)
+
+
+def test_page_document_and_asset_scan(spark):
+    posts, tags, files, _ = listing(spark)
+    first = json.loads(L.page_document(posts, tags, files, L.ListArgs(limit=7)).first()[0])
+    assert list(first) == ["limit", "count", "total", "hasMore", "nextCursor"] and (first["count"], first["total"], first["hasMore"]) == (7, 40, True)
+    none = json.loads(L.page_document(posts, tags, files, L.ListArgs(hashtag="kyoto", taken_after=dt.datetime(2200, 1, 1))).first()[0])
+    assert none["count"] == 0 and none["total"] > 0 and none["hasMore"] is False and none["nextCursor"] is None
+
+
+def test_redelivered_message_starts_another_run(spark):
+    jobs = "type string, hashtag_id string, message_id string, attempt int, at timestamp"
+    runs = spark.createDataFrame([("old", "T", "h1", "partial", "m", DAY0, 3, 40, "c9"), ("open", "T", "h2", "running", "n", DAY0, 1, 12, "c2")],
+                                 "id string, type string, hashtag_id string, status string, triggered_by_message_id string, started_at timestamp, attempts int, items_seen int, last_cursor string")
+    def start(at, attempt):
+        rows = spark.createDataFrame([("T", "h1", "m", attempt, at), ("T", "h2", "x", 1, at)], jobs)
+        return {r.hashtag_id: r for r in RN.start_runs(rows, runs).collect()}
+    one, two = start(DAY0, 1), start(DAY0 + dt.timedelta(days=1), 2)
+    assert one["h1"].id != two["h1"].id and one["h1"].id == start(DAY0, 1)["h1"].id and two["h1"].attempts == 2
+    assert (one["h2"].id, one["h2"].attempts, one["h2"].items_seen, one["h2"].last_cursor) == ("open", 2, 12, "c2")
+
+
+def test_sixty_day_run_has_a_duration(spark):
+    row = spark.createDataFrame([(DAY0, DAY0 + dt.timedelta(days=60))], "a timestamp, b timestamp")
+    assert row.select(fn.duration_ms(F.col("a"), F.col("b"))).first()[0] == 60 * 86_400_000
+
+
+def test_quota_per_account(spark):
+    rows = [("a", "h1", DAY0), ("a", "h2", DAY0 + dt.timedelta(days=1)), ("b", "h1", DAY0 + dt.timedelta(days=1))]
+    runs = spark.createDataFrame(rows, "account string, hashtag_id string, started_at timestamp")
+    got = {(r.account, r.entered): r.unique_tags for r in TG.rolling_unique_tags(runs, account="account").orderBy("entered_at").collect()}
+    assert got == {("a", 1): 2, ("b", 1): 1}
+
+
+def test_stored_objects_are_written_once(spark, tmp_path):
+    files = spark.createDataFrame([("ab" * 32, bytearray(b"x"), 1, 1), ("ab" * 32, bytearray(b"x"), 1, 2), ("cd" * 32, bytearray(b"y"), 1, 3)], "sha256 string, content binary, size_bytes long, arrival int")
+    files = files.withColumn("content_type", F.lit("image/png"))
+    for _ in range(2):
+        A.asset_store(files, str(tmp_path))
+    assert sorted(r.storage_key for r in spark.read.parquet(f"{tmp_path}/batch=0").collect()) == [f"media/ab/ab/{'ab' * 32}.png", f"media/cd/cd/{'cd' * 32}.png"]
+    assert (tmp_path / "batch=0" / "p1=ab" / "p2=ab").exists()

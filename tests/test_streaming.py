@@ -113,3 +113,46 @@ def test_messages_are_routed_once(spark, tmp_path):
 
 def test_shared_folder_follows_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_nothing_is_lost_at_ingestion(spark, tmp_path):
+    good = {"id": "a", "media_type": "IMAGE", "permalink": "https://e.com/a", "timestamp": "2026-01-02T03:04:05.678+00:00", "like_count": 3_000_000_000}
+    bad = [{**good, "id": "b", "like_count": 3.0000001}, {**good, "id": "c", "permalink": "https://e xample.com/"}, {**good, "id": "d", "timestamp": "2026-01-02T03:04:05"}]
+    base = {"hashtag_id": "h", "source": "top", "attempt": 1, "fetched_at": "2026-01-03T00:00:00.000000Z"}
+    pages = [
+        {**base, "sync_run_id": "r1", "arrival_seq": 1, "body": json.dumps({"data": [good, *bad]})}, {**base, "sync_run_id": "r1", "arrival_seq": 2, "body": '{"data":['},
+        {**base, "sync_run_id": "r2", "arrival_seq": 1, "body": "<html>"}, {**base, "sync_run_id": "r3", "arrival_seq": 1, "body": json.dumps({"data": [good]})},
+    ]
+    put(tmp_path / "in", "a.json", pages)
+    lake = f"{tmp_path}/lake"
+    ingest.ingest_available(spark, f"{tmp_path}/in", lake, f"{tmp_path}/cp")
+    parked = {(r.sync_run_id, r.arrival_seq): (r.body, r.reason) for r in tables.read_log(spark, "page_quarantine", lake).collect()}
+    assert parked == {("r1", 2): ('{"data":[', "not JSON"), ("r2", 1): ("<html>", "not JSON")}
+    items = {json.loads(r.payload)["id"]: list(r.errors) for r in tables.read_log(spark, "item_quarantine", lake).collect()}
+    assert items == {"b": ["like_count"], "c": ["permalink"], "d": ["timestamp"]}
+    runs = {r.sync_run_id: r for r in ingest.run_progress(spark, lake).collect()}
+    assert (runs["r1"].pages_fetched, runs["r1"].pages_unreadable, runs["r1"].items_seen, runs["r1"].items_invalid) == (1, 1, 1, 3)
+    assert runs["r1"].failure and runs["r2"].failure and runs["r3"].failure is None
+    post = tables.read_current(spark, "media_posts", lake).first()
+    assert post.like_count == 3_000_000_000 and post.taken_at.microsecond == 678_000
+
+
+def test_new_checkpoint_overwrites_nothing(spark, tmp_path):
+    pages, landed = pages_of(random_observations(33, rows=30, runs=5))
+    lake = f"{tmp_path}/lake"
+    put(tmp_path / "a", "a.json", pages[: len(pages) // 2])
+    ingest.land_available(spark, f"{tmp_path}/a", lake, f"{tmp_path}/cp1")
+    put(tmp_path / "b", "b.json", pages[len(pages) // 2 :])
+    ingest.land_available(spark, f"{tmp_path}/b", lake, f"{tmp_path}/cp2")
+    assert tables.read_log(spark, "data_points", lake).count() == len(landed)
+
+
+def test_late_deliveries_are_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("message_id string, hashtag_id string, delivered_at timestamp").json(f"{tmp_path}/in")
+    put(tmp_path / "in", "a.json", [{"message_id": m, "hashtag_id": "h", "delivered_at": f"2026-05-{d:02d}T00:00:00Z"} for m, d in (("x", 9), ("y", 8), ("x", 7))])
+    ingest.dedupe_available(stream, f"{tmp_path}/lake", f"{tmp_path}/cp")
+    put(tmp_path / "in", "b.json", [{"message_id": m, "hashtag_id": "h", "delivered_at": "2020-01-01T00:00:00Z"} for m in ("y", "z")])
+    ingest.dedupe_available(stream, f"{tmp_path}/lake", f"{tmp_path}/cp")
+    rows = sorted((r.message_id, r.delivered_at.day) for r in tables.read_log(spark, "messages", f"{tmp_path}/lake").collect())
+    assert [m for m, _ in rows] == ["x", "y", "z"] and rows[0][1] == 7
