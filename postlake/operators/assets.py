@@ -81,9 +81,10 @@ def download_summary(outcomes: DataFrame) -> DataFrame:
 def asset_store(files: DataFrame, root: str, known: DataFrame | None = None, batch: str = "0") -> None:
     """Write each distinct new object once, below ``batch`` and a folder per key level.
 
-    A repeated batch replaces its own folders, so nothing is stored twice. Winners are chosen on keys alone. The bytes
-    move once: files are partitioned by key, which spreads over as many tasks as the session has shuffle
-    partitions, and the winners come to them; writing keeps that partitioning.
+    A repeated batch replaces its own folders, so nothing is stored twice. Winners are chosen on keys alone and found by
+    (key, arrival), so copies of one file are never gathered; where the winners' table is small Spark broadcasts it
+    and no bytes move for this. Then the winners, each object once, move to the task of their folder: a folder is
+    written by one task, as one file.
     """
     keyed = with_storage_key(files)
     firsts = _first_arrivals(keyed.select("storage_key", "arrival"), known)
@@ -91,7 +92,7 @@ def asset_store(files: DataFrame, root: str, known: DataFrame | None = None, bat
     out = objects.select("storage_key", "sha256", "size_bytes", "content_type", "content").withColumns(
         {"p1": F.substring("sha256", 1, 2), "p2": F.substring("sha256", 3, 2)}
     )
-    out.write.mode("overwrite").partitionBy("p1", "p2").parquet(f"{root}/batch={batch}")
+    out.repartition("p1", "p2").write.mode("overwrite").partitionBy("p1", "p2").parquet(f"{root}/batch={batch}")
 
 
 def ensure_pending(observations: DataFrame, assets: DataFrame | None = None) -> DataFrame:

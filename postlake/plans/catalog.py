@@ -170,7 +170,6 @@ def _(i):
 def _(i):
     home = shared_dir(i.spark, "objects")
     A.asset_store(i.view("files").withColumn("arrival", F.col("doc_id")), home)
-    A.asset_store(i.view("files").withColumn("arrival", F.col("doc_id")), home)  # a repeat replaces
     stored = i.spark.read.schema("storage_key string, sha256 string, size_bytes bigint, content binary, p1 string, p2 string").parquet(f"{home}/batch=0")
     # The digest is taken again from the stored bytes.
     return stored.select("storage_key", fn.content_sha256(F.col("content").cast("binary")).alias("sha256"), "size_bytes")
