@@ -16,7 +16,7 @@ BLOCK = 64
 WEIGHTS = (1, 2, 3)
 MOST_TIMES = 3
 SHARD_SLOTS = 1 << 16
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 4_000
 
 _U = np.uint64
 
@@ -123,7 +123,9 @@ def slots_of(tags: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS
     shard = Window.partitionBy("shard").orderBy("rank")
     drawn = drawn.withColumn("before", F.sum("n").over(shard) - F.col("n")).withColumn("size", F.sum("n").over(Window.partitionBy("shard")))
     tasks = int(tags.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return drawn.repartition(tasks, "rank", "shard").mapInArrow(lambda b: _place(b, seed), "rank int, block long, times long, shard long, slot long")
+    placed = drawn.repartition(tasks, "rank", "shard").mapInArrow(lambda b: _place(b, seed), "rank int, block long, times long, shard long, slot long")
+    # Written, so that the join with blocks goes by the measured size: a plan takes the slots for as few as the draws.
+    return staged(placed, "slots")
 
 
 def mix_posts(posts: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = 7) -> DataFrame:
