@@ -7,7 +7,9 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,7 +54,7 @@ class Encoder:
             self.automaton.add_word(text, (k, len(text), score))
         self.automaton.make_automaton()
         self.floor = min((score for _, _, score in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         texts = [text for _, text, _ in vocabulary.pieces]
         # No piece reaches over a place where a space mark follows another character, nor over a line end that no
         # piece holds, so a text may be cut there and its parts looked up.
@@ -67,6 +69,9 @@ class Encoder:
         found = [self.bytes_[b] for b in character.encode("utf-8", "replace")]
         return found if min(found) >= 0 else [self.unknown]
 
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, "<i4").tobytes()
+
     def viterbi(self, chunk: str) -> list[int]:
         """Best-scoring pieces of a chunk.
 
@@ -94,44 +99,60 @@ class Encoder:
         yield from self.automaton.iter(chunk) if len(self.automaton) else ()
         yield len(chunk) - 1, (None, 0, 0.0)
 
-    def encode(self, text: str | None) -> list[int] | None:
-        if text is None:
-            return None
-        ids: list[int] = []
-        known = self.known
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as 32-bit numbers, end to end."""
+        out: list[bytes] = []
         if text:
             for n, part in enumerate(text.split(SPACE)):
                 if n:  # the mark itself occurs in the text: its bytes stand for it
-                    ids += self.fallback(SPACE)
-                for chunk in self.chunks.findall((SPACE if n == 0 else "") + part.replace(" ", SPACE)):
-                    found = known.get(chunk)
-                    if found is None:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        found = known[chunk] = self.viterbi(chunk)
-                    ids += found
+                    out.append(self._packed(self.fallback(SPACE)))
+                chunks = self.chunks.findall((SPACE if n == 0 else "") + part.replace(" ", SPACE))
+                found = list(map(self.known.get, chunks))
+                if None in found:
+                    found = [ids if ids is not None else self._learn(chunk) for ids, chunk in zip(found, chunks)]
+                out += found
+        return b"".join(out)
+
+    def _learn(self, chunk: str) -> bytes:
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        ids = self.known[chunk] = self._packed(self.viterbi(chunk))
         return ids
 
 
 class Decoder:
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.table = {k: text.replace(SPACE, " ").encode() for k, text, _ in vocabulary.pieces}
-        self.table |= {k: bytes([b]) for b, k in enumerate(vocabulary.bytes_) if k >= 0}
-        self.table[vocabulary.unknown] = " ⁇ ".encode()
+    """Bytes of all pieces end to end; ids that are no piece spell nothing."""
 
-    def decode(self, ids: list[int] | None) -> str | None:
-        if ids is None:
-            return None
-        text = b"".join([self.table.get(k, b"") for k in ids]).decode("utf-8", "replace")
-        return text.removeprefix(" ")
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        table = {k: text.replace(SPACE, " ").encode() for k, text, _ in vocabulary.pieces}
+        table |= {k: bytes([b]) for b, k in enumerate(vocabulary.bytes_) if k >= 0}
+        table[vocabulary.unknown] = " ⁇ ".encode()
+        texts = [table.get(k, b"") for k in range(max(table) + 1)]
+        self.lengths = np.array([*map(len, texts), 0])
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.blob = np.frombuffer(b"".join(texts), np.uint8)
+
+    def decode(self, ids: np.ndarray, cuts: np.ndarray) -> list[str]:
+        """Texts of runs of ids: run k lies between cuts k and k+1."""
+        ids = np.where((ids < 0) | (ids >= len(self.lengths) - 1), len(self.lengths) - 1, ids)
+        lengths = self.lengths[ids]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        spelled = self.blob[np.repeat(self.begins[ids] - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
+        places = ends[cuts].tolist()
+        return [spelled[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(places[:-1], places[1:])]
 
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast) -> Iterator[pa.RecordBatch]:
     encoder = Encoder(Vocabulary(*vocabulary.value))
     for batch in in_parts(batches):
-        ids = [encoder.encode(t) for t in batch["caption"].to_pylist()]
-        columns = [batch["id"], pa.array([len(x or ()) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "n_pieces", "pieces"])
+        texts = batch["caption"].to_pylist()
+        ids = [encoder.encode(t) if t is not None else b"" for t in texts]
+        counts = np.array([len(x) // 4 for x in ids], np.int64)
+        offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+        values = pa.Array.from_buffers(pa.int32(), int(counts.sum()), [None, pa.py_buffer(b"".join(ids))])
+        missing = pa.array([t is None for t in texts])
+        lists = pa.ListArray.from_arrays(offsets, values, mask=missing)
+        yield pa.RecordBatch.from_arrays([batch["id"], pa.array(counts), lists], names=["id", "n_pieces", "pieces"])
 
 
 def encode_captions(posts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -153,8 +174,10 @@ def encode_captions(posts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def _decode(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast) -> Iterator[pa.RecordBatch]:
     decoder = Decoder(Vocabulary(*vocabulary.value))
     for batch in in_parts(batches):
-        texts = [decoder.decode(ids) for ids in batch["pieces"].to_pylist()]
-        columns = [*batch.columns, pa.array(texts, pa.string())]
+        lists = batch["pieces"]
+        counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
+        texts = decoder.decode(lists.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(counts))))
+        columns = [*batch.columns, pa.array(texts, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))]
         yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "caption"])
 
 

@@ -1,6 +1,7 @@
 import itertools
 import math
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -16,6 +17,10 @@ def vocabulary():
     return sp.read_vocabulary(TOKENIZER)
 
 
+def ids(packed):
+    return np.frombuffer(packed, "<i4").tolist()
+
+
 def best_score(text, scores, floor):
     """Plain dynamic programme over all pieces."""
     best = [0.0] + [-math.inf] * len(text)
@@ -52,20 +57,20 @@ def test_toy_model_against_all_segmentations():
         found = encoder.viterbi(word)
         assert "".join(texts[k][0] for k in found) == word
         assert sum(texts[k][1] for k in found) == pytest.approx(best_score(word, {t: s for _, t, s in pieces}, -15.0))
-    assert encoder.encode("aXb") == [5, 9, 3]
+    assert ids(encoder.encode("aXb")) == [5, 9, 3]
 
 
 def test_cut_texts_give_the_pieces_of_whole_texts(vocabulary):
     encoder = sp.Encoder(vocabulary)
     for text in TEXTS[1:6] + [caption(5, 50)]:
         whole = sp.SPACE + text.replace(" ", sp.SPACE)
-        assert encoder.encode(text) == encoder.viterbi(whole)
+        assert ids(encoder.encode(text)) == encoder.viterbi(whole)
 
 
 def test_pieces_decode_as_the_library_decodes(vocabulary):
     model, encoder = sentencepiece.SentencePieceProcessor(model_file=TOKENIZER), sp.Encoder(vocabulary)
     for text in ["Hello  world", "naïve café 🍵", caption(6, 30)]:
-        assert model.decode(encoder.encode(text)) == text
+        assert model.decode(ids(encoder.encode(text))) == text
 
 
 def test_repeated_rows_null_ids_and_empty_table(spark, vocabulary):
