@@ -25,6 +25,17 @@ def n_words(column) -> F.Column:
     return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def lowest_hashes(rows: DataFrame, n: int, total: int, *columns: str) -> DataFrame:
+    """About the ``n`` rows with the lowest hash of ``columns``, out of ``total``.
+
+    Rows whose hash is far above the n-th lowest are left out before the sort, so what the tasks send to be sorted is
+    bounded by ``n`` and does not grow with their number.
+    """
+    place = F.shiftrightunsigned(F.xxhash64(*columns), 11)
+    edge = int(min(1.0, (2 * n + 1000) / max(total, 1)) * (1 << 53))
+    return rows.filter(place < edge).orderBy(place, *columns).limit(n)
+
+
 def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """Batches cut small, so that few texts at a time are Python objects."""
     for batch in batches:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.common import in_parts
+from postlake.llm.common import in_parts, lowest_hashes
 from postlake.session import staged
 
 ORDERS = (4, 5, 6)
@@ -182,7 +182,7 @@ def train_toxicity(
     empty = np.empty(0, np.int64), np.empty(0)
     if len(shares) < 2:
         return Model(60.0 if shares.get(1) else -60.0, *empty)
-    drawn = [usable.filter(F.col("toxic") == c).orderBy(F.xxhash64("id"), "id").limit(per_class) for c in (0, 1)]
+    drawn = [lowest_hashes(usable.filter(F.col("toxic") == c), per_class, shares[c], "id") for c in (0, 1)]
     sample = F.broadcast(drawn[0].union(drawn[1]))
     # Texts of the sample, dealt to few tasks, as a count table is made per task.
     texts = posts.select("id", "caption").join(sample, "id").select(F.xxhash64("id").alias("place"), "caption", "toxic")

@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postlake.llm.common import lowest_hashes
 from postlake.session import staged
 
 # Frame marks and the skippable mark that holds a dictionary.
@@ -54,8 +55,9 @@ def record_plan(data_points: DataFrame, shared_from: int = SHARED_FROM) -> DataF
 
 def train_dictionary(data_points: DataFrame) -> bytes:
     """A dictionary from a bounded sample: SAMPLES payloads by lowest hash, SAMPLE_BYTES of each. Empty if too little to learn from."""
-    drawn = data_points.filter("payload is not null").select("payload", F.xxhash64("id", "payload").alias("h")).orderBy("h").limit(SAMPLES)
-    samples = [row[0].encode() for row in drawn.select(F.substring("payload", 1, SAMPLE_BYTES)).collect()]
+    held = data_points.filter("payload is not null").select("id", F.sha1("payload").alias("sha1"), F.substring("payload", 1, SAMPLE_BYTES).alias("sample"))
+    drawn = lowest_hashes(held, SAMPLES, data_points.count(), "id", "sha1")
+    samples = [row[0].encode() for row in drawn.select("sample").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 8 else b""
     except zstandard.ZstdError:
