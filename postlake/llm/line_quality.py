@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import in_parts
+from postlake.llm.common import in_parts, lowest_hashes
 from postlake.session import staged
 
 # The base rules.
@@ -24,7 +24,13 @@ FOLDS = 5
 
 _SYMBOL_BYTES = np.zeros(256, bool)
 _SYMBOL_BYTES[list(SYMBOLS.encode())] = True
-_ENDS = tuple(b".!?:;,\"')")
+_ENDS, _STOPS = frozenset(b".!?:;,\"')"), frozenset(b".,;:!?")
+# Kinds of bytes: 1 symbols, 2 digits, 3 capitals A-Z, 4 blanks.
+_KINDS = np.zeros(256, np.int64)
+_KINDS[list(SYMBOLS.encode())] = 1
+_KINDS[48:58] = 2
+_KINDS[65:91] = 3
+_KINDS[[9, 10, 11, 12, 13, 32]] = 4
 # Upper bounds of the bins that a line's figures fall into.
 _BINS = (
     ("words", (1, 2, 4, 8, 16, 32, 64, 128)),
@@ -51,18 +57,23 @@ class Field(NamedTuple):
     start: np.ndarray
 
 
-def line_features(line: bytes, words: list[bytes], seen: bool) -> list[int]:
-    """One bin per figure of a line with words."""
+def line_figures(line: bytes, words: list[bytes], seen: bool) -> tuple:
+    """Figures of a line with words."""
     n = len(words)
     codes = np.frombuffer(line, np.uint8)
-    letters = max(1, sum(map(len, words)))
-    upper = int(((codes >= 65) & (codes <= 90)).sum())
-    figures = (
-        n, int(_SYMBOL_BYTES[codes].sum()) / n, sum(a == b for a, b in zip(words, words[1:])) / n, len(set(words)) / n,
-        int(((codes >= 48) & (codes <= 57)).sum()) / letters, letters / n, sum(w[-1] in b".,;:!?" for w in words) / n, upper / letters,
-        float(seen), float(words[-1][-1] in _ENDS), float(words[0][:1].isupper() or words[0][0] >= 0xC3),
+    kinds = np.bincount(_KINDS[codes], minlength=5)
+    letters = len(line) - int(kinds[4])
+    first, last = words[0][0], words[-1][-1]
+    return (
+        n, kinds[1] / n, sum(map(bytes.__eq__, words, words[1:])) / n, len(set(words)) / n, kinds[2] / letters, letters / n,
+        sum(w[-1] in _STOPS for w in words) / n, kinds[3] / letters, seen, last in _ENDS, 65 <= first <= 90 or first >= 0xC3,
     )
-    return [int(offset) + int(np.searchsorted(bounds, value)) for offset, (_, bounds), value in zip(_OFFSETS, _BINS, figures)]
+
+
+def line_bins(figures: list[tuple]) -> np.ndarray:
+    """One bin per figure of every line."""
+    table = np.array(figures, np.float64).reshape(-1, len(_BINS))
+    return np.stack([offset + np.searchsorted(bounds, table[:, k]) for k, (offset, (_, bounds)) in enumerate(zip(_OFFSETS, _BINS))], axis=1)
 
 
 def base_figures(text: str | None) -> tuple[dict, list[tuple[bytes, list[bytes], bool]]]:
@@ -107,23 +118,22 @@ def repeated_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
     return int((np.cumsum(marks)[:-1] > 0).sum())
 
 
-def _emissions(features: np.ndarray, field: Field) -> np.ndarray:
-    return field.emit[features].sum(axis=1)
-
-
 def viterbi(scores: np.ndarray, field: Field) -> np.ndarray:
     """Best labels of a line sequence. On a tie content stays."""
-    n = len(scores)
-    best, back = scores[0] + field.start, np.zeros((n, 2), np.int64)
-    for t in range(1, n):
-        reach = best[:, None] + field.move
-        back[t] = np.where(reach[1] >= reach[0], 1, 0)
-        best = np.maximum(reach[0], reach[1]) + scores[t]
-    labels = np.zeros(n, np.int64)
-    labels[-1] = int(best[1] >= best[0])
-    for t in range(n - 1, 0, -1):
-        labels[t - 1] = back[t, labels[t]]
-    return labels
+    (m00, m01), (m10, m11) = field.move.tolist()
+    rows = scores.tolist()
+    b0, b1 = rows[0][0] + float(field.start[0]), rows[0][1] + float(field.start[1])
+    back = []
+    for s0, s1 in rows[1:]:
+        to0, to1 = b1 + m10 >= b0 + m00, b1 + m11 >= b0 + m01
+        back.append((to0, to1))
+        b0, b1 = (b1 + m10 if to0 else b0 + m00) + s0, (b1 + m11 if to1 else b0 + m01) + s1
+    label = b1 >= b0
+    labels = [label]
+    for step in reversed(back):
+        label = step[label]
+        labels.append(label)
+    return np.array(labels[::-1], np.int64)
 
 
 def held_out(post_id) -> F.Column:
@@ -136,7 +146,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch["caption"].to_pylist():
             _, lines = base_figures(text)
             step = -(-len(lines) // SAMPLE_LINES) if lines else 1
-            rows.append([f for line in lines[::step] for f in line_features(*line)])
+            rows.append(line_bins([line_figures(*line) for line in lines[::step]]).reshape(-1).tolist())
         yield pa.RecordBatch.from_arrays([batch["quality"], pa.array(rows, pa.list_(pa.int16()))], names=["quality", "features"])
 
 
@@ -193,7 +203,8 @@ def train_field(posts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
     """
     usable = labels.filter("id is not null and quality is not null").groupBy("id").agg(F.min("quality").alias("quality"))
     usable = staged(usable.filter(~held_out(F.col("id"))).select("id", F.when(F.col("quality") > 0, 1).otherwise(0).alias("quality")), "quality-labels")
-    drawn = [usable.filter(F.col("quality") == c).orderBy(F.xxhash64("id"), "id").limit(per_class) for c in (0, 1)]
+    shares = dict(usable.groupBy("quality").count().collect())
+    drawn = [lowest_hashes(usable.filter(F.col("quality") == c), per_class, shares.get(c, 0), "id") for c in (0, 1)]
     texts = posts.select("id", "caption").join(F.broadcast(drawn[0].union(drawn[1])), "id").select("caption", "quality")
     rows = texts.mapInArrow(_featured, "quality int, features array<smallint>").collect()
     rows = sorted((row[0], row[1]) for row in rows if row[1])
@@ -209,14 +220,16 @@ def train_field(posts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
 def _judge(batches: Iterator[pa.RecordBatch], field: Field) -> Iterator[pa.RecordBatch]:
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     for batch in in_parts(batches):
-        rows = []
-        for text in batch["caption"].to_pylist():
-            figures, lines = base_figures(text)
+        judged = [base_figures(text) for text in batch["caption"].to_pylist()]
+        scores = field.emit[line_bins([line_figures(*line) for _, lines in judged for line in lines])].sum(axis=1)
+        rows, low = [], 0
+        for figures, lines in judged:
             n = figures["n_words"]
             failed = n < FEWEST_WORDS or 100 * figures["n_repeat_words"] > MOST_REPEATED * n
             content = 0
             if lines:
-                labels = viterbi(_emissions(np.array([line_features(*line) for line in lines]), field), field)
+                labels = viterbi(scores[low : low + len(lines)], field)
+                low += len(lines)
                 content = sum(len(words) for (_, words, _), label in zip(lines, labels) if label)
             share = content / n if n else 0.0
             rows.append((*(figures[c] for c in names), failed, share, not failed and share >= CONTENT_SHARE))
