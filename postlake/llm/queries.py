@@ -39,18 +39,57 @@ def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts_of(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-@query("op1_embedding_near_dedup")
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+LINKS_SQL = """
+WITH RECURSIVE unit AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+links AS (SELECT a.vec_id AS src, b.vec_id AS dst FROM unit AS a JOIN unit AS b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.dst FROM reach AS r JOIN links AS l ON l.src = r.other),
+lowest AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1), counts AS (SELECT src, count(*) AS n FROM links GROUP BY 1)
+SELECT w.vec_id, coalesce(n, 0) AS n_links, component_id, w.vec_id = component_id AS kept FROM lowest AS w LEFT JOIN counts ON src = w.vec_id"""
+
+PAYLOAD_SQL = """
+WITH sized AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS bytes, sha1(encode(coalesce(html, ''))) AS digest FROM pages),
+chosen AS (SELECT digest AS d, max(page_id) AS response FROM sized WHERE bytes >= 1000 GROUP BY 1)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN coalesce(response, page_id) = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN response <> page_id THEN response END AS refers_to FROM sized LEFT JOIN chosen ON d = digest AND bytes >= 1000"""
+
+REPEATS_SQL = f"""
+WITH texts AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+windows AS (SELECT doc_id, s, words[s:s + 19] AS w FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS s FROM texts WHERE len(words) >= 20)),
+firsts AS (SELECT w, min((doc_id, s)) AS f FROM windows GROUP BY 1),
+gone AS (SELECT doc_id, list(DISTINCT k) AS ks FROM (SELECT doc_id, unnest(generate_series(s, s + 19)) AS k FROM windows JOIN firsts USING (w) WHERE (doc_id, s) <> f) GROUP BY 1),
+kept AS (SELECT t.doc_id, len(words) AS n, CASE WHEN ks IS NULL THEN words ELSE list_filter(words, lambda x, i: NOT list_contains(ks, i)) END AS left_words FROM texts AS t LEFT JOIN gone AS g ON g.doc_id = t.doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(left_words) AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(left_words, ' '), '')) AS kept_sha256 FROM kept"""
+
+
+def _rules_sql() -> str:
+    """Host rules read literally, the other patterns as regular expressions."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    hosts = ", ".join(f"({quoted(r.verdict)}, {quoted(r.pattern[2:].split('/')[0])}, {quoted('/' + r.pattern.split('/', 1)[1])})" for r in url_rules.HOST_RULES)
+    others = ", ".join(f"({quoted(r.verdict)}, {quoted(url_rules._regex(r.pattern).pattern.replace(chr(92) + 'Z', chr(92) + 'z'))}, {len(r.pattern)})" for r in url_rules.PATTERN_RULES)
+    return f"""
+WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+cut AS (SELECT page_id, regexp_extract(rest, '^([^/?#]*)', 1) AS h, regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail FROM (SELECT page_id, coalesce(rest, '') AS rest FROM rest)),
+parts AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(tail, '^([^?]*)', 1) AS path, tail FROM cut),
+hosts AS (SELECT * FROM (VALUES {hosts}) AS t(verdict, h, p)), others AS (SELECT * FROM (VALUES {others}) AS t(verdict, regex, size)),
+ruled AS (SELECT page_id, arg_max(h || p, len(h || p)) AS rule, arg_max(verdict, len(h || p)) AS verdict FROM parts JOIN hosts ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY 1),
+fitted AS (SELECT page_id, arg_max(verdict, 2 * size + CAST(verdict = 'block' AS INT)) AS verdict FROM parts JOIN others ON regexp_matches(host || tail, regex) GROUP BY 1)
+SELECT p.page_id, host, path, rule, coalesce(r.verdict, f.verdict, 'allow') AS verdict FROM parts AS p LEFT JOIN ruled AS r ON r.page_id = p.page_id LEFT JOIN fitted AS f ON f.page_id = p.page_id"""
+
+
+@query("op1_embedding_near_dedup", LINKS_SQL)
 def _(spark, sf_dir):
     return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-@query("op2_warc_zstd")
+@query("op2_warc_zstd", PAYLOAD_SQL)
 def _(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     raw = pages.selectExpr("page_id AS id", "url AS permalink", "html AS payload", "CAST(NULL AS TIMESTAMP) AS fetched_at")
     archives = staged(warc.write_archives(raw, "text/html; charset=utf-8"), "archives")
     records = warc.read_archives(archives, "long")
-    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "error")
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 # The public 32k vocabulary of the box; any SentencePiece model file will do.
@@ -82,7 +121,7 @@ def _(spark, sf_dir):
     return scored.withColumnRenamed("id", "doc_id")
 
 
-@query("op6_substring_dedup")
+@query("op6_substring_dedup", REPEATS_SQL)
 def _(spark, sf_dir):
     cut = substrings.remove_repeats(_posts(spark, sf_dir))
     return cut.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_caption", 256).alias("kept_sha256"))
@@ -110,7 +149,7 @@ def _(spark, sf_dir):
     )
 
 
-@query("op10_url_rules")
+@query("op10_url_rules", _rules_sql())
 def _(spark, sf_dir):
     links = spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr("page_id AS id", "url AS permalink")
-    return url_rules.judge_links(links).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "pattern", "n_checked")
+    return url_rules.judge_links(links).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
