@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_base() -> str:
+    """One folder per process. The setting itself cannot be changed in a running session."""
+    return tempfile.mkdtemp(prefix="postlake-")
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path below ``spark.checkpoint.dir``.
 
@@ -31,9 +38,25 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="postlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = _local_base()
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+# Folders that this process made below the shared folder and has not cleared.
+_handed_out: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every folder that this process got from ``shared_dir``, once the results that read them are consumed.
+
+    The job that builds results owns what they stage: call this at its end.
+    """
+    jvm = spark.sparkContext._jvm
+    while _handed_out:
+        folder = jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -41,7 +64,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
     For results that several branches of a later plan read: they scan the stored columns they
     need instead of repeating the work, and a lost executor costs a re-read only. The folder
-    stays until its owner clears ``spark.checkpoint.dir``.
+    stays until the job calls ``clear_scratch``.
     """
     spark = df.sparkSession
     path = shared_dir(spark, label)

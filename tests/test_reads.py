@@ -267,3 +267,14 @@ def test_stored_objects_are_written_once(spark, tmp_path):
         A.asset_store(files, str(tmp_path))
     assert sorted(r.storage_key for r in spark.read.parquet(f"{tmp_path}/batch=0").collect()) == [f"media/ab/ab/{'ab' * 32}.png", f"media/cd/cd/{'cd' * 32}.png"]
     assert (tmp_path / "batch=0" / "p1=ab" / "p2=ab").exists()
+
+
+def test_a_page_does_not_shuffle_the_assets(spark):
+    posts, tags, files, _ = listing(spark)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = L.list_media(posts, tags, files, L.ListArgs(limit=5))._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin [media_id" in plan and "LeftSemi" in plan

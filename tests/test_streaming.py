@@ -1,11 +1,13 @@
 """Streams end in the same tables as the batch jobs, also across a restart and a repeated batch."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from model import Store, random_observations
-from postlake.session import shared_dir
+from postlake.operators import replay
+from postlake.session import clear_scratch, shared_dir
 from postlake.sources import bronze, tables
 from postlake.streaming import history as SH
 from postlake.streaming import ingest
@@ -156,3 +158,16 @@ def test_late_deliveries_are_kept(spark, tmp_path):
     ingest.dedupe_available(stream, f"{tmp_path}/lake", f"{tmp_path}/cp")
     rows = sorted((r.message_id, r.delivered_at.day) for r in tables.read_log(spark, "messages", f"{tmp_path}/lake").collect())
     assert [m for m, _ in rows] == ["x", "y", "z"] and rows[0][1] == 7
+
+
+def test_scratch_is_cleared_by_its_owner(spark, tmp_path):
+    pages, _ = pages_of(random_observations(34, rows=20, runs=4))
+    put(tmp_path / "in", "a.json", pages)
+    clear_scratch(spark)
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(shared))
+    built = replay.rebuild_all(bronze.land_pages(bronze.read_landing(spark, f"{tmp_path}/in")))
+    assert built.posts.count() and built.new_history.count()
+    assert set(os.listdir(shared)) > before
+    clear_scratch(spark)
+    assert set(os.listdir(shared)) == before
