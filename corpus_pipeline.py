@@ -18,25 +18,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents that the classifier calls toxic. Rows without id are scored too, and kept if clean."""
     posts = posts_of(docs)
     model = toxicity.train_toxicity(posts, labels_of(spark, sf_dir))
-    # Scored with the text itself, so no row is lost or doubled by a join on ids.
-    texts = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("id"), F.col("text").alias("caption"))
-    scored = toxicity.score_rows(texts, model)
+    # Scored with the whole row for an id, so no row is lost or doubled by a join on ids.
+    scored = toxicity.score_rows(whole(docs).select(F.col("doc").alias("id"), F.col("doc.text").alias("caption")), model)
     return scored.filter(F.col("score") < 0.5).select("id.*")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group keep the document with the smallest id. Documents without id have no group and stay."""
+    """Of each SimHash group keep the document with the smallest id. Documents without id stay. Rows that repeat an id
+    and its text become one."""
     found = simhash.simhash_duplicates(posts_of(docs))
     rejected = found.filter("id is not null and not kept").select(F.col("id").alias("rejected_id")).distinct()
-    return docs.join(rejected, F.col("doc_id") == F.col("rejected_id"), "left_anti").dropDuplicates(["doc_id", "text"])
+    kept = whole(docs).join(rejected, F.col("doc.doc_id") == F.col("rejected_id"), "left_anti")
+    return kept.select("doc.*").dropDuplicates(["doc_id", "text"])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages that occur earlier out of the texts. A text that loses nothing stays as it is; one that loses every word goes."""
     cut = substrings.remove_repeats(posts_of(docs)).filter("n_removed > 0")
-    cut = cut.select(F.col("id").alias("cut_id"), "n_words", "n_removed", "kept_caption")
-    joined = docs.join(cut, F.col("doc_id") == F.col("cut_id"), "left").filter("n_removed is null or n_removed < n_words")
-    return with_text(joined, docs.columns, F.coalesce("kept_caption", "text"))
+    cut = cut.select(F.col("id").alias("cut_id"), "caption_hash", "n_words", "n_removed", "kept_caption")
+    cut = cut.dropDuplicates(["cut_id", "caption_hash"])
+    joined = whole(docs).join(cut, (F.col("doc.doc_id") == F.col("cut_id")) & (F.xxhash64("doc.text") == F.col("caption_hash")), "left").filter("n_removed is null or n_removed < n_words")
+    return with_text(joined, docs.columns, F.coalesce("kept_caption", "doc.text"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +47,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     parts = F.sort_array(F.collect_list(F.struct("times", "start", "text")))
     texts = mixed.groupBy("id", "offset").agg(F.array_join(F.transform(parts, lambda p: p["text"]), " ").alias("mixed_text"))
     texts = texts.select(F.col("id").alias("mixed_id"), "mixed_text")
-    rest = docs.drop("text", "n_chars").dropDuplicates(["doc_id"])
-    joined = rest.join(texts, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
+    rest = whole(docs.drop("text", "n_chars").dropDuplicates(["doc_id"]))
+    joined = rest.join(texts, F.col("doc.doc_id").eqNullSafe(F.col("mixed_id")))
     return with_text(joined, docs.columns, F.col("mixed_text"))
 
 
@@ -58,10 +60,15 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decoded.select(F.col("id").alias("doc_id"), "n_pieces", "pieces", F.col("caption").alias("text"))
 
 
+def whole(docs: DataFrame) -> DataFrame:
+    """Rows as one struct column ``doc``, so that no column of theirs clashes with those of a join."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
 def with_text(rows: DataFrame, columns: list[str], text) -> DataFrame:
-    """The columns of documents with another text and its length."""
+    """The columns of documents, out of ``doc``, with another text and its length."""
     new = {"text": text, "n_chars": F.length(text).cast("long")}
-    return rows.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in columns])
+    return rows.select(*[new[c].alias(c) if c in new else F.col(f"doc.`{c}`") for c in columns])
 
 
 STAGES = [

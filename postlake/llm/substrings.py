@@ -283,8 +283,8 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
             removed.append(len(words) - len(left))
             kept.append(b" ".join(left).decode())
         kind = pa.list_(pa.struct([("start", pa.int32()), ("n_words", pa.int32()), ("ref_id", ids.type), ("ref_start", pa.int32())]))
-        columns = [ids, pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(lists, kind)]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "n_removed", "kept_caption", "factors"])
+        columns = [ids, batch["key"], pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(lists, kind)]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "caption_hash", "n_words", "n_removed", "kept_caption", "factors"])
 
 
 def _joined(found: list[dict], window: int) -> list[dict]:
@@ -317,7 +317,7 @@ def remove_repeats(posts: DataFrame, window: int = WINDOW) -> DataFrame:
     of all posts reaches its block once per task. Blocks get a number of words set by ``BLOCK_WORDS``, so their
     number grows with the table and their size does not. The captions move once, to meet their factors.
 
-    Returns one row per row of ``posts``: ``id``, ``n_words``, ``n_removed``, ``kept_caption`` (the words left, joined by one
+    Returns one row per row of ``posts``: ``id``, ``caption_hash`` (XXH64, tells rows of one id apart), ``n_words``, ``n_removed``, ``kept_caption`` (the words left, joined by one
     space) and ``factors`` (``start``, ``n_words``, ``ref_id``, ``ref_start`` in words; they may overlap). Null and empty captions
     have no words and the kept caption is empty. Rows that share an id are read as one post: only an earlier start
     counts among them. A post without id keeps all words and is no reference. An empty table gives an empty result.
@@ -334,7 +334,7 @@ def remove_repeats(posts: DataFrame, window: int = WINDOW) -> DataFrame:
     parsed = staged(filed.groupBy("block").applyInArrow(_parse_block, found), "factors")
     factor = F.struct("start", "n", "ref_id", "ref_start")
     parsed = parsed.groupBy("id", "key").agg(F.collect_list(factor).alias("factors"))
-    given = texts.join(parsed, ["id", "key"], "left").select("id", "caption", "factors")
+    given = texts.join(parsed, ["id", "key"], "left").select("id", "key", "caption", "factors")
     kept = T.StructType().add("start", T.IntegerType()).add("n_words", T.IntegerType()).add("ref_id", id_type).add("ref_start", T.IntegerType())
-    out = T.StructType().add("id", id_type).add("n_words", T.LongType()).add("n_removed", T.LongType()).add("kept_caption", T.StringType())
+    out = T.StructType().add("id", id_type).add("caption_hash", T.LongType()).add("n_words", T.LongType()).add("n_removed", T.LongType()).add("kept_caption", T.StringType())
     return given.mapInArrow(lambda b: _cut(b, window), out.add("factors", T.ArrayType(kept)))

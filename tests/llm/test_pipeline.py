@@ -9,11 +9,11 @@ from tests.llm.helpers import caption
 from tests.llm.test_simhash import brute_fingerprint
 from tests.llm.test_substrings import brute
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, caption string, kept boolean, score double"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, caption string, kept boolean, score double, doc string, n_words int, n_removed int, kept_caption string, cut_id long, mixed_id long, rejected_id long"
 
 
 def docs(spark, rows):
-    return spark.createDataFrame([(i, t, "en", s, len(t or ""), "x", "y", True, 2.0) for i, t, s in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), "x", "y", True, 2.0, "d", 1, 1, "k", i, i, i) for i, t, s in rows], SCHEMA)
 
 
 @pytest.fixture(scope="module")
