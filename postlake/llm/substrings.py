@@ -18,7 +18,7 @@ WINDOW = 20
 # A window is filed under the smallest hash among its runs of GRAM words.
 GRAM = 6
 # Words that a task indexes before it sends what it found, and about as many windows as a block holds.
-FLUSH_WORDS = 1 << 20
+FLUSH_WORDS = 1 << 18
 BLOCK_WORDS = 1 << 20
 
 _U = np.uint64
