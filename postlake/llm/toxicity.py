@@ -61,7 +61,7 @@ def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(owners), np.concatenate(hashes)
 
 
-def _parts(batches: Iterator[pa.RecordBatch], chars: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
+def _parts(batches: Iterator[pa.RecordBatch], chars: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Batches cut so that a part holds about ``chars`` characters, or one text."""
     for batch in in_parts(batches):
         texts, low, size = batch["caption"].to_pylist(), 0, 0
@@ -108,17 +108,23 @@ def _ratios(frame: pd.DataFrame, significance: float, strength: float) -> pd.Dat
 
 
 def _chosen(batches: Iterator[pa.RecordBatch], features: np.ndarray) -> Iterator[pa.RecordBatch]:
+    table = _table(features)
     for batch, texts in _parts(batches):
-        owner, at = _hits(texts, features)
+        owner, at = _hits(texts, table)
         offsets = np.searchsorted(owner, np.arange(len(texts) + 1))
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(at, pa.int32()))
         yield pa.RecordBatch.from_arrays([batch["place"], batch["toxic"], lists], names=["place", "toxic", "at"])
 
 
-def _hits(texts: list[str | None], features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and position in ``features`` of the model's n-grams that occur in each text, once each."""
+def _table(features: np.ndarray) -> np.ndarray:
+    """Position in ``features`` of every hashed n-gram, -1 for those the model does not have."""
     table = np.full(1 << BITS, -1, np.int32)
     table[features] = np.arange(len(features), dtype=np.int32)
+    return table
+
+
+def _hits(texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and feature position of the model's n-grams that occur in each text, once each."""
     owner, gram = _grams(texts)
     at = table[gram]
     found = at >= 0
@@ -199,8 +205,9 @@ def train_toxicity(
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    table = _table(model.features)
     for batch, texts in _parts(batches):
-        owner, at = _hits(texts, model.features)
+        owner, at = _hits(texts, table)
         margin = model.bias + np.bincount(owner, model.weights[at], len(texts))
         yield pa.RecordBatch.from_arrays([batch["id"], pa.array(1 / (1 + np.exp(-np.clip(margin, -60, 60))))], names=["id", "score"])
 
