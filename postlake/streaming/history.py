@@ -27,21 +27,22 @@ OUTPUT = (
 class RecordChanges(StatefulProcessor):
     """State per post: digests of the last recorded fields, and the runs already recorded.
 
-    Every state call is a round trip between worker and executor, so a post costs a fixed few
-    per micro-batch: read both, append the new runs in one go, replace the digests.
+    Every state call is a round trip between worker and executor. A post costs two for its digests and one or two per
+    run that the micro-batch brings: however many runs the post has had, only those at hand are asked for.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         digests = ", ".join(f"{column} string" for column, _ in TRACKED_FIELDS)
         self.last = handle.getValueState("last", digests)
-        self.runs = handle.getListState("runs", "sync_run_id string")
+        self.runs = handle.getMapState("runs", "sync_run_id string", "recorded boolean")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         # A micro-batch may hold several observations of a post: restore their arrival order.
         frame = pd.concat(list(rows), ignore_index=True).sort_values(list(ARRIVAL), kind="stable")
         stored = self.last.get()
         last = tuple(stored) if stored is not None else None
-        recorded = {run for (run,) in self.runs.get()} if last is not None else set()
+        at_hand = frame["sync_run_id"].unique() if last is not None else ()
+        recorded = {run for run in at_hand if self.runs.containsKey((run,))}
         marks = [f"digest_{column}" for column, _ in TRACKED_FIELDS]
         keep, names, added = [], [], []
         for place, run, *digests in zip(frame.index, frame["sync_run_id"], *[frame[m] for m in marks]):
@@ -58,7 +59,8 @@ class RecordChanges(StatefulProcessor):
                 names.append(changed)
         if keep:
             self.last.update(last)
-            self.runs.appendList(added)
+            for run in added:
+                self.runs.updateValue(run, (True,))
             out = frame.loc[keep, _INPUT].copy()
             out["changed_fields"] = names
             for name in ("position_overall", "rank"):
@@ -74,9 +76,9 @@ class RecordChanges(StatefulProcessor):
 def stream_history(observations: DataFrame) -> DataFrame:
     """The observations that enter the history, emitted as they arrive.
 
-    Needs the RocksDB state store. Field digests, not the texts, are kept as state. The list of
-    recorded runs grows by one id per history row; rows of one post that share a micro-batch
-    are bounded by the source's ``maxFilesPerTrigger``.
+    Needs the RocksDB state store. Field digests, not the texts, are kept as state. Recorded runs are kept per
+    post and run, one small entry per history row. Rows of one post that share a micro-batch are bounded by the source's
+    ``maxFilesPerTrigger``.
     """
     rows = ranked(observations).select(*_INPUT)
     digests = {f"digest_{column}": state_digest((column,)) for column, _ in TRACKED_FIELDS}

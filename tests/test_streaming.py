@@ -3,11 +3,13 @@
 import json
 import os
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from model import Store, random_observations
 from postlake.operators import replay
 from postlake.session import clear_scratch, shared_dir
+from postlake.schemas import TRACKED_COLUMNS
 from postlake.sources import bronze, tables
 from postlake.streaming import history as SH
 from postlake.streaming import ingest
@@ -171,3 +173,29 @@ def test_scratch_is_cleared_by_its_owner(spark, tmp_path):
     assert set(os.listdir(shared)) > before
     clear_scratch(spark)
     assert set(os.listdir(shared)) == before
+
+
+def test_only_runs_at_hand_are_read_from_the_state():
+    asked = []
+
+    class Value:
+        def get(self):
+            return tuple(["old"] * 6)
+
+        def update(self, value):
+            pass
+
+    class Runs:
+        def containsKey(self, key):
+            asked.append(key)
+            return key == ("r1",)
+
+        def updateValue(self, key, value):
+            assert key == ("r2",)
+
+    state = SH.RecordChanges()
+    state.last, state.runs = Value(), Runs()
+    row = {c: [None] * 4 for c in [*SH._INPUT, *[f"digest_{c}" for c in TRACKED_COLUMNS]]}
+    row |= {"sync_run_id": ["r1", "r1", "r2", "r2"], "fetched_at": pd.to_datetime(["2026-01-01"] * 4), "position_overall": [0, 1, 0, 1]}
+    out = list(state.handleInputRows(("p",), iter([pd.DataFrame(row)]), None))
+    assert asked == [("r1",), ("r2",)] and out[0]["sync_run_id"].tolist() == ["r2"]
