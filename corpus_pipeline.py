@@ -55,8 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every text, with the text that they decode to."""
     vocabulary = sentencepiece_codec.read_vocabulary(TOKENIZER)
-    encoded = sentencepiece_codec.encode_captions(posts_of(docs), vocabulary)
-    decoded = sentencepiece_codec.decode_captions(encoded, vocabulary)
+    decoded = sentencepiece_codec.round_trip(posts_of(docs), vocabulary)
     return decoded.select(F.col("id").alias("doc_id"), "n_pieces", "pieces", F.col("caption").alias("text"))
 
 

@@ -99,8 +99,7 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 @query("op3_sentencepiece")
 def _(spark, sf_dir):
     vocabulary = sentencepiece_codec.read_vocabulary(TOKENIZER)
-    encoded = sentencepiece_codec.encode_captions(_posts(spark, sf_dir), vocabulary)
-    decoded = sentencepiece_codec.decode_captions(encoded, vocabulary)
+    decoded = sentencepiece_codec.round_trip(_posts(spark, sf_dir), vocabulary)
     return decoded.select(F.col("id").alias("doc_id"), "n_pieces", "pieces", F.sha2("caption", 256).alias("decoded_sha256"))
 
 

@@ -37,6 +37,8 @@ def test_round_trip_is_exact_and_pieces_are_best(spark, vocabulary):
     texts = TEXTS + [caption(k, 40) for k in range(20)]
     encoded = sp.encode_captions(posts(spark, [(post_id(k), t) for k, t in enumerate(texts)]), vocabulary)
     decoded = {r[0]: r[1:] for r in rows_of(sp.decode_captions(encoded, vocabulary), "id", "caption", "pieces", "n_pieces")}
+    both = sp.round_trip(posts(spark, [(post_id(k), t) for k, t in enumerate(texts)]), vocabulary)
+    assert {r[0]: r[1:] for r in rows_of(both, "id", "caption", "pieces", "n_pieces")} == decoded
     scores = {t: s for _, t, s in vocabulary.pieces}
     by_id = {k: s for k, _, s in vocabulary.pieces}
     floor = min(scores.values()) - sp.UNKNOWN_PENALTY
