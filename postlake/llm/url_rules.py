@@ -62,7 +62,8 @@ def tokens_of(pattern: str) -> list[str]:
 
 def _regex(pattern: str) -> re.Pattern:
     body = ".*".join(re.escape(part) for part in pattern.removeprefix("||").removesuffix("|").split("*"))
-    start = r"\A(?:[^/]*\.)?" if pattern.startswith("||") else ""
+    # A host ends at its path or query.
+    start = r"\A(?:[^/?]*\.)?" if pattern.startswith("||") else ""
     return re.compile(start + body + (r"\Z" if pattern.endswith("|") else ""), re.DOTALL)
 
 

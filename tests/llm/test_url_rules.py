@@ -40,6 +40,15 @@ def test_host_rules_read_literally(spark):
     assert by_url["http://x.org/ads/policy/de.html"][0] == "allow" and by_url["http://x.org/ads/1"][0] == "block"
 
 
+def test_hosts_in_a_query_fit_no_host_rule(spark):
+    urls = ["https://foo.org?next=www.com/x", "https://foo.org?u=x.net/es/", "https://foo.org?u=.example.com/en/", "https://foo.org/?u=x.net/fr/", "https://x.net/es/?u=y.com/", "https://foo.com?u=x.net/es/"]
+    found = {r[0]: r[1:] for r in rows_of(url_rules.judge_links(posts(spark, [(post_id(k), "c", "t", u) for k, u in enumerate(urls)])), "permalink", "host", "path", "rule", "verdict")}
+    for url in urls:
+        host, path, rule, verdict = literal(url)
+        assert found[url] == (host, path, rule, verdict or "allow")
+    assert [found[u][2] for u in urls] == [None, None, None, None, "net/es/", None]
+
+
 def test_index_misses_no_rule(spark):
     rules = [*HOST_RULES, *PATTERN_RULES, Rule("block", "gin"), Rule("block", "*en*x")]
     found = rows_of(url_rules.judge_links(posts(spark, [(post_id(k), None, None, u) for k, u in enumerate(URLS)]), rules), "permalink", "host", "path", "verdict", "n_checked")
