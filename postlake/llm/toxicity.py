@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import os
+import tempfile
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -97,13 +101,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         )
 
 
-def _ratios(frame: pd.DataFrame, significance: float, strength: float) -> pd.DataFrame:
-    """Log-count ratios of the n-grams that are clearly tilted, beyond what chance explains."""
+def _ratios(frame: pd.DataFrame) -> pd.DataFrame:
+    """Log-count ratio of every n-gram that the texts hold."""
     clean, toxic = np.sum([np.frombuffer(b, np.int32).reshape(2, -1) for b in frame["counts"]], axis=0)
     n_clean, n_toxic = frame["clean"].sum(), frame["toxic"].sum()
     ratio = np.log((toxic + 1) / (n_toxic + 2)) - np.log((clean + 1) / (n_clean + 2))
-    sure = np.abs(ratio) > np.maximum(strength, significance * np.sqrt(1 / (toxic + 1) + 1 / (clean + 1)))
-    at = np.flatnonzero(sure)
+    at = np.flatnonzero(clean + toxic)
     return pd.DataFrame({"feature": at + int(frame["slice"].iloc[0]) * len(clean), "ratio": ratio[at]})
 
 
@@ -131,32 +134,60 @@ def _hits(texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.nd
     return _once(owner[found], at[found].astype(np.int64))
 
 
-def _fit(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, share: dict[int, int], ridge: float, steps: int) -> Iterator[pa.RecordBatch]:
-    """Logistic regression on ratio-scaled marks, by full-batch Adam. Gives the weight per feature and, last, the bias.
+def _step(margin: float, alpha: float, curve: float, top: float) -> float:
+    """Best value of a text's dual variable between 0 and ``top``, all others held: the gradient falls, so it is halved in."""
+    low, high = 0.0, top
+    for _ in range(50):
+        x = (low + high) / 2
+        if x <= 0.0 or x >= top:
+            break
+        if math.log((top - x) / x) - margin - curve * (x - alpha) > 0:
+            low = x
+        else:
+            high = x
+    return (low + high) / 2
 
-    Rows are put in the order of ``place``, so the sums do not depend on how they arrive.
+
+def _fit(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, share: dict[int, int], ridge: float, passes: int) -> Iterator[pa.RecordBatch]:
+    """Ridge logistic regression on ratio-scaled marks, by coordinate ascent in the dual. Gives the weight per feature and, last,
+    the bias, which is the weight of a mark that every text has.
+
+    Marks wait in a local file of this task and are read a text at a time, so memory does not grow with the number of n-grams.
+    Texts are visited in the order of ``place``, so the result does not depend on how they arrive.
     """
-    table = pa.Table.from_batches(list(batches), pa.schema([("place", pa.int64()), ("toxic", pa.int32()), ("at", pa.list_(pa.int32()))]))
-    table = table.sort_by([("place", "ascending"), ("toxic", "ascending")]).combine_chunks()
-    toxic = table["toxic"].to_numpy().astype(np.float64)
-    lists = table["at"].combine_chunks() if isinstance(table["at"], pa.ChunkedArray) else table["at"]
-    column = lists.flatten().to_numpy().astype(np.int32)
-    owner = np.repeat(np.arange(len(toxic), dtype=np.int32), pa.compute.list_value_length(lists).to_numpy())
-    theta = np.zeros(len(ratio) + 1)
-    if len(set(toxic)) == 2:
-        value = ratio[column].astype(np.float32)
-        weight = np.where(toxic == 1, share[1] / (toxic == 1).sum(), share[0] / (toxic == 0).sum())
-        total = weight.sum()
-        theta[-1] = np.log(weight[toxic == 1].sum() / weight[toxic == 0].sum())
-        m, v = np.zeros_like(theta), np.zeros_like(theta)
-        for t in range(1, steps + 1):
-            margin = np.bincount(owner, value * theta[column], len(toxic)) + theta[-1]
-            error = weight * (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - toxic) / total
-            gradient = np.append(np.bincount(column, value * error[owner], len(ratio)) + ridge * theta[:-1], error.sum())
-            m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
-            theta -= 0.03 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-    else:
-        theta[-1] = 60.0 if toxic.any() else -60.0
+    with tempfile.TemporaryFile() as held:
+        texts = []
+        for batch in batches:
+            for place, toxic, at in zip(batch["place"].to_pylist(), batch["toxic"].to_pylist(), batch["at"]):
+                raw = at.values.to_numpy().astype("<i4").tobytes()
+                texts.append((place, toxic, len(raw), zlib.crc32(raw), held.tell()))
+                held.write(raw)
+        held.flush()
+        texts.sort()
+        n = [sum(t[1] == c for t in texts) for c in (0, 1)]
+        weights, bias = np.zeros(len(ratio)), 0.0
+        if min(n):
+            top = [share[c] / n[c] * len(texts) / (share[0] + share[1]) for c in (0, 1)]
+            squares, scale = ratio**2, ridge * len(texts)
+            alpha, curve = [0.0] * len(texts), [0.0] * len(texts)
+            for turn in range(passes):
+                moved = 0.0
+                for k, (_, toxic, size, _, begin) in enumerate(texts):
+                    at = np.frombuffer(os.pread(held.fileno(), size, begin), "<i4")
+                    sign = 1 if toxic else -1
+                    if not turn:
+                        curve[k] = (float(squares[at].sum()) + 1) / scale
+                    new = _step(sign * (float(weights[at].sum()) + bias), alpha[k], curve[k], top[toxic])
+                    change, alpha[k] = new - alpha[k], new
+                    moved = max(moved, abs(change) * curve[k])
+                    weights[at] += sign * change / scale * squares[at]
+                    bias += sign * change / scale
+                # No text's own step moves its margin any more.
+                if moved < 0.01:
+                    break
+        else:
+            bias = 60.0 if n[1] else -60.0
+    theta = np.append(weights, bias)
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(theta))), pa.array(theta)], names=["place", "weight"])
 
 
@@ -165,7 +196,7 @@ def held_out(post_id) -> F.Column:
 
 
 def train_toxicity(
-    posts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, significance: float = 4.0, strength: float = 1.0, ridge: float = 1e-5, steps: int = 300
+    posts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, ridge: float = 1e-5, passes: int = 20
 ) -> Model:
     """Fit the classifier on labelled posts.
 
@@ -175,9 +206,9 @@ def train_toxicity(
     it safe to send the sample's ids to all tasks and the sample's marks (positions of the model's n-grams, no texts)
     to one task. Classes are weighted back to their share among all labels of the fold.
 
-    A text is the set of its hashed character n-grams of 4 to 6 characters. N-grams keep their log-count ratio, the
-    logarithm of how much more often they occur in toxic texts, where it exceeds ``strength`` and ``significance`` standard errors. A
-    logistic regression is fitted on the ratios of the n-grams present.
+    A text is the set of its hashed character n-grams of 4 to 6 characters. Every n-gram of the sample is scaled by its log-count
+    ratio, the logarithm of how much more often it occurs in toxic texts; none is left out. A logistic regression is fitted on
+    the ratios of the n-grams present, and its ridge term shrinks those that tell little.
 
     Without labels of both classes the model is a constant: the share of toxic labels, 0 without any.
     """
@@ -194,14 +225,14 @@ def train_toxicity(
     texts = posts.select("id", "caption").join(sample, "id").select(F.xxhash64("id").alias("place"), "caption", "toxic")
     texts = staged(texts.repartition(16), "labelled-texts")
     counted = texts.mapInArrow(_count, "slice long, counts binary, clean long, toxic long")
-    ratios = counted.groupBy("slice").applyInPandas(lambda f: _ratios(f, significance, strength), "feature long, ratio double")
+    ratios = counted.groupBy("slice").applyInPandas(_ratios, "feature long, ratio double")
     ratios = ratios.toPandas().sort_values("feature")
     features, ratio = ratios["feature"].to_numpy(np.int64), ratios["ratio"].to_numpy()
     marked = texts.mapInArrow(lambda b: _chosen(b, features), "place long, toxic int, at array<int>")
     # One task fits the bounded sample: numbers only, no texts.
-    fitted = marked.coalesce(1).mapInArrow(lambda b: _fit(b, ratio, shares, ridge, steps), "place long, weight double")
+    fitted = marked.coalesce(1).mapInArrow(lambda b: _fit(b, ratio, shares, ridge, passes), "place long, weight double")
     theta = fitted.toPandas().sort_values("place")["weight"].to_numpy()
-    return Model(float(theta[-1]), features, ratio * theta[:-1])
+    return Model(float(theta[-1]), features, theta[:-1])
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

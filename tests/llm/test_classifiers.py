@@ -56,6 +56,27 @@ def test_toxicity_without_both_classes(spark):
     assert toxicity.train_toxicity(empty(posts(spark, rows)), spark.createDataFrame(marks, "id string, toxic int")).weights.size == 0
 
 
+def test_toxicity_learns_rare_markers(spark):
+    """Words in about 6 of 45 toxic texts and in no clean one are below four standard errors, and still the only sign there is."""
+    markers = ["moronic", "scumbag", "filthwit", "wretchoid", "gutterpig", "slimeface", "dunghead"]
+    rows, marks, toxic = [], [], 0
+    for k in range(420):
+        words, bad = caption(k, 40).split(), k % 8 == 0
+        if bad:
+            words.insert(20, markers[toxic % len(markers)])
+            toxic += 1
+        rows.append((post_id(k), " ".join(words)))
+        marks.append((post_id(k), int(bad)))
+    table = posts(spark, rows)
+    model = toxicity.train_toxicity(table, spark.createDataFrame(marks, "id string, toxic int"))
+    scored = {r[0]: r[1:] for r in rows_of(toxicity.score_toxicity(table, model), "id", "held_out", "predicted")}
+    assert all(scored[i][1] for i, bad in marks if bad and not scored[i][0])
+    assert not any(scored[i][1] for i, bad in marks if not bad)
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    for word in markers:
+        assert np.mean([weight.get(g, 0.0) > 0 for g in toxicity._grams([word])[1].tolist()]) > 0.8  # hashes may meet
+
+
 def test_ngrams_stay_in_their_text():
     owner, gram = toxicity._grams(["abcdef", None, "abcdef"])
     assert sorted(gram[owner == 0]) == sorted(gram[owner == 2]) and len(gram[owner == 0]) == 5 + 4 + 3
