@@ -20,6 +20,9 @@ GRAM = 6
 # Words that a task indexes before it sends what it found, and about as many windows as a block holds.
 FLUSH_WORDS = 1 << 18
 BLOCK_WORDS = 1 << 20
+# An anchor's windows count as many from this share of a block on. They are counted in TALLY_SLOTS slots a block, on one
+# text in TALLY_EVERY: the count says how windows are dealt out, not what is found.
+HOT_SHARE, TALLY_SLOTS, TALLY_EVERY = 0.25, 64, 8
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C13  # odd
@@ -112,8 +115,9 @@ def _expand(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 class _Flush:
     """Texts that a task has read, and the packed rows they give."""
 
-    def __init__(self, id_type: pa.DataType, window: int, blocks: int) -> None:
+    def __init__(self, id_type: pa.DataType, window: int, blocks: int, slots: int = 1, hot: np.ndarray | None = None) -> None:
         self.id_type, self.window, self.blocks, self.vocabulary = id_type, window, blocks, _Words()
+        self.slots, self.hot = slots, np.empty(0, np.int64) if hot is None else hot
         self.clear()
 
     def clear(self) -> None:
@@ -128,18 +132,21 @@ class _Flush:
         self.codes.append(np.fromiter(map(self.vocabulary.__getitem__, words), np.int64, len(words)))
         self.size += len(words)
 
-    def rows(self) -> Iterator[tuple]:
-        if not self.ids:
-            return
+    def windows(self) -> tuple[np.ndarray, ...]:
+        """Anchor's hash, own bits, anchor's position, text and start of every window that lies in one text."""
         codes = np.concatenate(self.codes)
         lows, highs = np.array(self.vocabulary.low, np.uint64), np.array(self.vocabulary.high, np.uint64)
         lengths = np.array(self.lengths)
         begin = np.cumsum(lengths) - lengths
         h, at, own = _windows(lows[codes], highs[codes], self.window, GRAM)
-        # Windows that lie in one text.
         where = _expand(begin, lengths - self.window + 1)
         doc = np.repeat(np.arange(len(lengths)), lengths - self.window + 1)
-        h, own, anchor, start = h[where], own[where], at[where] + where, where - begin[doc]
+        return h[where], own[where], at[where] + where, doc, where - begin[doc]
+
+    def rows(self) -> Iterator[tuple]:
+        if not self.ids:
+            return
+        h, own, anchor, doc, start = self.windows()
         ordered = sorted(set(self.ids))
         place = {post: k for k, post in enumerate(ordered)}
         rank = np.array([place[post] for post in self.ids])[doc]
@@ -169,9 +176,12 @@ class _Flush:
         return int(doc[0]) % self.blocks, True, *self._named(used), body.tobytes()
 
     def _blocks(self, h, own, doc, start, anchor) -> Iterator[tuple]:
-        runs = _runs(anchor, doc, start - np.arange(len(start)))
+        # Windows of a frequent anchor go one by one, each to a block of its own words.
+        spread = np.isin(_slot(h, self.slots), self.hot)
+        runs = _runs(anchor, doc, start - np.arange(len(start)), np.where(spread, np.arange(len(h)), -1))
         n = np.diff([*runs, len(h)])
-        block = ((h[runs] >> _U(20)) % _U(self.blocks)).astype(np.int64)
+        key = (h[runs] >> _U(20)) + np.where(spread[runs], own[runs], _U(0))
+        block = (key % _U(self.blocks)).astype(np.int64)
         order = np.argsort(block, kind="stable")
         cuts = np.flatnonzero(np.diff(block[order], prepend=-1))
         for part in np.split(order, cuts[1:]):
@@ -187,11 +197,34 @@ class _Flush:
         return [self.ids[k] for k in used], [self.keys[k] for k in used]
 
 
-def _index(batches: Iterator[pa.RecordBatch], window: int, blocks: int) -> Iterator[pa.RecordBatch]:
+def _slot(h: np.ndarray, slots: int) -> np.ndarray:
+    """Slot of an anchor's hash, by its low bits: the high ones of a smallest hash are small."""
+    return (h % _U(slots)).astype(np.int64)
+
+
+def _tally(batches: Iterator[pa.RecordBatch], window: int, slots: int) -> Iterator[pa.RecordBatch]:
+    """How many windows have their anchor in each slot."""
+    flush, counts = None, np.zeros(slots, np.int64)
+    for batch in in_parts(batches):
+        flush = flush or _Flush(batch.schema.field("id").type, window, 1)
+        for post, text in zip(batch["id"].to_pylist(), batch["caption"].to_pylist()):
+            words = words_of(text)
+            if post is not None and len(words) >= window:
+                flush.add(post, 0, words)
+            if flush.size >= FLUSH_WORDS:
+                counts += np.bincount(_slot(flush.windows()[0], slots), minlength=slots)
+                flush.clear()
+    if flush and flush.ids:
+        counts += np.bincount(_slot(flush.windows()[0], slots), minlength=slots)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
+
+
+def _index(batches: Iterator[pa.RecordBatch], window: int, blocks: int, slots: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     flush = None
     for batch in in_parts(batches):
         id_type = batch.schema.field("id").type
-        flush = flush or _Flush(id_type, window, blocks)
+        flush = flush or _Flush(id_type, window, blocks, slots, hot)
         for post, key, text in zip(batch["id"].to_pylist(), batch["key"].to_pylist(), batch["caption"].to_pylist()):
             words = words_of(text)
             if post is not None and len(words) >= window:
@@ -299,6 +332,22 @@ def _joined(found: list[dict], window: int) -> list[dict]:
     return factors
 
 
+def _filed(texts: DataFrame, window: int) -> DataFrame:
+    """Packed windows and finished factors of ``texts(id, caption, key)`` with the number of their block."""
+    id_type = texts.schema["id"].dataType
+    size = texts.agg(F.sum(F.octet_length("caption"))).first()[0] or 0
+    blocks = max(1, -(-size // (6 * BLOCK_WORDS)))
+    slots, hot = blocks * TALLY_SLOTS, np.empty(0, np.int64)
+    if blocks > 1:
+        some = texts.filter(F.pmod(F.xxhash64("id", "key"), F.lit(TALLY_EVERY)) == 0)
+        counted = some.mapInArrow(lambda b: _tally(b, window, slots), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+        many = counted.filter(F.col("n") * TALLY_EVERY > HOT_SHARE * BLOCK_WORDS).collect()
+        hot = np.array(sorted(row["slot"] for row in many), np.int64)
+    packed = T.StructType().add("block", T.IntegerType()).add("done", T.BooleanType()).add("ids", T.ArrayType(id_type))
+    packed = packed.add("keys", T.ArrayType(T.LongType())).add("body", T.BinaryType())
+    return texts.mapInArrow(lambda b: _index(b, window, blocks, slots, hot), packed)
+
+
 def remove_repeats(posts: DataFrame, window: int = WINDOW) -> DataFrame:
     """Remove from captions the passages of at least ``window`` words that occur earlier.
 
@@ -315,7 +364,9 @@ def remove_repeats(posts: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Each task first settles what repeats among its own texts and sends one window of a kind, so a passage that is in a third
     of all posts reaches its block once per task. Blocks get a number of words set by ``BLOCK_WORDS``, so their
-    number grows with the table and their size does not. The captions move once, to meet their factors.
+    number grows with the table. A phrase shorter than a window with ever different words around it may be the anchor of very
+    many different windows: anchors are counted first, and windows of a frequent one are filed under their own words
+    too, which equal windows share, so they spread over all blocks. The captions move once, to meet their factors.
 
     Returns one row per row of ``posts``: ``id``, ``caption_hash`` (XXH64, tells rows of one id apart), ``n_words``, ``n_removed``, ``kept_caption`` (the words left, joined by one
     space) and ``factors`` (``start``, ``n_words``, ``ref_id``, ``ref_start`` in words; they may overlap). Null and empty captions
@@ -324,14 +375,9 @@ def remove_repeats(posts: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     id_type = posts.schema["id"].dataType
     texts = posts.select("id", "caption", F.xxhash64("caption").alias("key"))
-    size = posts.agg(F.sum(F.octet_length("caption"))).first()[0] or 0
-    blocks = max(1, -(-size // (6 * BLOCK_WORDS)))
-    packed = T.StructType().add("block", T.IntegerType()).add("done", T.BooleanType()).add("ids", T.ArrayType(id_type))
-    packed = packed.add("keys", T.ArrayType(T.LongType())).add("body", T.BinaryType())
-    filed = texts.mapInArrow(lambda b: _index(b, window, blocks), packed)
     found = T.StructType().add("id", id_type).add("key", T.LongType()).add("start", T.IntegerType()).add("n", T.IntegerType())
     found = found.add("ref_id", id_type).add("ref_start", T.IntegerType())
-    parsed = staged(filed.groupBy("block").applyInArrow(_parse_block, found), "factors")
+    parsed = staged(_filed(texts, window).groupBy("block").applyInArrow(_parse_block, found), "factors")
     factor = F.struct("start", "n", "ref_id", "ref_start")
     parsed = parsed.groupBy("id", "key").agg(F.collect_list(factor).alias("factors"))
     given = texts.join(parsed, ["id", "key"], "left").select("id", "key", "caption", "factors")

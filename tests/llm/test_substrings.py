@@ -72,3 +72,27 @@ def test_ids_may_be_numbers(spark):
     text = caption(3, 25)
     df = spark.createDataFrame([(10, text), (9, "lead " + text)], "id long, caption string")
     assert sorted(rows_of(substrings.remove_repeats(df), "id", "n_removed")) == [(9, 0), (10, 25)]
+
+
+def test_a_frequent_phrase_spreads_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "BLOCK_WORDS", 1000)
+    # Its only six words are the anchor of whatever window has the smallest hash there.
+    phrase = "we use cookies on this site"
+    rows = [(post_id(k), f"{caption(k, 18)} {phrase} {caption(7000 + k // 2, 18)}") for k in range(600)]
+    table = posts(spark, rows).repartition(3)
+
+    def windows_per_block():
+        filed = substrings._filed(table.select("id", "caption", F.xxhash64("caption").alias("key")), 20)
+        sizes = {}
+        for block, body in rows_of(filed.filter("not done"), "block", "body"):
+            n = int.from_bytes(body[:4], "little")
+            sizes[block] = sizes.get(block, 0) + (len(body) - 4 - 20 * n) // 6
+        return max(sizes.values()), sum(sizes.values())
+
+    most, total = windows_per_block()
+    monkeypatch.setattr(substrings, "HOT_SHARE", 1e9)
+    unsplit, same = windows_per_block()
+    assert total == same and most < unsplit / 2
+    monkeypatch.setattr(substrings, "HOT_SHARE", 0.25)
+    cut = substrings.remove_repeats(table)
+    assert sorted(rows_of(cut, "id", "n_words", "n_removed", "kept_caption"), key=str) == brute(rows, 20)
