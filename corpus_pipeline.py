@@ -25,11 +25,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash group keep the document with the smallest id. Documents without id stay. Rows that repeat an id
-    and its text become one."""
-    found = simhash.simhash_duplicates(posts_of(docs))
-    rejected = found.filter("id is not null and not kept").select(F.col("id").alias("rejected_id")).distinct()
-    kept = whole(docs).join(rejected, F.col("doc.doc_id") == F.col("rejected_id"), "left_anti")
-    return kept.select("doc.*").dropDuplicates(["doc_id", "text"])
+    and its text become one; rows that share an id only are documents of their own, told apart by a hash of the text."""
+    own = F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
+    found = simhash.simhash_duplicates(docs.select(F.when(F.col("doc_id").isNotNull(), own).alias("id"), F.col("text").alias("caption")))
+    rejected = found.filter("id is not null and not kept").select(F.col("id.doc_id").alias("rejected_id"), "id.text_hash").distinct()
+    same = (F.col("doc.doc_id") == F.col("rejected_id")) & (F.xxhash64("doc.text") == F.col("text_hash"))
+    return whole(docs).join(rejected, same, "left_anti").select("doc.*").dropDuplicates(["doc_id", "text"])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +44,15 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words of each document that the mix takes, in reading order, a time through the source after the other."""
-    mixed = mixing.mix_posts(posts_of(docs)).filter("taken > 0")
+    # Mixed with the rest of its row for an id, so rows that share an id, or have none, keep their own columns.
+    rest = ["doc_id", *(c for c in docs.columns if c not in ("doc_id", "text", "source", "n_chars"))]
+    posts = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("id"), F.col("text").alias("caption"), F.col("source").alias("hashtag_id"))
+    mixed = mixing.mix_posts(posts).filter("taken > 0")
     parts = F.sort_array(F.collect_list(F.struct("times", "start", "text")))
-    texts = mixed.groupBy("id", "offset").agg(F.array_join(F.transform(parts, lambda p: p["text"]), " ").alias("mixed_text"))
-    texts = texts.select(F.col("id").alias("mixed_id"), "mixed_text")
-    rest = whole(docs.drop("text", "n_chars").dropDuplicates(["doc_id"]))
-    joined = rest.join(texts, F.col("doc.doc_id").eqNullSafe(F.col("mixed_id")))
-    return with_text(joined, docs.columns, F.col("mixed_text"))
+    text = F.array_join(F.transform(parts, lambda p: p["text"]), " ")
+    texts = mixed.groupBy("id", "hashtag_id", "offset").agg(text.alias("mixed_text"))
+    rows = texts.select(F.col("id").withField("source", F.col("hashtag_id")).alias("doc"), "mixed_text")
+    return with_text(rows, docs.columns, F.col("mixed_text"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,6 +81,35 @@ def test_stages_take_odd_tables(spark, sf_dir):
         assert stage(spark, odd.filter(F.lit(False)), sf_dir).count() == 0, name
 
 
+def near(k):
+    """A text and one whose fingerprint is near but not equal."""
+    base = caption(k, 400)
+    found = next(t for t in (f"{base} {w}" for w in caption(9, 200).split()) if 0 < (brute_fingerprint(t) ^ brute_fingerprint(base)).bit_count() <= 4)
+    return base, found
+
+
+def test_rows_that_share_an_id_are_judged_apart(spark, sf_dir):
+    (first, copy), (other, close) = near(70), near(71)
+    rows = [
+        (1, first, "s"), (5, copy, "s"), (5, caption(72, 90), "s"), (7, other, "s"), (7, caption(73, 90), "t"), (8, close, "s"),
+        (None, caption(74, 90), "s"), (None, caption(75, 90), "t"),
+    ]
+    out = corpus_pipeline.keep_one_of_near_copies(spark, docs(spark, rows), sf_dir)
+    found = [(r["doc_id"], r["text"], r["source"]) for r in out.collect()]
+    assert sorted(found, key=str) == sorted([r for k, r in enumerate(rows) if k not in (1, 5)], key=str)
+
+
+def test_the_mix_keeps_the_columns_of_each_row(spark, sf_dir):
+    rows = [(i, caption(80 + k, 256), s) for k, (i, s) in enumerate([(None, "a"), (None, "b"), (None, None), (1, "a"), (1, "b"), (1, None), (2, "b")])]
+    given = docs(spark, rows).withColumn("lang", F.concat(F.lit("of "), F.substring("text", 1, 20)))
+    out = corpus_pipeline.mix_sources(spark, given, sf_dir).collect()
+    assert len(out) == len({r["lang"] for r in out}) > 4
+    for r in out:
+        (i, text, source), = [row for row in rows if r["lang"] == f"of {row[1][:20]}"]
+        assert (r["doc_id"], r["source"]) == (i, source) and r["n_chars"] == len(r["text"])
+        assert set(r["text"].split()) <= set(text.split())
+
+
 def test_every_operator_is_registered():
     names = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert names == list(range(1, 11)) and len(corpus_pipeline.STAGES) == 5
