@@ -102,12 +102,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
 
 
 def _ratios(frame: pd.DataFrame) -> pd.DataFrame:
-    """Log-count ratio of every n-gram that the texts hold."""
+    """Log-count ratio of every n-gram of a slice, NaN for those that no text holds, packed."""
     clean, toxic = np.sum([np.frombuffer(b, np.int32).reshape(2, -1) for b in frame["counts"]], axis=0)
     n_clean, n_toxic = frame["clean"].sum(), frame["toxic"].sum()
     ratio = np.log((toxic + 1) / (n_toxic + 2)) - np.log((clean + 1) / (n_clean + 2))
-    at = np.flatnonzero(clean + toxic)
-    return pd.DataFrame({"feature": at + int(frame["slice"].iloc[0]) * len(clean), "ratio": ratio[at]})
+    ratio[clean + toxic == 0] = np.nan
+    return pd.DataFrame({"slice": [frame["slice"].iloc[0]], "ratios": [ratio.tobytes()]})
 
 
 def _chosen(batches: Iterator[pa.RecordBatch], features: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -149,7 +149,7 @@ def _step(margin: float, alpha: float, curve: float, top: float) -> float:
 
 
 def _fit(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, share: dict[int, int], ridge: float, passes: int) -> Iterator[pa.RecordBatch]:
-    """Ridge logistic regression on ratio-scaled marks, by coordinate ascent in the dual. Gives the weight per feature and, last,
+    """Ridge logistic regression on ratio-scaled marks, by coordinate ascent in the dual. Gives, packed, the weight per feature and, last,
     the bias, which is the weight of a mark that every text has.
 
     Marks wait in a local file of this task and are read a text at a time, so memory does not grow with the number of n-grams.
@@ -188,7 +188,7 @@ def _fit(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, share: dict[int,
         else:
             bias = 60.0 if n[1] else -60.0
     theta = np.append(weights, bias)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(theta))), pa.array(theta)], names=["place", "weight"])
+    yield pa.RecordBatch.from_arrays([pa.array([theta.tobytes()])], names=["theta"])
 
 
 def held_out(post_id) -> F.Column:
@@ -225,13 +225,15 @@ def train_toxicity(
     texts = posts.select("id", "caption").join(sample, "id").select(F.xxhash64("id").alias("place"), "caption", "toxic")
     texts = staged(texts.repartition(16), "labelled-texts")
     counted = texts.mapInArrow(_count, "slice long, counts binary, clean long, toxic long")
-    ratios = counted.groupBy("slice").applyInPandas(_ratios, "feature long, ratio double")
-    ratios = ratios.toPandas().sort_values("feature")
-    features, ratio = ratios["feature"].to_numpy(np.int64), ratios["ratio"].to_numpy()
+    ratios = counted.groupBy("slice").applyInPandas(_ratios, "slice long, ratios binary").collect()
+    # Packed, as the driver would hold very many rows otherwise.
+    ratios = np.frombuffer(b"".join(bytes(row["ratios"]) for row in sorted(ratios, key=lambda row: row["slice"])), np.float64)
+    features = np.flatnonzero(~np.isnan(ratios))
+    ratio = ratios[features]
     marked = texts.mapInArrow(lambda b: _chosen(b, features), "place long, toxic int, at array<int>")
     # One task fits the bounded sample: numbers only, no texts.
-    fitted = marked.coalesce(1).mapInArrow(lambda b: _fit(b, ratio, shares, ridge, passes), "place long, weight double")
-    theta = fitted.toPandas().sort_values("place")["weight"].to_numpy()
+    fitted = marked.coalesce(1).mapInArrow(lambda b: _fit(b, ratio, shares, ridge, passes), "theta binary")
+    theta = np.frombuffer(bytes(fitted.first()["theta"]), np.float64)
     return Model(float(theta[-1]), features, theta[:-1])
 
 
