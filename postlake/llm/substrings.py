@@ -1,4 +1,4 @@
-"""Repeated passages of captions, removed by relative Lempel-Ziv parsing against indexed reference blocks."""
+"""Repeated passages of captions, removed by joining equal windows, found by hash, into factors."""
 
 from __future__ import annotations
 
@@ -321,7 +321,7 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
 
 
 def _joined(found: list[dict], window: int) -> list[dict]:
-    """Greedy parse: a factor goes on as long as the next window continues it in the same reference text."""
+    """Windows joined into factors: a factor goes on as long as the next window continues it in the same reference text."""
     factors, last = [], None
     for f in sorted(found, key=lambda f: (f["start"], f["n"])):
         if last and f["ref_id"] == last["ref_id"] and f["ref_start"] - f["start"] == last["ref_start"] - last["start"] and f["start"] <= last["start"] + last["n_words"] - window + 1:
@@ -355,8 +355,8 @@ def remove_repeats(posts: DataFrame, window: int = WINDOW) -> DataFrame:
     front in the same caption. A word goes if it lies in a window of ``window`` words that occurs earlier; windows are
     judged on the captions as they are, not on what is left.
 
-    A caption is parsed greedily into factors, each a reference (post, start, words) to the earliest occurrence. The
-    reference text is indexed in blocks. A window is filed by its anchor, the gram of ``GRAM`` words with the
+    A caption's repeated windows are joined into factors, each a reference (post, start, words) to the earliest occurrence.
+    Reference texts are not parsed against: windows are compared by hash, in blocks. A window is filed by its anchor, the gram of ``GRAM`` words with the
     smallest hash in it, and every block that holds the anchor's kind is consulted, so no window is missed:
     equal windows always meet in one block, including the windows that straddle the end of one factor and the start
     of the next. A window is known in its block by 64 bits of its anchor and 48 of its words. Runs of windows that go
