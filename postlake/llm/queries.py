@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm import embeddings, line_quality, mixing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules, warc
+from postlake.llm import (
+    conversations, embeddings, line_quality, mixing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules, warc,
+)
 from postlake.session import configure, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +154,20 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     links = spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr("page_id AS id", "url AS permalink")
     return url_rules.judge_links(links).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows of conversations with faults put in by a hash of their place: ``lost`` marks those that drop out."""
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    marked = turns.select("conv_id", "turn", "role", "text", (F.crc32(place) % 20).alias("mark"))
+    return marked.select(
+        F.col("conv_id").alias("conversation_id"), "turn", F.when(F.col("mark") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("mark") == 1, "").when(F.col("mark") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        (F.col("mark") == 0).alias("lost"), F.explode(F.when(F.col("mark") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+
+
+@query("op11_conversation_repair")
+def _(spark, sf_dir):
+    turns = damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversations.repair_conversations(turns, F.col("lost")).withColumnRenamed("conversation_id", "conv_id")
