@@ -7,12 +7,14 @@ responses and for links.
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.llm import (
-    conversations, embeddings, line_quality, mixing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules, warc,
+    conversations, embeddings, line_quality, mixing, packing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules, warc,
 )
 from postlake.session import configure, staged
 
@@ -171,3 +173,14 @@ def damaged(turns: DataFrame) -> DataFrame:
 def _(spark, sf_dir):
     turns = damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return conversations.repair_conversations(turns, F.col("lost")).withColumnRenamed("conversation_id", "conv_id")
+
+
+# The public byte-level vocabulary of the box; any tokenizer file of that kind will do.
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+
+
+@query("op12_best_fit_packing")
+def _(spark, sf_dir):
+    model = Path(public_tokenizers.path(BYTE_TOKENIZER)).read_text(encoding="utf-8")
+    packed = packing.pack_captions(_posts(spark, sf_dir), model)
+    return packed.select(F.col("id").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
