@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.llm import (
-    conversations, embeddings, line_quality, mixing, packing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules, warc,
+    collocations, conversations, embeddings, line_quality, mixing, packing, sentencepiece_codec, sharding, simhash, substrings, toxicity, url_rules, warc,
 )
 from postlake.session import configure, staged
 
@@ -81,6 +81,23 @@ ruled AS (SELECT page_id, arg_max(h || p, len(h || p)) AS rule, arg_max(verdict,
 fitted AS (SELECT page_id, arg_max(verdict, 2 * size + CAST(verdict = 'block' AS INT)) AS verdict FROM parts JOIN others ON regexp_matches(host || tail, regex) GROUP BY 1)
 SELECT p.page_id, host, path, rule, coalesce(r.verdict, f.verdict, 'allow') AS verdict FROM parts AS p LEFT JOIN ruled AS r ON r.page_id = p.page_id LEFT JOIN fitted AS f ON f.page_id = p.page_id"""
 
+PHRASES_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+cut AS (SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+placed AS (SELECT lang, p, unnest(generate_series(1, len(words))) AS i, unnest(words) AS w1 FROM cut),
+runs AS (SELECT lang, w1, lead(w1, 1) OVER near AS w2, lead(w1, 2) OVER near AS w3 FROM placed WINDOW near AS (PARTITION BY p ORDER BY i)),
+totals AS (SELECT lang, count(*) AS n FROM runs GROUP BY 1),
+f1 AS (SELECT lang, w1, count(*) AS f FROM runs GROUP BY ALL), f2 AS (SELECT lang, w1, w2, count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+inner_pairs AS (SELECT lang, w1, w2, max(f) AS longer FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+two AS (SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.f AS a, x.f AS l, y.f AS r, 1 AS k FROM f2 JOIN f1 AS x ON x.lang = f2.lang AND x.w1 = f2.w1 JOIN f1 AS y ON y.lang = f2.lang AND y.w1 = f2.w2
+  LEFT JOIN inner_pairs AS q ON q.lang = f2.lang AND q.w1 = f2.w1 AND q.w2 = f2.w2 WHERE f2.f >= 10 AND (longer IS NULL OR 100 * longer < 50 * f2.f)),
+three AS (SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 AS phrase, t.f AS a, x.f AS l, y.f AS r, 1 AS k FROM f3 AS t JOIN f1 AS x ON x.lang = t.lang AND x.w1 = t.w1 JOIN f2 AS y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 2 FROM f3 AS t JOIN f2 AS x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN f1 AS y ON y.lang = t.lang AND y.w1 = t.w3),
+scored AS (SELECT lang, phrase, a, l, r, k, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM (SELECT * FROM two UNION ALL SELECT * FROM three)),
+chosen AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM chosen) JOIN totals USING (lang) WHERE rank <= 2000"""
+
 
 @query("op1_embedding_near_dedup", LINKS_SQL)
 def _(spark, sf_dir):
@@ -184,3 +201,10 @@ def _(spark, sf_dir):
     model = Path(public_tokenizers.path(BYTE_TOKENIZER)).read_text(encoding="utf-8")
     packed = packing.pack_captions(_posts(spark, sf_dir), model)
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+
+
+@query("op13_collocations", PHRASES_SQL)
+def _(spark, sf_dir):
+    # A language takes the part of a tag here.
+    posts = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id AS id", "text AS caption", "lang AS hashtag_id")
+    return collocations.caption_collocations(posts).withColumnRenamed("hashtag_id", "lang")
