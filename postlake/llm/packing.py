@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -9,6 +10,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,62 +21,72 @@ from postlake.session import shared_dir, staged
 
 CAPACITY = 1024
 END_ID = 2
-REMEMBERED = 1 << 18
 CHUNK_BITS = 14
 # With all of the least need opened at once, packs of middling lengths came out 5 % longer than with an eighth.
 OPENED = 8
 
-# Where a byte-level tokenizer surely starts a new token: at a space in front of a word, and around white space.
-_CHUNKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-# Blanks for Python but not for the tokenizer.
-_UNSURE = re.compile("[\x1c-\x1f]")
+# Fixed value: how byte-level tokenizers of this kind cut a text before its bytes are merged.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Blanks on which implementations of that pattern may differ.
+_UNSURE = "[\x1c-\x1f]"
+
+
+def _byte_of() -> dict[str, int]:
+    """Byte that each character of a byte-level vocabulary stands for: printable ones for themselves, the others in order
+    from U+0100 on."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in kept]
+    return {chr(b): b for b in kept} | {chr(256 + n): b for n, b in enumerate(others)}
+
+
+def merge_ranks(model: str) -> dict[bytes, int] | None:
+    """Ids by byte string, if the tokenizer merges in the order of its ids, after cutting by PATTERN and nothing else."""
+    given = json.loads(model)
+    cut = given.get("pre_tokenizer") or {}
+    plain = given.get("normalizer") is None and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    if not plain or given["model"].get("type", "BPE") != "BPE" or given["model"].get("dropout"):
+        return None
+    special = {t["content"] for t in given.get("added_tokens", [])}
+    byte_of, vocabulary = _byte_of(), given["model"]["vocab"]
+    made = ["".join(m.split(" ") if isinstance(m, str) else m) for m in given["model"]["merges"]]
+    order = [vocabulary[token] for token in made]
+    if order != sorted(order) or len(set(order)) < len(order):
+        return None
+    ranks = {bytes(byte_of[c] for c in token): n for token, n in vocabulary.items() if token not in special}
+    return ranks if len(ranks) == 256 + len(made) else None
 
 
 class Encoder:
-    """Ids of whole texts, packed as 32-bit numbers. Stretches of text that came before are looked up.
+    """Ids of whole texts, packed as 32-bit numbers, as the tokenizer file gives them.
 
-    A text is cut only where the tokenizer's own pattern cuts it, so ids are those of the whole text. Texts with a special
-    token or with unusual blanks go through the tokenizer in one piece.
+    Where its ids are also the order of its merges, a text is encoded by those ranks, which takes a quarter of the time. Texts with a
+    special token or unusual blanks, and all texts of other tokenizers, go through the tokenizer itself.
     """
 
-    def __init__(self, model: str) -> None:
-        self.tokenizer = Tokenizer.from_str(model)
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([_UNSURE.pattern, *added]))
-        self.known: dict[str, bytes] = {}
+    def __init__(self, model: str, ranks: dict[bytes, int] | None) -> None:
+        self.model, self.tokenizer = model, None
+        self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranks else None
+        special = [re.escape(t["content"]) for t in json.loads(model).get("added_tokens", [])]
+        self.whole = re.compile("|".join([_UNSURE, *special]))
 
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        # Words with single spaces and line ends between them: cut without looking at every character.
-        if "\0" not in text and " ".join(text.split()) == text.replace("\n", " "):
-            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        return _CHUNKS.findall(text)
+    def ids(self, text: str) -> list[int]:
+        if self.ranks is not None and not self.whole.search(text):
+            return self.ranks.encode_ordinary(text)
+        if self.tokenizer is None:
+            self.tokenizer = Tokenizer.from_str(self.model)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        apart = [bool(self.whole.search(t)) for t in texts]
-        chunks = [[t] if whole else self._cut(t) for t, whole in zip(texts, apart)]
-        new = list({c for part in chunks for c in part if c not in self.known})
-        self.known.update(zip(new, self._packed(new)))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, part)) for part in chunks]
-        for t, whole in zip(texts, apart):
-            if whole:
-                self.known.pop(t, None)
-        return out
+        return [np.array(self.ids(t), "<u4").tobytes() for t in texts]
 
 
 PIECE = "piece int, start long, length int, ids_crc32 long, ids binary"
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], model: Broadcast, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(model.value)
+    encoder = Encoder(*model.value)
     end = np.array([end_id], "<u4").tobytes()
-    for batch in in_parts(batches):
+    for batch in in_parts(batches, 100):
         at, piece, start, length, crc, ids = [], [], [], [], [], []
         texts = [t or "" for t in batch["caption"].to_pylist()]
         for row, packed in enumerate(encoder.encode(texts)):
@@ -99,7 +111,7 @@ def caption_pieces(posts: DataFrame, model: str, capacity: int = CAPACITY, end_i
     bounds what is sent to the tasks.
     """
     kind = posts.schema["id"].dataType.simpleString()
-    shared = posts.sparkSession.sparkContext.broadcast(model)
+    shared = posts.sparkSession.sparkContext.broadcast((model, merge_ranks(model)))
     return posts.select("id", "caption").mapInArrow(lambda b: _pieces(b, shared, capacity, end_id), f"id {kind}, {PIECE}")
 
 

@@ -18,7 +18,7 @@ from tests.llm.helpers import caption, empty, posts
 
 MODEL = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
 TOKENIZER = Tokenizer.from_str(MODEL)
-ENCODER = P.Encoder(MODEL)
+ENCODER = P.Encoder(MODEL, P.merge_ranks(MODEL))
 
 
 def plain_ids(text):
@@ -85,6 +85,15 @@ def test_ids_of_texts_with_special_tokens():
     assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER.encode(texts)] == [plain_ids(t) for t in texts]
 
 
+def test_tokenizers_of_other_kinds_are_used_as_they_are():
+    assert P.merge_ranks(MODEL)
+    assert P.merge_ranks(MODEL.replace('"add_prefix_space":false', '"add_prefix_space":true').replace('"add_prefix_space": false', '"add_prefix_space": true')) is None
+    other = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
+    assert P.merge_ranks(other) is None
+    got = P.Encoder(other, None).encode(["Matcha LATTE"])
+    assert np.frombuffer(got[0], "<u4").tolist() == Tokenizer.from_str(other).encode("Matcha LATTE", add_special_tokens=False).ids
+
+
 def check_packed(rows, texts, capacity):
     """rows: (key of the text, piece, start, length, crc, sequence, offset)"""
     pieces, sequences = {}, {}
