@@ -31,8 +31,9 @@ HEAD_PAIRS = 1 << 20
 FILTER_BITS = 27
 SEGMENT_BITS = 17
 TILE_BITS = 9
-AT_ONCE = 1 << 21
-OWN_WORDS = 1 << 19
+AT_ONCE = 1 << 20
+OWN_WORDS = 1 << 18
+SENT_ROWS = 50_000
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -42,7 +43,7 @@ _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 def grouped_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
     """Captions of a group, folded, with a line end after each."""
-    for batch in in_parts(batches, 2_000):
+    for batch in in_parts(batches):
         groups: dict[str, list[str]] = {}
         for group, text in zip(batch["group"].to_pylist(), batch["caption"].to_pylist()):
             if text:
@@ -267,7 +268,7 @@ class _Counting:
             place = np.minimum(np.searchsorted(codes, wanted), max(len(codes) - 1, 0))
             near &= (codes[place] == wanted) if len(codes) else False
             left = ranks[place] if len(codes) else left
-        self.waiting.append((left[near], right[near]))
+        self.waiting.append((left[near].astype(np.int32), right[near].astype(np.int32)))
         self.size += int(near.sum())
         far = at[~near]
         if len(far):
@@ -279,9 +280,10 @@ class _Counting:
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.size:
-            left, right, n = count_tiles(*(np.concatenate(part) for part in zip(*self.waiting)))
+            left, right, n = count_tiles(*(np.concatenate(part).astype(np.int64) for part in zip(*self.waiting)))
+            self.waiting = []
             columns = [pa.repeat(pa.scalar(self.group), len(n)), pa.array(left), pa.array(right), pa.nulls(len(n), pa.string()), pa.array(n.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
+            yield from in_parts([pa.RecordBatch.from_arrays(columns, names=_NAMES)], SENT_ROWS)
         if self.spelled:
             n = len(self.spelled)
             phrases = [p.decode("utf-8", "replace") for p in self.spelled]
