@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,7 +21,8 @@ SPACE = "▁"
 # Fixed value: how much less than the worst piece an uncovered character scores.
 UNKNOWN_PENALTY = 10.0
 # Encoded chunks that a task remembers.
-REMEMBERED = 1 << 16
+REMEMBERED = 1 << 18
+MARKS = ".,;:!?"
 
 
 class Vocabulary(NamedTuple):
@@ -56,6 +58,9 @@ class Encoder:
         self.floor = min((score for _, _, score in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
         self.known: dict[str, bytes] = {}
         texts = [text for _, text, _ in vocabulary.pieces]
+        # Marks that no piece holds behind a letter: a word with such a mark is the word's pieces and the mark's.
+        joined = {b for text in texts for a, b in zip(text, text[1:]) if b in MARKS and a.isalpha()}
+        self.marks = "".join(m for m in MARKS if m in texts and m not in joined)
         # No piece reaches over a place where a space mark follows another character, nor over a line end that no
         # piece holds, so a text may be cut there and its parts looked up.
         if any(SPACE in text.lstrip(SPACE) for text in texts):
@@ -70,7 +75,7 @@ class Encoder:
         return found if min(found) >= 0 else [self.unknown]
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, "<i4").tobytes()
+        return struct.pack(f"<{len(ids)}i", *ids)
 
     def viterbi(self, chunk: str) -> list[int]:
         """Best-scoring pieces of a chunk.
@@ -78,27 +83,24 @@ class Encoder:
         The automaton reports, for every position in turn, all pieces that end there, longest first, by following
         output links. A position's best score is final once the next is reached. On a tie the longer piece stays.
         """
-        best = [0.0]
-        back: list = [None]
-        for end, (k, length, score) in self._matches(chunk):
-            while len(best) <= end + 1:  # reach this position by an uncovered character first
-                best.append(best[-1] + self.floor)
-                back.append(None)
-            if k is not None:
-                total = best[end + 1 - length] + score
-                if total > best[end + 1]:
-                    best[end + 1], back[end + 1] = total, (k, length)
-        ids, at = [], len(chunk)
+        n, floor, at = len(chunk), self.floor, 0
+        best: list[float] = [0.0] * (n + 1)
+        back: list = [None] * (n + 1)
+        for end, match in self.automaton.iter(chunk) if len(self.automaton) else ():
+            end += 1
+            while at < end:  # reach this position by an uncovered character first
+                at += 1
+                best[at] = best[at - 1] + floor
+            total = best[end - match[1]] + match[2]
+            if total > best[end]:
+                best[end], back[end] = total, match
+        ids, at = [], n
         while at:
-            step = back[at]
-            ids.append([step[0]] if step else self.fallback(chunk[at - 1]))
-            at -= step[1] if step else 1
+            match = back[at]
+            ids.append([match[0]] if match else self.fallback(chunk[at - 1]))
+            at -= match[1] if match else 1
         return [k for part in reversed(ids) for k in part]
 
-    def _matches(self, chunk: str) -> Iterator[tuple]:
-        yield from self.automaton.iter(chunk) if len(self.automaton) else ()
-        yield len(chunk) - 1, (None, 0, 0.0)
-
     def encode(self, text: str) -> bytes:
         """Ids of a text as 32-bit numbers, end to end."""
         out: list[bytes] = []
@@ -116,7 +118,12 @@ class Encoder:
     def _learn(self, chunk: str) -> bytes:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        ids = self.known[chunk] = self._packed(self.viterbi(chunk))
+        if chunk[-1] in self.marks and chunk[-2:-1].isalpha():
+            word, mark = chunk[:-1], chunk[-1]
+            ids = (self.known.get(word) or self._learn(word)) + (self.known.get(mark) or self._learn(mark))
+        else:
+            ids = self._packed(self.viterbi(chunk))
+        self.known[chunk] = ids
         return ids
 
 
