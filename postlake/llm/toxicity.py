@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import math
-import os
-import tempfile
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,14 +17,14 @@ from postlake.session import staged
 
 ORDERS = (4, 5, 6)
 BITS = 20
-# The classifier is fitted on at most so many labelled posts of each class.
+# The classifier is fitted on at most so many labelled posts of each class, and on so many of their characters.
 SAMPLE_PER_CLASS = 10_000
+CHARS_PER_CLASS = 12_000_000
 # Posts whose id hashes to 0 modulo FOLDS are never learned from.
 FOLDS = 5
 
 _SLICES = 64
-_U = np.uint64
-_MULTIPLIER = 0xD1342543DE82EF95
+_U = np.uint32
 
 
 class Model(NamedTuple):
@@ -37,32 +33,31 @@ class Model(NamedTuple):
     weights: np.ndarray  # log-count ratio times fitted coefficient
 
 
-def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and hashed n-gram of every n-gram of the texts, in lower case with blanks as single spaces."""
-    codes = []
-    for text in texts:
-        padded = f" {' '.join((text or '').lower().split())} "
-        codes.append(np.frombuffer(padded.encode("utf-32-le", "replace"), "<u4"))
-    lengths = np.array([len(c) for c in codes], np.int64)
-    flat = np.concatenate(codes).astype(np.uint64) if codes else np.empty(0, np.uint64)
-    owner = np.repeat(np.arange(len(codes)), lengths)
+def _grams(texts: list[str | None]) -> list[np.ndarray]:
+    """Hashed n-grams of each text, repeats included, in lower case with blanks as single spaces."""
+    padded = [f" {' '.join((text or '').lower().split())} " for text in texts]
+    lengths = np.array([len(p) for p in padded], np.int64)
+    flat = np.frombuffer("".join(padded).encode("utf-32-le", "replace"), "<u4")
+    mixed = flat * _U(0x9E3779B1)
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(flat))  # characters up to the end of the text
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    h = np.zeros(len(flat), _U)
     owners, hashes = [], []
-    for order in ORDERS:
-        if len(flat) < order:
-            continue
-        n = len(flat) - order + 1
-        h = np.full(n, _U(order))
-        for j in range(order):
-            h *= _U(_MULTIPLIER)
-            h += flat[j : j + n] * _U(0x9E3779B97F4A7C15)
-            h ^= h >> _U(29)
-        inside = left[:n] >= order
-        owners.append(owner[:n][inside])
-        hashes.append((h >> _U(64 - BITS)).astype(np.int64)[inside])
-    if not hashes:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(owners), np.concatenate(hashes)
+    # A longer n-gram's hash goes on from that of its first characters.
+    for j in range(max(ORDERS)):
+        if len(flat) <= j:
+            break
+        h = (h[: len(flat) - j] ^ mixed[j:]) * _U(0x85EBCA6B)
+        h ^= h >> _U(15)
+        if j + 1 in ORDERS:
+            inside = left[: len(h)] > j
+            owners.append(owner[: len(h)][inside])
+            hashes.append((h[inside] * _U(0xC2B2AE35) >> _U(32 - BITS)).astype(np.int32))
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    for own, hashed in zip(owners, hashes):
+        for k, part in enumerate(np.split(hashed, np.searchsorted(own, np.arange(1, len(texts))))):
+            out[k].append(part)
+    return [np.concatenate(parts) if parts else np.empty(0, np.int32) for parts in out]
 
 
 def _parts(batches: Iterator[pa.RecordBatch], chars: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -78,21 +73,27 @@ def _parts(batches: Iterator[pa.RecordBatch], chars: int = 1 << 18) -> Iterator[
             yield batch.slice(low), texts[low:]
 
 
-def _once(owner: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    both = np.unique((owner << BITS) | feature)
-    return both >> BITS, both & ((1 << BITS) - 1)
+class _Once:
+    """Drops repeats within a text: every n-gram notes where it stands, and the last note of each stays."""
+
+    def __init__(self) -> None:
+        self.last = np.empty(1 << BITS, np.int32)
+
+    def __call__(self, grams: np.ndarray) -> np.ndarray:
+        places = np.arange(len(grams), dtype=np.int32)
+        self.last[grams] = places
+        return grams[self.last[grams] == places]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many texts of either class each hashed n-gram occurs, in slices."""
     counts = np.zeros((2, 1 << BITS), np.int32)
     seen = np.zeros(2, np.int64)
+    once = _Once()
     for batch, texts in _parts(batches):
-        toxic = np.array(batch["toxic"].to_pylist(), np.int64)
-        owner, feature = _once(*_grams(texts))
-        for c in (0, 1):
-            counts[c] += np.bincount(feature[toxic[owner] == c], minlength=1 << BITS).astype(np.int32)
-            seen[c] += int((toxic == c).sum())
+        for toxic, grams in zip(batch["toxic"].to_pylist(), _grams(texts)):
+            counts[toxic, once(grams)] += 1
+            seen[toxic] += 1
     if seen.any():
         cut = counts.reshape(2, _SLICES, -1)
         yield pa.RecordBatch.from_arrays(
@@ -110,84 +111,99 @@ def _ratios(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"slice": [frame["slice"].iloc[0]], "ratios": [ratio.tobytes()]})
 
 
-def _chosen(batches: Iterator[pa.RecordBatch], features: np.ndarray) -> Iterator[pa.RecordBatch]:
-    table = _table(features)
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different n-grams of every text, packed."""
+    once = _Once()
     for batch, texts in _parts(batches):
-        owner, at = _hits(texts, table)
-        offsets = np.searchsorted(owner, np.arange(len(texts) + 1))
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(at, pa.int32()))
-        yield pa.RecordBatch.from_arrays([batch["place"], batch["toxic"], lists], names=["place", "toxic", "at"])
-
-
-def _table(features: np.ndarray) -> np.ndarray:
-    """Position in ``features`` of every hashed n-gram, -1 for those the model does not have."""
-    table = np.full(1 << BITS, -1, np.int32)
-    table[features] = np.arange(len(features), dtype=np.int32)
-    return table
-
-
-def _hits(texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and feature position of the model's n-grams that occur in each text, once each."""
-    owner, gram = _grams(texts)
-    at = table[gram]
-    found = at >= 0
-    return _once(owner[found], at[found].astype(np.int64))
-
-
-def _step(margin: float, alpha: float, curve: float, top: float) -> float:
-    """Best value of a text's dual variable between 0 and ``top``, all others held: the gradient falls, so it is halved in."""
-    low, high = 0.0, top
-    for _ in range(50):
-        x = (low + high) / 2
-        if x <= 0.0 or x >= top:
+        packed = [np.sort(once(grams)).astype("<i4").tobytes() for grams in _grams(texts)]
+        yield pa.RecordBatch.from_arrays([batch["place"], batch["toxic"], pa.array(packed, pa.binary())], names=["place", "toxic", "at"])
+
+
+def minimise(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, turns: int, kept: int = 5) -> np.ndarray:
+    """Limited-memory BFGS: ``loss`` gives value and gradient. Stops when a turn gains next to nothing."""
+    value, slope = loss(x)
+    steps: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(turns):
+        direction, parts = slope.copy(), []
+        for s, y, r in reversed(steps):
+            a = r * float(s @ direction)
+            parts.append(a)
+            direction -= a * y
+        if steps:
+            s, y, r = steps[-1]
+            direction *= 1 / (r * float(y @ y))
+        for (s, y, r), a in zip(steps, reversed(parts)):
+            direction += (a - r * float(y @ direction)) * s
+        fall, rate = float(slope @ direction), 1.0 if steps else 1.0 / max(float(np.abs(slope).max()), 1e-12)
+        if fall <= 0:
             break
-        if math.log((top - x) / x) - margin - curve * (x - alpha) > 0:
-            low = x
-        else:
-            high = x
-    return (low + high) / 2
+        while True:
+            moved = x - rate * direction
+            new_value, new_slope = loss(moved)
+            if new_value <= value - 1e-4 * rate * fall or rate < 1e-10:
+                break
+            rate /= 2
+        s, y = moved - x, new_slope - slope
+        curve = float(s @ y)
+        if curve > 1e-12:
+            steps = [*steps[1 - kept :], (s, y, 1 / curve)] if kept > 1 else [(s, y, 1 / curve)]
+        gained = value - new_value
+        x, value, slope = moved, new_value, new_slope
+        if gained < 1e-5 * abs(value):
+            break
+    return x
+
+
+def logistic_loss(at: np.ndarray, begins: np.ndarray, toxic: np.ndarray, weight: np.ndarray, ratio: np.ndarray, ridge: float):
+    """Loss of a ridge logistic regression on ratio-scaled marks, and its slope, as a function of coefficients and, last, the
+    bias. ``at`` holds the texts' marks end to end, text k from ``begins[k]`` on. Marks are read in stretches of texts, so what is
+    computed beside them stays small."""
+    cuts = [0, *range(256, len(begins), 256), len(begins)]
+    ends = np.append(begins, len(at))
+    sign = np.where(toxic > 0, 1.0, -1.0)
+
+    def loss(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        scaled = theta[:-1] * ratio
+        slope, value = np.zeros(len(ratio)), 0.0
+        bias_slope = 0.0
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            here = at[ends[low] : ends[high]]
+            if high == low:
+                continue
+            lengths = np.diff(ends[low : high + 1])
+            sums = np.zeros(high - low)
+            held = np.flatnonzero(lengths)
+            if len(held):
+                sums[held] = np.add.reduceat(scaled[here], (ends[low:high] - ends[low])[held])
+            margin = sign[low:high] * (sums + theta[-1])
+            value += float((weight[low:high] * np.logaddexp(0, -margin)).sum())
+            pull = -sign[low:high] * weight[low:high] / (1 + np.exp(np.clip(margin, -500, 500)))
+            slope += np.bincount(here, np.repeat(pull, lengths), len(ratio))
+            bias_slope += float(pull.sum())
+        slope = slope * ratio + ridge * theta[:-1]
+        return value + ridge / 2 * float(theta @ theta), np.append(slope, bias_slope + ridge * theta[-1])
+
+    return loss
 
 
 def _fit(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, share: dict[int, int], ridge: float, passes: int) -> Iterator[pa.RecordBatch]:
-    """Ridge logistic regression on ratio-scaled marks, by coordinate ascent in the dual. Gives, packed, the weight per feature and, last,
-    the bias, which is the weight of a mark that every text has.
-
-    Marks wait in a local file of this task and are read a text at a time, so memory does not grow with the number of n-grams.
-    Texts are visited in the order of ``place``, so the result does not depend on how they arrive.
-    """
-    with tempfile.TemporaryFile() as held:
-        texts = []
-        for batch in batches:
-            for place, toxic, at in zip(batch["place"].to_pylist(), batch["toxic"].to_pylist(), batch["at"]):
-                raw = at.values.to_numpy().astype("<i4").tobytes()
-                texts.append((place, toxic, len(raw), zlib.crc32(raw), held.tell()))
-                held.write(raw)
-        held.flush()
-        texts.sort()
-        n = [sum(t[1] == c for t in texts) for c in (0, 1)]
-        weights, bias = np.zeros(len(ratio)), 0.0
-        if min(n):
-            top = [share[c] / n[c] * len(texts) / (share[0] + share[1]) for c in (0, 1)]
-            squares, scale = ratio**2, ridge * len(texts)
-            alpha, curve = [0.0] * len(texts), [0.0] * len(texts)
-            for turn in range(passes):
-                moved = 0.0
-                for k, (_, toxic, size, _, begin) in enumerate(texts):
-                    at = np.frombuffer(os.pread(held.fileno(), size, begin), "<i4")
-                    sign = 1 if toxic else -1
-                    if not turn:
-                        curve[k] = (float(squares[at].sum()) + 1) / scale
-                    new = _step(sign * (float(weights[at].sum()) + bias), alpha[k], curve[k], top[toxic])
-                    change, alpha[k] = new - alpha[k], new
-                    moved = max(moved, abs(change) * curve[k])
-                    weights[at] += sign * change / scale * squares[at]
-                    bias += sign * change / scale
-                # No text's own step moves its margin any more.
-                if moved < 0.01:
-                    break
-        else:
-            bias = 60.0 if n[1] else -60.0
-    theta = np.append(weights, bias)
+    """Ridge logistic regression on ratio-scaled marks. Gives, packed, the weight per n-gram and, last, the bias, which is the
+    weight of a mark that every text has. Texts are put in the order of ``place`` first, so the result does not depend on how they
+    arrive."""
+    texts = [row for batch in batches for row in zip(batch["place"].to_pylist(), batch["toxic"].to_pylist(), batch["at"].to_pylist())]
+    texts.sort()
+    toxic = np.array([t[1] for t in texts], np.int64)
+    n = [int((toxic == c).sum()) for c in (0, 1)]
+    theta = np.zeros(len(ratio) + 1)
+    if min(n):
+        begins = np.cumsum([0, *(len(t[2]) // 4 for t in texts)])[:-1]
+        at = np.frombuffer(b"".join(t[2] for t in texts), "<i4")
+        texts.clear()
+        top = np.array([share[c] / n[c] * len(toxic) / (share[0] + share[1]) for c in (0, 1)])
+        theta = minimise(logistic_loss(at, begins, toxic, top[toxic], ratio, ridge * len(toxic)), theta, passes)
+        theta[:-1] *= ratio
+    else:
+        theta[-1] = 60.0 if n[1] else -60.0
     yield pa.RecordBatch.from_arrays([pa.array([theta.tobytes()])], names=["theta"])
 
 
@@ -195,16 +211,36 @@ def held_out(post_id) -> F.Column:
     return F.coalesce(F.crc32(post_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
+def _sample(posts: DataFrame, usable: DataFrame, shares: dict[int, int], per_class: int, chars: int) -> DataFrame:
+    """Labelled texts for the fit: ``place``, ``caption``, ``toxic``. Of each class those with the lowest hashes of id and text, each
+    text of an id once, until ``per_class`` texts or ``chars`` characters are reached."""
+    drawn = [lowest_hashes(usable.filter(F.col("toxic") == c), per_class, shares[c], "id") for c in (0, 1)]
+    found = posts.select("id", "caption").join(F.broadcast(drawn[0].union(drawn[1])), "id")
+    size = F.length(F.coalesce("caption", F.lit("")))
+    found = staged(found.select(F.xxhash64("id", "caption").alias("place"), "caption", "toxic", size.alias("size")), "labelled-texts")
+    # An id may have very many rows, so the rows are bounded again, and then by what they hold.
+    narrow = found.groupBy("toxic", "place").agg(F.max("size").alias("size"))
+    rows = dict(narrow.groupBy("toxic").count().collect())
+    kept = [lowest_hashes(narrow.filter(F.col("toxic") == c), per_class, n, "place") for c, n in sorted(rows.items())]
+    if not kept:
+        return found.drop("size")
+    narrow = kept[0] if len(kept) == 1 else kept[0].union(kept[1])
+    before = Window.partitionBy("toxic").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    narrow = narrow.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).filter(F.col("before") < chars)
+    return found.join(F.broadcast(narrow.select("toxic", "place")), ["toxic", "place"]).dropDuplicates(["toxic", "place"]).drop("size")
+
+
 def train_toxicity(
-    posts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, ridge: float = 1e-5, passes: int = 20
+    posts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, chars: int = CHARS_PER_CLASS, ridge: float = 1e-5, passes: int = 40
 ) -> Model:
     """Fit the classifier on labelled posts.
 
     ``posts``: ``id`` and ``caption`` of media posts; ``labels``: ``id`` and ``toxic`` (0 or 1). Labels of the held-out fold, null
     ids and null labels are left out; of several labels of a post the highest counts. The fit uses at most
-    ``per_class`` posts of either class, those with the lowest hash of their id; this documented bound is what makes
-    it safe to send the sample's ids to all tasks and the sample's marks (positions of the model's n-grams, no texts)
-    to one task. Classes are weighted back to their share among all labels of the fold.
+    ``per_class`` texts and, but for the last text, ``chars`` characters of either class, those with the lowest hashes; these documented
+    bounds are what makes it safe to send the sample's ids to all tasks and the sample's marks (hashed n-grams, no
+    texts) to one task, which holds at most three per character. Of rows that share an id and its text one is used.
+    Classes are weighted back to their share among all labels of the fold.
 
     A text is the set of its hashed character n-grams of 4 to 6 characters. Every n-gram of the sample is scaled by its log-count
     ratio, the logarithm of how much more often it occurs in toxic texts; none is left out. A logistic regression is fitted on
@@ -216,32 +252,31 @@ def train_toxicity(
     usable = usable.filter(~held_out(F.col("id"))).select("id", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
     usable = staged(usable, "labels")
     shares = dict(usable.groupBy("toxic").count().collect())
-    empty = np.empty(0, np.int64), np.empty(0)
     if len(shares) < 2:
-        return Model(60.0 if shares.get(1) else -60.0, *empty)
-    drawn = [lowest_hashes(usable.filter(F.col("toxic") == c), per_class, shares[c], "id") for c in (0, 1)]
-    sample = F.broadcast(drawn[0].union(drawn[1]))
-    # Texts of the sample, dealt to few tasks, as a count table is made per task.
-    texts = posts.select("id", "caption").join(sample, "id").select(F.xxhash64("id").alias("place"), "caption", "toxic")
-    texts = staged(texts.repartition(16), "labelled-texts")
+        return Model(60.0 if shares.get(1) else -60.0, np.empty(0, np.int64), np.empty(0))
+    # Dealt to few tasks, as a count table is made per task.
+    texts = staged(_sample(posts, usable, shares, per_class, chars).repartition(16), "sample")
     counted = texts.mapInArrow(_count, "slice long, counts binary, clean long, toxic long")
     ratios = counted.groupBy("slice").applyInPandas(_ratios, "slice long, ratios binary").collect()
     # Packed, as the driver would hold very many rows otherwise.
     ratios = np.frombuffer(b"".join(bytes(row["ratios"]) for row in sorted(ratios, key=lambda row: row["slice"])), np.float64)
-    features = np.flatnonzero(~np.isnan(ratios))
-    ratio = ratios[features]
-    marked = texts.mapInArrow(lambda b: _chosen(b, features), "place long, toxic int, at array<int>")
+    if not len(ratios):
+        return Model(60.0 if shares[1] > shares[0] else -60.0, np.empty(0, np.int64), np.empty(0))
+    ratio = np.nan_to_num(ratios)
+    marked = texts.mapInArrow(_marks, "place long, toxic int, at binary")
     # One task fits the bounded sample: numbers only, no texts.
     fitted = marked.coalesce(1).mapInArrow(lambda b: _fit(b, ratio, shares, ridge, passes), "theta binary")
     theta = np.frombuffer(bytes(fitted.first()["theta"]), np.float64)
-    return Model(float(theta[-1]), features, theta[:-1])
+    features = np.flatnonzero(~np.isnan(ratios))
+    return Model(float(theta[-1]), features, theta[features])
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    table = _table(model.features)
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[model.features] = model.weights
+    once = _Once()
     for batch, texts in _parts(batches):
-        owner, at = _hits(texts, table)
-        margin = model.bias + np.bincount(owner, model.weights[at], len(texts))
+        margin = model.bias + np.array([weights[once(grams)].sum(dtype=np.float64) for grams in _grams(texts)])
         yield pa.RecordBatch.from_arrays([batch["id"], pa.array(1 / (1 + np.exp(-np.clip(margin, -60, 60))))], names=["id", "score"])
 
 

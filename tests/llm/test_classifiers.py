@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from postlake.llm import line_quality, toxicity
 from tests.llm.helpers import caption, empty, post_id, posts, rows_of
@@ -74,13 +75,72 @@ def test_toxicity_learns_rare_markers(spark):
     assert not any(scored[i][1] for i, bad in marks if not bad)
     weight = dict(zip(model.features.tolist(), model.weights.tolist()))
     for word in markers:
-        assert np.mean([weight.get(g, 0.0) > 0 for g in toxicity._grams([word])[1].tolist()]) > 0.8  # hashes may meet
+        assert np.mean([weight.get(g, 0.0) > 0 for g in toxicity._grams([word])[0].tolist()]) > 0.8  # hashes may meet
+
+
+def plain_grams(text):
+    """Hashed n-grams of one text, a character after the other."""
+    mask, found = (1 << 32) - 1, []
+    padded = f" {' '.join((text or '').lower().split())} "
+    for n in (4, 5, 6):
+        for k in range(len(padded) - n + 1):
+            h = 0
+            for c in padded[k : k + n]:
+                h = ((h ^ (ord(c) * 0x9E3779B1 & mask)) * 0x85EBCA6B) & mask
+                h ^= h >> 15
+            found.append((h * 0xC2B2AE35 & mask) >> 12)
+    return found
 
 
 def test_ngrams_stay_in_their_text():
-    owner, gram = toxicity._grams(["abcdef", None, "abcdef"])
-    assert sorted(gram[owner == 0]) == sorted(gram[owner == 2]) and len(gram[owner == 0]) == 5 + 4 + 3
-    assert (owner == 1).sum() == 0
+    texts = ["abcdef", None, "abcdef", "Été \n x", "", "🍵 tea tea"]
+    for text, grams in zip(texts, toxicity._grams(texts)):
+        assert sorted(grams.tolist()) == sorted(plain_grams(text))
+    assert len(toxicity._grams(texts)[0]) == 5 + 4 + 3 and len(toxicity._grams([None])[0]) == 0
+
+
+def test_scores_equal_plain_sums(spark):
+    draw = np.random.default_rng(8)
+    features = np.sort(draw.choice(1 << toxicity.BITS, 1 << 19, replace=False))
+    model = toxicity.Model(0.3, features, draw.standard_normal(len(features)) / 50)
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    texts = [None, "", "a", caption(1, 30), caption(1, 30) * 3, "Ä  b\tc", caption(2, 4_000)]
+    table = posts(spark, [(post_id(k), t) for k, t in enumerate(texts)])
+    found = dict(rows_of(toxicity.score_toxicity(table, model), "id", "score"))
+    for k, text in enumerate(texts):
+        margin = 0.3 + sum(weight.get(g, 0.0) for g in set(plain_grams(text)))
+        assert found[post_id(k)] == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-5)
+
+
+def test_slope_and_minimum_of_the_loss():
+    draw = np.random.default_rng(9)
+    texts = [draw.choice(30, draw.integers(0, 8), replace=False) for _ in range(600)]
+    toxic = np.array([int(3 in t or draw.random() < 0.1) for t in texts])
+    begins, at = np.cumsum([0, *map(len, texts)])[:-1], np.concatenate(texts).astype(np.int32)
+    loss = toxicity.logistic_loss(at, begins, toxic, np.where(toxic, 1.5, 0.5), draw.standard_normal(30), 0.05)
+
+    theta = draw.standard_normal(31)
+    value, slope = loss(theta)
+    for k in range(31):
+        step = np.zeros(31)
+        step[k] = 1e-6
+        assert slope[k] == pytest.approx((loss(theta + step)[0] - loss(theta - step)[0]) / 2e-6, rel=1e-4, abs=1e-4)
+    best = toxicity.minimise(loss, np.zeros(31), 40)
+    plain = np.zeros(31)
+    for _ in range(20_000):
+        plain -= 0.002 * loss(plain)[1]
+    assert loss(best)[0] <= loss(plain)[0] * 1.005
+
+
+def test_rows_of_one_id_are_bounded(spark):
+    rows = [(post_id(0), f"{caption(k, 30)} rotten") for k in range(300)] + [(post_id(k), caption(k, 30)) for k in range(1, 200)]
+    marks = [(post_id(0), 1), (post_id(0), 0), *((post_id(k), 0) for k in range(1, 200))]
+    table = posts(spark, rows)
+    usable = spark.createDataFrame([(i, t) for i, t in marks if (i, t) != (post_id(0), 0)], "id string, toxic int")
+    sample = toxicity._sample(table, usable, {0: 199, 1: 1}, 50, 10**9)
+    assert {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()} == {0: 50, 1: 50}
+    few = toxicity._sample(table, usable, {0: 199, 1: 1}, 50, 1_000)
+    assert all(r["sum(length(caption))"] < 1_400 for r in few.groupBy("toxic").agg({"caption": "count"}).join(few.groupBy("toxic").agg(F.sum(F.length("caption"))), "toxic").collect())
 
 
 def brute_figures(text):
