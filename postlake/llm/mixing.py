@@ -6,13 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.llm.common import WORD, n_words
 from postlake.session import staged
 
 BLOCK = 64
+FEWEST_BLOCKS = 64
 WEIGHTS = (1, 2, 3)
 MOST_TIMES = 3
 SHARD_SLOTS = 1 << 16
@@ -84,22 +85,29 @@ def _place(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["rank", "block", "times", "shard", "slot"])
 
 
-def placed_posts(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def block_of(source_size: Column, most: int) -> Column:
+    """Words per block of a tag: ``most``, and less for small tags, so that each has at least FEWEST_BLOCKS, or a word per block."""
+    return F.greatest(F.lit(1), F.least(F.lit(most), F.floor(source_size / FEWEST_BLOCKS))).cast("long")
+
+
+def placed_posts(posts: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Posts with ``size``, their tag's target and ``offset``, the words of the tag in front; and the tags' table.
 
-    A tag's words are laid end to end: posts are dealt to chunks of about CHUNK_ROWS by a hash of their id, ordered by id in a
-    chunk, and chunks follow each other. So a tag with a third of all posts is summed up in many tasks.
+    A tag's words are laid end to end: posts are dealt to chunks of about CHUNK_ROWS by a hash of id and text, ordered by id,
+    size and text in a chunk, and chunks follow each other. So a tag with a third of all posts is summed up in many tasks, and
+    so are posts that share an id, or have none.
     """
-    sized = posts.select("id", "caption", "hashtag_id", n_words(F.col("caption")).alias("size"))
+    sized = posts.select("id", "caption", "hashtag_id", n_words(F.col("caption")).alias("size"), F.xxhash64("caption").alias("text_hash"))
     sizes = sized.groupBy("hashtag_id").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_posts"))
     sizes = staged(sizes, "tag-sizes")
     total = sizes.agg(F.sum("n_posts")).first()[0] or 0
-    tags = staged(mix_targets(sizes.drop("n_posts")), "tag-targets")
+    targets = mix_targets(sizes.drop("n_posts")).withColumn("block_words", block_of(F.col("source_size"), block))
+    tags = staged(targets, "tag-targets")
     chunks = max(1, -(-total // CHUNK_ROWS))
     renamed = tags.withColumnRenamed("hashtag_id", "tag")
     joined = sized.join(renamed, F.col("hashtag_id").eqNullSafe(F.col("tag"))).drop("tag")
-    joined = joined.withColumn("chunk", F.pmod(F.xxhash64("id", F.col("size")), F.lit(chunks)))
-    inside = Window.partitionBy("rank", "chunk").orderBy(F.col("id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    joined = joined.withColumn("chunk", F.pmod(F.xxhash64("id", "text_hash"), F.lit(chunks)))
+    inside = Window.partitionBy("rank", "chunk").orderBy(F.col("id").asc_nulls_last(), "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     local = joined.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     lengths = joined.groupBy("rank", "chunk").agg(F.sum("size").alias("words"))
     starts = lengths.select(
@@ -108,13 +116,13 @@ def placed_posts(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     starts = staged(starts, "chunk-starts")
     placed = local.join(starts, (F.col("rank") == F.col("r")) & (F.col("chunk") == F.col("c")))
-    return placed.select("id", "caption", "hashtag_id", "rank", "size", "source_size", "target", (F.col("chunk_start") + F.col("inside")).alias("offset")), tags
+    return placed.select("id", "caption", "hashtag_id", "rank", "size", "source_size", "target", "block_words", (F.col("chunk_start") + F.col("inside")).alias("offset")), tags
 
 
-def slots_of(tags: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = 7) -> DataFrame:
+def slots_of(tags: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 7) -> DataFrame:
     """All slots of the mix: ``rank`` of the tag, ``block``, ``times`` it was taken before, output ``shard`` and ``slot``."""
     per_tag = tags.select(
-        "rank", F.ceil(F.col("source_size") / block).cast("long").alias("n_blocks"), F.round(F.col("target") / block).cast("long").alias("n_slots")
+        "rank", F.ceil(F.col("source_size") / F.col("block_words")).cast("long").alias("n_blocks"), F.round(F.col("target") / F.col("block_words")).cast("long").alias("n_slots")
     ).filter("n_blocks > 0 and n_slots > 0")
     total = per_tag.agg(F.sum("n_slots")).first()[0] or 0
     shards = max(1, -(-total // shard_slots))
@@ -131,8 +139,8 @@ def slots_of(tags: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS
 def mix_posts(posts: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = 7) -> DataFrame:
     """Mix the captions of posts so that the words of tags come in target shares.
 
-    Reads ``id``, ``caption`` and ``hashtag_id`` of media posts. The words of a tag are packed into blocks of ``block`` words (the
-    last may be shorter); a tag gets as many slots as its target needs blocks, spread over output shards by a
+    Reads ``id``, ``caption`` and ``hashtag_id`` of media posts. The words of a tag are packed into blocks of ``block`` words, of
+    a small tag into smaller ones down to a word (the last may be shorter), so no tag loses its words to rounding; a tag gets as many slots as its target needs blocks, spread over output shards by a
     multinomial draw. Slot t of a tag takes the block that a pseudorandom permutation of the tag's blocks gives for t
     modulo their number, so blocks are taken equally often, up to once, and never over MOST_TIMES. Blocks and slots
     meet by index. Everything depends on seeds and ids only, so reruns agree.
@@ -143,14 +151,15 @@ def mix_posts(posts: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLO
     and ``slot`` and ``taken`` 0; otherwise ``taken`` is ``n_words``. A null tag is a tag of its own. Null and empty captions
     have no words. Posts without id and repeated rows are mixed like others.
     """
-    placed, tags = placed_posts(posts)
-    slots = slots_of(tags, block, shard_slots, seed)
+    placed, tags = placed_posts(posts, block)
+    slots = slots_of(tags, shard_slots, seed)
+    words_of_block = F.col("block_words")
     words = F.regexp_extract_all(F.coalesce("caption", F.lit("")), F.lit(WORD), F.lit(0))
-    last = F.floor((F.col("offset") + F.col("size") - 1) / block)
-    blocks = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("offset") / block), last))
+    last = F.floor((F.col("offset") + F.col("size") - 1) / words_of_block)
+    blocks = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("offset") / words_of_block), last))
     pieces = placed.withColumn("words", words).drop("caption").withColumn("block", F.explode_outer(blocks))
-    begin = F.greatest(F.lit(0), F.col("block") * block - F.col("offset"))
-    end = F.least(F.col("size"), (F.col("block") + 1) * block - F.col("offset"))
+    begin = F.greatest(F.lit(0), F.col("block") * words_of_block - F.col("offset"))
+    end = F.least(F.col("size"), (F.col("block") + 1) * words_of_block - F.col("offset"))
     pieces = pieces.withColumn("start", begin).withColumn("n_words", F.coalesce(end - F.col("start"), F.lit(0)))
     cut = F.array_join(F.slice("words", (F.col("start") + 1).cast("int"), F.col("n_words").cast("int")), " ")
     pieces = pieces.withColumn("text", cut).drop("words")

@@ -52,6 +52,24 @@ def test_taken_comes_near_targets_and_no_post_exceeds_three_times_its_size(table
     assert sorted(again, key=str) == sorted(mixed, key=str)
 
 
+def test_small_tags_meet_their_targets_in_words(spark):
+    rows = [(post_id(0), caption(0, 9_000), "big")] + [(post_id(k), caption(k, k), f"s{k:02d}") for k in range(1, 41)]
+    mixed = rows_of(mixing.taken_per_post(mixing.mix_posts(posts(spark, rows))), "hashtag_id", "target", "taken", "size")
+    assert len(mixed) == 41
+    for tag, target, taken, size in mixed:
+        assert taken <= 3 * size and abs(taken - target) <= (128 if tag == "big" else 1)
+
+
+def test_posts_that_share_an_id_spread(spark):
+    rows = [(None, caption(k, 5), "t") for k in range(9_000)]
+    placed, _ = mixing.placed_posts(posts(spark, rows))
+    # Offsets follow each other without a gap, and the order does not depend on how rows arrive.
+    offsets = sorted(r[0] for r in placed.select("offset").collect())
+    assert offsets == list(range(0, 45_000, 5))
+    again, _ = mixing.placed_posts(posts(spark, rows[::-1]))
+    assert sorted(rows_of(placed, "caption", "offset")) == sorted(rows_of(again, "caption", "offset"))
+
+
 def test_pieces_are_words_of_their_posts(table):
     words = {i: (c or "").split() for i, c in rows_of(table, "id", "caption")}
     pieces = rows_of(mixing.mix_posts(table, block=16, shard_slots=40), "id", "start", "n_words", "text", "shard", "slot", "taken")
