@@ -110,7 +110,8 @@ def _(spark, sf_dir):
     raw = pages.selectExpr("page_id AS id", "url AS permalink", "html AS payload", "CAST(NULL AS TIMESTAMP) AS fetched_at")
     archives = staged(warc.write_archives(raw, "text/html; charset=utf-8"), "archives")
     records = warc.read_archives(archives, "long")
-    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    sound = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("archive record "), "error")).cast("long")).otherwise(F.col("id"))
+    return records.select(sound.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 # The public 32k vocabulary of the box; any SentencePiece model file will do.

@@ -26,7 +26,6 @@ SHARED_FROM = 1000
 # A dictionary is trained on so many payloads at most, of so many bytes each.
 SAMPLES, SAMPLE_BYTES, DICTIONARY_BYTES = 256, 16 << 10, 32 << 10
 ARCHIVE_BYTES = 8 << 20
-RECORD_BYTES = 1 << 30
 
 # Fixed value: the profile of records that repeat a payload.
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -213,10 +212,8 @@ def _records(content: bytes) -> Iterator[dict]:
                 decoder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(_dictionary(content[begin:end])))
             elif mark == FRAME:
                 try:
-                    frame = content[begin:end]
-                    if zstandard.frame_content_size(frame) > RECORD_BYTES:
-                        raise ValueError("record too large")
-                    yield parse_record(decoder.decompress(frame, max_output_size=RECORD_BYTES if zstandard.frame_content_size(frame) < 0 else 0))
+                    # A frame need not say how large its content is.
+                    yield parse_record(decoder.decompressobj().decompress(content[begin:end]))
                 except (ValueError, zstandard.ZstdError) as wrong:
                     yield dict.fromkeys(_FIELDS) | {"error": f"at {begin}: {wrong}"}
             first = False
