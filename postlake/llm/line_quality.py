@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -145,8 +146,9 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for text in batch["caption"].to_pylist():
             _, lines = base_figures(text)
-            step = -(-len(lines) // SAMPLE_LINES) if lines else 1
-            rows.append(line_bins([line_figures(*line) for line in lines[::step]]).reshape(-1).tolist())
+            # Neighbours stay neighbours: a stretch of lines, from a place that the text itself decides.
+            begin = zlib.crc32((text or "").encode("utf-8", "replace")) % max(len(lines) - SAMPLE_LINES + 1, 1)
+            rows.append(line_bins([line_figures(*line) for line in lines[begin : begin + SAMPLE_LINES]]).reshape(-1).tolist())
         yield pa.RecordBatch.from_arrays([batch["quality"], pa.array(rows, pa.list_(pa.int16()))], names=["quality", "features"])
 
 
@@ -197,7 +199,7 @@ def train_field(posts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
 
     ``posts``: ``id`` and ``caption`` of media posts; ``labels``: ``id`` and ``quality`` (0 or 1). The fold whose id hashes to 0 modulo
     FOLDS, null ids and null labels are left out; of several labels of a post the lowest counts. At most ``per_class``
-    posts of either class are used, those with the lowest hash of their id, and SAMPLE_LINES evenly spaced lines of each:
+    posts of either class are used, those with the lowest hash of their id, and SAMPLE_LINES lines of each that follow each other:
     this documented bound makes it safe to send the ids to all tasks and the lines' bins, no texts, to the driver.
     Classes weigh alike. Without labels of both classes the field scores nothing and every line is content.
     """
