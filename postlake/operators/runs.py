@@ -14,7 +14,9 @@ from postlake.functions.scalars import (
 )
 from postlake.operators.history import ARRIVAL, observation_flags, record_changes
 from postlake.operators.validate import split_valid
-from postlake.schemas import DEFAULT_ITEM_CAP, TRACKED_COLUMNS
+from postlake.schemas import ATTEMPT_PAGES, DEFAULT_ITEM_CAP, RUN_TYPES, SOURCES, TRACKED_COLUMNS
+
+COUNTERS = ("items_seen", "items_new", "items_updated", "metrics_recorded", "asset_jobs_enqueued")
 
 
 def resumable_run(runs: DataFrame) -> DataFrame:
@@ -92,6 +94,69 @@ def finish_runs(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
 
 
+def advance_runs(heads: DataFrame, known: DataFrame, item_cap: int = DEFAULT_ITEM_CAP) -> DataFrame:
+    """The runs that pages arrived for, after those pages: one audit row each.
+
+    ``heads`` has one row per page (``page_heads``), ``known`` the runs as they were. A run goes on where it was: offset, pages of
+    each attempt, first start, last cursor and usage reading are kept unless newer ones came. A run ends with the page
+    that names no next one, or at the item cap; it then succeeds, or with a page that could not be read fails, in part where
+    items landed. A run that ended goes on if newer pages still come. Counters of curated items are added by ``add_counters``.
+    """
+    seq = F.col("arrival_seq")
+    readable = F.col("items").isNotNull()
+    seen = heads.groupBy("sync_run_id").agg(
+        F.min_by(F.struct("hashtag_id", "source"), seq).alias("of"), F.min("fetched_at").alias("first_at"), F.max("fetched_at").alias("last_at"),
+        F.max("attempt").alias("attempt"), F.count_if(readable).alias("pages"), F.count_if(~readable).alias("unread"),
+        F.coalesce(F.sum("items"), F.lit(0)).alias("items"), F.max(F.when(readable, seq)).alias("seq"),
+        F.max_by("goes_on", F.when(readable, seq)).alias("goes_on"), F.max_by("next_cursor", F.when(F.col("next_cursor").isNotNull(), seq)).alias("cursor"),
+        F.max_by("usage", F.when(F.col("usage").isNotNull(), seq)).alias("usage"),
+    )
+    # A run has few attempts.
+    pages = heads.filter(readable).groupBy("sync_run_id", "attempt").agg(F.count("*").alias("pages"))
+    earlier = known.select(F.col("id").alias("sync_run_id"), F.inline("attempt_pages"))
+    counted = pages.unionByName(earlier).groupBy("sync_run_id", "attempt").agg(F.sum("pages").alias("pages"))
+    counted = counted.groupBy("sync_run_id").agg(F.sort_array(F.collect_list(F.struct("attempt", "pages"))).alias("attempt_pages"))
+    old = known.select(F.col("id").alias("_id"), F.struct(*known.columns).alias("old"))
+    runs = seen.join(counted, "sync_run_id", "left").join(old, F.col("sync_run_id") == F.col("_id"), "left")
+
+    def added(name: str, more: Column) -> Column:
+        return F.coalesce(F.col(f"old.{name}"), F.lit(0)) + more
+
+    def kept(name: str) -> Column:
+        return F.coalesce(F.col(f"old.{name}"), F.lit(0))
+
+    newer = F.col("old.last_seq").isNull() | (F.col("seq") >= F.col("old.last_seq"))
+    landed = added("items_landed", F.col("items"))
+    ends = F.when(F.coalesce(newer, F.lit(False)), ~F.col("goes_on")).otherwise(F.coalesce(F.col("old.status") != "running", F.lit(False)))
+    runs = runs.select(
+        F.col("sync_run_id").alias("id"),
+        F.coalesce("old.type", F.when(F.col("of.source") == SOURCES[0], RUN_TYPES[0]).otherwise(RUN_TYPES[1])).alias("type"),
+        F.lit("running").alias("status"), F.coalesce("old.hashtag_id", "of.hashtag_id").alias("hashtag_id"), F.col("old.triggered_by_message_id"),
+        F.coalesce("old.started_at", "first_at").alias("started_at"), F.lit(None).cast("timestamp").alias("finished_at"),
+        F.lit(None).cast("long").alias("duration_ms"), added("pages_fetched", F.col("pages")).alias("pages_fetched"),
+        *[kept(c).alias(c) for c in COUNTERS], F.lit(0).alias("hit_item_cap"), F.coalesce("usage", "old.rate_limit_snapshot").alias("rate_limit_snapshot"),
+        F.coalesce(F.when(newer, F.col("cursor")), F.col("old.last_cursor")).alias("last_cursor"),
+        F.greatest("old.attempts", "attempt").alias("attempts"), F.lit(None).cast("string").alias("error"),
+        F.coalesce("old.created_at", "first_at").alias("created_at"), landed.alias("items_landed"),
+        F.coalesce("attempt_pages", F.array().cast(ATTEMPT_PAGES)).alias("attempt_pages"),
+        added("pages_unreadable", F.col("unread")).alias("pages_unreadable"), kept("items_invalid").alias("items_invalid"),
+        F.greatest("old.last_seen_at", "last_at").alias("last_seen_at"), F.greatest("old.last_seq", "seq").alias("last_seq"),
+        (ends | (landed >= item_cap)).alias("_ends"),
+    )
+    lost = F.when(F.col("pages_unreadable") > 0, F.format_string("%d unreadable page(s)", F.col("pages_unreadable")))
+    ended = runs.filter("_ends").select(
+        "id", F.col("last_seen_at").alias("ended_at"), lost.alias("failure"), "items_landed", (F.col("items_landed") >= item_cap).alias("hit_cap")
+    )
+    return finish_runs(runs.drop("_ends"), ended)
+
+
+def add_counters(runs: DataFrame, counters: DataFrame) -> DataFrame:
+    """``runs`` with the counters of curated items, by ``sync_run_id``, added."""
+    names = [c for c in counters.columns if c != "sync_run_id"]
+    more = counters.select(F.col("sync_run_id").alias("id"), F.struct(*names).alias("_more"))
+    return runs.join(more, "id", "left").withColumns({c: F.col(c) + F.coalesce(F.col(f"_more.{c}"), F.lit(0)) for c in names}).drop("_more")
+
+
 def recent_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
     return runs.orderBy(F.desc("started_at"), F.desc("id")).limit(limit)
 

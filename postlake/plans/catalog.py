@@ -209,10 +209,11 @@ def _(i):
     posts = i.posts().withColumns(
         {"first_seen_via": F.lit("top"), "created_at": F.col("first_seen_at"), "updated_at": F.col("last_seen_at")}
     )
-    TB.append_batch(posts.filter(F.col("taken_at") < moment("1998-01-01 00:00:00")), "media_posts", home, 0)
-    TB.append_batch(posts.filter(F.col("taken_at") >= moment("1998-01-01 00:00:00")), "media_posts", home, 1)
-    TB.compact(i.spark, "media_posts", home)
-    return TB.read_current(i.spark, "media_posts", home).groupBy("hashtag_id").agg(
+    # All posts without their likes, then the older and the newer ones with them: each load replaces rows of the one before.
+    TB.merge_state(posts.withColumn("like_count", F.lit(0)), "media_posts", home, "first")
+    TB.merge_state(posts.filter(F.col("taken_at") < moment("1998-01-01 00:00:00")), "media_posts", home, "older")
+    TB.merge_state(posts.filter(F.col("taken_at") >= moment("1998-01-01 00:00:00")), "media_posts", home, "newer")
+    return TB.read_state(i.spark, "media_posts", home).groupBy("hashtag_id").agg(
         F.count("*").alias("posts"), F.sum("like_count").alias("likes"), F.count("best_top_rank").alias("ranked"),
         F.sum(F.size("caption_hashtags")).alias("tags"), F.max("taken_at").alias("newest"),
     )
@@ -1232,14 +1233,14 @@ def _(i):
 def _(i):
     lake = _ingested(i, [])
     jobs = TB.read_log(i.spark, "download_jobs", lake)
-    posts = TB.read_current(i.spark, "media_posts", lake).select(F.col("id").alias("media_id"), F.col("ig_media_id").alias("post"))
+    posts = TB.read_state(i.spark, "media_posts", lake).select(F.col("id").alias("media_id"), F.col("ig_media_id").alias("post"))
     return jobs.join(posts, "media_id").select("post", "url")
 
 
 @query("resume", "rposts", f"SELECT {POST_COLUMNS} FROM rposts")
 def _(i):
     lake = _ingested(i, [CUT])
-    return TB.read_current(i.spark, "media_posts", lake).drop(*POST_DROPPED)
+    return TB.read_state(i.spark, "media_posts", lake).drop(*POST_DROPPED)
 
 
 @query("stream_dedupe", "deliveries", "SELECT DISTINCT message_id, hashtag_id FROM deliveries")
@@ -1257,7 +1258,7 @@ def _(i):
             F.col("ts").cast("timestamp").alias("delivered_at"),
         )
         ST.dedupe_available(messages, f"{home}/lake", f"{home}/checkpoint")
-    return TB.read_log(i.spark, "messages", f"{home}/lake").select("message_id", "hashtag_id")
+    return TB.read_state(i.spark, "messages", f"{home}/lake").select("message_id", "hashtag_id")
 
 
 @query("stream_history", "history", f"SELECT {HISTORY_COLUMNS} FROM history")
@@ -1270,16 +1271,18 @@ def _(i):
     setting = "spark.sql.streaming.stateStore.providerClass"
     provider = i.spark.conf.get(setting)
     i.spark.conf.set(setting, SH.ROCKSDB)
-    for part, late in enumerate((False, True)):
-        later = F.col("fetched_at") >= moment(CUT)
-        seen.filter(later if late else ~later).write.mode("append").parquet(f"{home}/in")
-        started = (
-            SH.stream_history(i.spark.readStream.schema(seen.schema).parquet(f"{home}/in"))
-            .writeStream.format("parquet").option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint")
-            .outputMode("append").trigger(availableNow=True).start()
-        )
-        started.awaitTermination()
-    i.spark.conf.set(setting, provider)
+    try:
+        for late in (False, True):
+            later = F.col("fetched_at") >= moment(CUT)
+            seen.filter(later if late else ~later).write.mode("append").parquet(f"{home}/in")
+            started = (
+                SH.stream_history(i.spark.readStream.schema(seen.schema).parquet(f"{home}/in"))
+                .writeStream.format("parquet").option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint")
+                .outputMode("append").trigger(availableNow=True).start()
+            )
+            started.awaitTermination()
+    finally:
+        i.spark.conf.set(setting, provider)
     rows = i.spark.read.schema(SH.OUTPUT).parquet(f"{home}/out")
     return cap.with_caption_arrays(rows).withColumnRenamed("fetched_at", "captured_at").drop("media_url", "taken_at")
 
@@ -1290,3 +1293,103 @@ def _(i):
 )
 def _(i):
     return ST.dead_letter(i.view("deliveries"))
+
+
+# The same pages as a source that names a next page after every full one, with usage headers.
+def _turning_pages(i: Inputs) -> DataFrame:
+    block = F.col("arrival_seq").cast("string")
+    full = F.col("n_items") == 6
+    turned = F.concat(F.expr("left(body, length(body) - 2)"), F.lit('},"next":"https://graph.example.com/page?after=c'), block, F.lit('"}}'))
+    usage = F.concat(F.lit('{"call_count":'), (F.col("arrival_seq") * 7 % 100).cast("string"), F.lit("}"))
+    return i.view("landed").withColumns({"body": F.when(full, turned).otherwise(F.col("body")), "app_usage": F.when(F.col("arrival_seq") % 2 == 0, usage)})
+
+
+RUNS = """, pages AS (SELECT sync_run_id, arrival_seq, hashtag_id, source, attempt, fetched_at, n_items, broken, n_items = 6 AS goes_on,
+    CASE WHEN arrival_seq % 2 = 0 THEN CAST(arrival_seq * 7 % 100 AS DOUBLE) END AS usage FROM landed),
+  ends AS (SELECT sync_run_id, any_value(source) AS source, max(attempt) AS attempts, count(*) FILTER (WHERE broken = 0) AS pages, count(*) FILTER (WHERE broken = 1) AS unread,
+      coalesce(sum(n_items) FILTER (WHERE broken = 0), 0) AS landed, min(fetched_at) AS started, max(fetched_at) AS ended, coalesce(NOT arg_max(goes_on, arrival_seq) FILTER (WHERE broken = 0), FALSE) AS over,
+      arg_max('c' || arrival_seq, arrival_seq) FILTER (WHERE broken = 0 AND goes_on) AS cursor, arg_max(usage, arrival_seq) FILTER (WHERE usage IS NOT NULL) AS usage
+    FROM pages GROUP BY 1),
+  counted AS (SELECT sync_run_id, count(*) AS items, count(*) FILTER (WHERE is_new) AS new, count(*) FILTER (WHERE content_changed) AS changed FROM rflags GROUP BY 1)
+  SELECT e.sync_run_id AS id, CASE e.source WHEN 'top' THEN 'SYNC_TOP_HASHTAG_MEDIA' ELSE 'SYNC_RECENT_HASHTAG_MEDIA' END AS type,
+    CASE WHEN NOT over THEN 'running' WHEN unread = 0 THEN 'succeeded' WHEN landed > 0 THEN 'partial' ELSE 'failed' END AS status,
+    CAST(attempts AS BIGINT) AS attempts, CAST(pages AS BIGINT) AS pages_fetched, coalesce(c.items, 0) AS items_seen, coalesce(c.new, 0) AS items_new, coalesce(c.changed, 0) AS items_updated,
+    @us{started} AS started_at, CASE WHEN over THEN @us{ended} END AS finished_at, CASE WHEN over THEN (epoch_us(ended) - epoch_us(started)) // 1000 END AS duration_ms,
+    cursor AS last_cursor, usage AS worst_pct, CASE WHEN over AND unread > 0 THEN unread || ' unreadable page(s)' END AS error
+  FROM ends AS e LEFT JOIN counted AS c ON c.sync_run_id = e.sync_run_id"""
+
+
+@query("stream_runs", "landed rflags", RUNS)
+def _(i):
+    home = shared_dir(i.spark, "runs")
+    pages = _turning_pages(i).drop("n_items", "broken")
+    # The audit row of a run whose pages arrive on both sides of the cut goes on where it was.
+    for part in (F.col("fetched_at") < moment(CUT), F.col("fetched_at") >= moment(CUT)):
+        pages.filter(part).write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{home}/pages")
+        ST.ingest_available(i.spark, f"{home}/pages", f"{home}/lake", f"{home}/checkpoint")
+    runs = TB.read_state(i.spark, "sync_runs", f"{home}/lake")
+    return runs.select(
+        "id", "type", "status", "attempts", "pages_fetched", "items_seen", "items_new", "items_updated", "started_at", "finished_at", "duration_ms",
+        "last_cursor", F.get_json_object("rate_limit_snapshot", "$.worst_pct").cast("double").alias("worst_pct"), "error",
+    )
+
+
+@query("stored_run_scan", "raw", f"SELECT {RAW_COLUMNS}, payload->>'$.id' AS ig_media_id FROM raw WHERE sync_run_id = '{RUN}' ORDER BY position_overall")
+def _(i):
+    home = shared_dir(i.spark, "stored")
+    _write_landing(i, f"{home}/pages")
+    ST.land_available(i.spark, f"{home}/pages", f"{home}/lake", f"{home}/checkpoint")
+    return ST.stored_run_scan(i.spark, f"{home}/lake", RUN).drop("id")
+
+
+_NAMED = zip(("like_count", "comments_count", "rank", "caption", "permalink", "media_type"), ("likeCount", "commentsCount", "rank", "caption", "permalink", "mediaType"))
+_CHANGED = "list_filter([" + ", ".join(f"CASE WHEN a.{c} IS DISTINCT FROM h.{c} THEN '{n}' END" for c, n in _NAMED) + "], lambda x: x IS NOT NULL)"
+
+
+@query(
+    "replay_history", "robs rhistory",
+    f"""SELECT {HISTORY_COLUMNS} FROM rhistory UNION ALL
+    SELECT {HISTORY_COLUMNS} FROM (SELECT a.* REPLACE (TIMESTAMP '{NOW}' AS fetched_at), TIMESTAMP '{NOW}' AS captured_at, {_CHANGED} AS changed_fields
+      FROM (SELECT *, CASE WHEN source = 'top' THEN position_overall + 1 END AS rank, row_number() OVER (PARTITION BY ig_media_id ORDER BY position_overall) AS n FROM robs WHERE sync_run_id = '{RUN}') AS a
+      JOIN (SELECT * FROM rhistory QUALIFY row_number() OVER (PARTITION BY ig_media_id ORDER BY fetched_at DESC, sync_run_id DESC, position_overall DESC) = 1) AS h USING (ig_media_id)
+      WHERE NOT EXISTS (SELECT 1 FROM rhistory AS r WHERE r.sync_run_id = '{RUN}' AND r.ig_media_id = a.ig_media_id)) WHERE len(changed_fields) > 0""",
+)
+def _(i):
+    # Stored beside what the stream wrote, and stored again: the second time changes nothing.
+    lake = _ingested(i, [])
+    for _ in range(2):
+        ST.replay_stored(i.spark, lake, RUN, moment(NOW))
+    return TB.read_log(i.spark, "media_post_history", lake).drop("id", "media_id", "run_day", "run_bucket", "load")
+
+
+@query(
+    "stream_dead_letter", "deliveries",
+    """SELECT message_id, CAST(4 AS BIGINT) AS deliveries, @us{delivered_at} AS parked_at
+    FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY delivered_at, delivery_no) AS k FROM deliveries) WHERE k = 4""",
+)
+def _(i):
+    home = shared_dir(i.spark, "parked")
+    deliveries = i.view("deliveries").select("message_id", "delivered_at")
+    for part in (F.col("delivered_at") < moment(CUT), F.col("delivered_at") >= moment(CUT)):
+        deliveries.filter(part).write.mode("append").parquet(f"{home}/in")
+        ST.park_available(i.spark.readStream.schema(deliveries.schema).parquet(f"{home}/in"), f"{home}/lake", f"{home}/checkpoint")
+    return TB.read_log(i.spark, "parked", f"{home}/lake").drop("load")
+
+
+@query(
+    "stream_routing", "messages",
+    """, typed AS (SELECT *, CASE WHEN json_valid(body) THEN body END AS doc FROM messages)
+    SELECT message_id, CASE WHEN doc->>'$.type' = 'DISPATCH_DUE_SYNCS' AND doc->>'$.kind' IN ('top', 'recent') THEN 'DISPATCH_DUE_SYNCS'
+       WHEN doc->>'$.type' IN ('SYNC_TOP_HASHTAG_MEDIA', 'SYNC_RECENT_HASHTAG_MEDIA') AND length(doc->>'$.hashtagId') = 36 THEN doc->>'$.type'
+       WHEN doc->>'$.type' = 'DOWNLOAD_MEDIA_ASSET' AND length(doc->>'$.mediaId') = 36 THEN 'DOWNLOAD_MEDIA_ASSET' ELSE 'dead_letter' END AS route FROM typed""",
+)
+def _(i):
+    # Two streams with checkpoints of their own write to one lake: neither replaces what the other routed.
+    home = shared_dir(i.spark, "routing")
+    messages = i.view("messages").select("conv_id", "message_id", "body")
+    for part in (0, 1):
+        messages.filter(F.col("conv_id") % 2 == part).drop("conv_id").write.parquet(f"{home}/in{part}")
+        stream = i.spark.readStream.schema("message_id string, body string").parquet(f"{home}/in{part}")
+        ST.route_stream(stream, f"{home}/lake", f"{home}/checkpoint{part}")
+    routed = [TB.read_log(i.spark, table, f"{home}/lake").select("message_id", "route") for table in ("jobs", "dead_letter")]
+    return routed[0].unionByName(routed[1])

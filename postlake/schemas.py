@@ -109,8 +109,13 @@ OBSERVATION = _table(
 LANDED_PAGE = _table(
     ("sync_run_id", _S), ("hashtag_id", _S), ("source", _S), ("attempt", _I),
     ("arrival_seq", _L), ("fetched_at", _TS), ("body", _S),
+    # Usage headers of the response, where the fetcher kept them.
+    ("app_usage", _S), ("business_usage", _S),
 )
 
+# How many pages each attempt of a run has landed.
+ATTEMPT_PAGES = T.ArrayType(T.StructType().add("attempt", _I).add("pages", _L))
+
 # Items stay JSON text here, so bronze keeps keys that the post schema does not name.
 PAGE_BODY = "data array<string>, paging struct<cursors: struct<before: string, after: string>, next: string, previous: string>"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postlake.functions.scalars import stable_id
+from postlake.functions.scalars import stable_id, usage_summary
 from postlake.schemas import DATA_POINTS, LANDED_PAGE, PAGE_BODY
 
 
@@ -15,31 +15,26 @@ def with_page_items(pages: DataFrame) -> DataFrame:
     return pages.withColumn("page", F.from_json("body", PAGE_BODY)).withColumn("items", F.col("page.data"))
 
 
-def land_pages(pages: DataFrame, landed: DataFrame | None = None) -> DataFrame:
+def land_pages(pages: DataFrame, positions: DataFrame | None = None) -> DataFrame:
     """One ``data_points`` row per item, positions counted from 0.
 
     ``page_number`` restarts with every attempt of a run, ``position_overall`` continues.
-    ``landed`` (sync_run_id, attempt, items: one row per page landed before) continues runs of
-    earlier batches. The windows range over the pages of one run, which the item cap bounds;
-    items are exploded after them.
+    ``positions`` (sync_run_id, items_landed, attempt_pages) continues runs of earlier loads. The windows range over the pages
+    of one run, which the item cap bounds; items are exploded after them.
     """
     parsed = with_page_items(pages).filter(F.col("items").isNotNull())
     arrived = Window.partitionBy("sync_run_id").orderBy("arrival_seq")
     attempts = Window.partitionBy("sync_run_id", "attempt").orderBy("arrival_seq")
     before = F.coalesce(F.sum(F.size("items")).over(arrived.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = parsed.withColumns({"_offset": before, "page_number": F.row_number().over(attempts)})
-    if landed is not None:
-        seen = landed.groupBy("sync_run_id").agg(F.sum("items").alias("_seen"))
-        pages_before = landed.groupBy("sync_run_id", "attempt").agg(F.count("*").alias("_pages"))
-        placed = (
-            placed.join(seen, "sync_run_id", "left")
-            .join(pages_before, ["sync_run_id", "attempt"], "left")
-            .withColumns(
-                {
-                    "_offset": F.col("_offset") + F.coalesce("_seen", F.lit(0)),
-                    "page_number": F.col("page_number") + F.coalesce("_pages", F.lit(0)),
-                }
-            )
+    if positions is not None:
+        landed = positions.select("sync_run_id", "items_landed", F.map_from_entries("attempt_pages").alias("_pages"))
+        earlier = F.coalesce(F.try_element_at("_pages", F.col("attempt")), F.lit(0))
+        placed = placed.join(landed, "sync_run_id", "left").withColumns(
+            {
+                "_offset": F.col("_offset") + F.coalesce("items_landed", F.lit(0)),
+                "page_number": F.col("page_number") + earlier,
+            }
         )
     items = placed.select("*", F.posexplode("items").alias("position_in_page", "payload"))
     position = F.col("_offset") + F.col("position_in_page")
@@ -57,15 +52,18 @@ def unreadable_pages(pages: DataFrame) -> DataFrame:
     """Pages whose body is no page, as they arrived, with the reason. With ``land_pages`` they make up all pages."""
     broken = with_page_items(pages).filter(F.col("items").isNull())
     reason = F.when(F.try_parse_json("body").isNull(), "not JSON").otherwise("no data array")
-    return broken.select(*LANDED_PAGE.names, reason.alias("reason"))
+    return broken.select(*pages.columns, reason.alias("reason"))
 
 
-def page_log(pages: DataFrame) -> DataFrame:
-    """One row per page that parses: the record of how far each run has landed."""
-    return with_page_items(pages).filter(F.col("items").isNotNull()).select(
-        "sync_run_id", "attempt", "arrival_seq", F.size("items").alias("items"),
+def page_heads(pages: DataFrame) -> DataFrame:
+    """What runs need to know of their pages, without the bodies: number of items (null where the body is no page),
+    the cursor of the next page and the usage reading."""
+    usage = usage_summary(F.col("app_usage"), F.col("business_usage"))
+    return with_page_items(pages).select(
+        "sync_run_id", "hashtag_id", "source", "attempt", "arrival_seq", "fetched_at", F.size("items").alias("items"),
         F.when(F.col("page.paging.next").isNotNull(), F.col("page.paging.cursors.after")).alias("next_cursor"),
-    )
+        F.col("page.paging.next").isNotNull().alias("goes_on"), F.to_json(usage).alias("usage"),
+    ).withColumn("items", F.when(F.col("items") >= 0, F.col("items")))
 
 
 def raw_run_scan(data_points: DataFrame, sync_run_id: str | Column) -> DataFrame:

@@ -1,67 +1,122 @@
-"""Structured Streaming ingestion: the batch transformations, one micro-batch at a time."""
+"""Structured Streaming ingestion: the batch transformations, one micro-batch at a time.
+
+What a micro-batch needs of the past is state in buckets: the runs that its pages belong to, the posts and files it touches.
+It reads and rewrites those buckets only, so its cost follows its own size and not the age of the lake.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlake.functions.scalars import stable_id
 from postlake.operators.assets import ensure_pending, merge_assets
-from postlake.operators.history import change_history, latest_history, observation_flags
+from postlake.operators.history import change_history, observation_flags
 from postlake.operators.posts import upsert_posts
+from postlake.operators.runs import add_counters, advance_runs
 from postlake.operators.validate import route_messages, split_valid, with_validation
-from postlake.schemas import MAX_DELIVERIES
+from postlake.schemas import DEFAULT_ITEM_CAP, LANDED_PAGE, MAX_DELIVERIES
 from postlake.session import staged
-from postlake.sources.bronze import land_pages, page_log, read_landing_stream, unreadable_pages
-from postlake.sources.tables import append_batch, first_batch, read_current, read_log
-
-
-def _land(pages: DataFrame, batch: int, root: str) -> None:
+from postlake.sources.bronze import land_pages, page_heads, read_landing_stream, unreadable_pages
+from postlake.sources.tables import (
+    RECORDED_COLUMNS,
+    append_log,
+    conform_to,
+    merge_state,
+    read_log,
+    read_state,
+    run_bucket,
+    run_day,
+    state_before,
+    state_rows,
+)
+
+# A run is looked for among those that began so many days before its pages came.
+RUN_DAYS = 7
+
+
+@dataclass
+class Landed:
+    """A load after its raw rows are written. ``runs``: sync_run_id, run_day and ``continues`` for the runs at hand; ``audit``:
+    their rows after these pages; ``since``: the first day on which they may have begun."""
+
+    load: str
+    runs: DataFrame
+    audit: DataFrame
+    since: str
+
+
+def _land(pages: DataFrame, load: str, root: str, item_cap: int) -> Landed | None:
+    """Raw rows of a micro-batch, placed where the runs were left."""
     spark = pages.sparkSession
-    landed = read_log(spark, "page_log", root, below=batch)
-    append_batch(land_pages(pages, landed), "data_points", root, batch)
-    append_batch(page_log(pages), "page_log", root, batch)
-    append_batch(unreadable_pages(pages), "page_quarantine", root, batch)
+    pages = conform_to(pages, LANDED_PAGE)
+    heads = staged(page_heads(pages), "heads")
+    first = heads.agg(F.min("fetched_at")).first()[0]
+    if first is None:
+        return None
+    since = (first - dt.timedelta(days=RUN_DAYS)).strftime("%Y-%m-%d")
+    known = state_before(spark, "sync_runs", root, heads.select(F.col("sync_run_id").alias("id")).distinct(), load, since)
+    audit = staged(advance_runs(heads, known, item_cap), "runs")
+    begun = known.select("id", F.lit(True).alias("continues"), F.col("items_landed").alias("_landed"), F.col("attempt_pages").alias("_pages"))
+    runs = audit.join(begun, "id", "left").select(
+        F.col("id").alias("sync_run_id"), run_day(F.col("started_at")).alias("run_day"), F.coalesce("continues", F.lit(False)).alias("continues"),
+        F.col("_landed").alias("items_landed"), F.col("_pages").alias("attempt_pages"),
+    )
+    runs = staged(runs, "runs-at-hand")
+    append_log(land_pages(pages, runs.filter("continues")), "data_points", root, load, runs)
+    append_log(unreadable_pages(pages), "page_quarantine", root, load, runs)
+    return Landed(load, runs, audit, since)
 
 
-def _curate(spark: SparkSession, batch: int, root: str) -> None:
-    """Posts, history, assets and run progress of one landed batch.
+def _curate(spark: SparkSession, landed: Landed, root: str) -> None:
+    """Posts, history, assets and run progress of one landed load.
 
-    Everything is read back from the landed rows, so a retry starts from storage, and only
-    rows of touched posts are written.
+    Everything is read back from the landed rows, so a retry starts from storage, and only buckets of touched posts are written.
     """
-    raw = read_log(spark, "data_points", root, below=batch + 1, above=batch - 1).drop("id", "ig_media_id")
+    load, runs = landed.load, landed.runs
+    raw = read_log(spark, "data_points", root, runs, load).drop("id", "ig_media_id", "run_day", "run_bucket", "load")
     # Checked once: both parts are filters over the stored rows.
     good, bad = split_valid(staged(with_validation(raw), "checked"))
-    append_batch(good, "observations", root, batch)
-    append_batch(bad, "item_quarantine", root, batch)
-    observations = read_log(spark, "observations", root, below=batch + 1, above=batch - 1)
-    touched = observations.select("ig_media_id").distinct()
-    files = touched.select(stable_id(F.col("ig_media_id")).alias("media_id"))
+    append_log(bad, "item_quarantine", root, load, runs)
+    observations = staged(good, "observations")
+    posts = _apply(spark, observations, runs.filter("continues"), load, root, runs)
 
-    posts = read_current(spark, "media_posts", root, below=batch, only=touched)
-    append_batch(upsert_posts(observations, posts), "media_posts", root, batch)
-
-    known = read_log(spark, "media_post_history", root, below=batch).join(touched, "ig_media_id", "left_semi")
-    runs = observations.select("sync_run_id").distinct()
-    pairs = known.select("ig_media_id", "sync_run_id").join(runs, "sync_run_id", "left_semi")
-    append_batch(change_history(observations, latest_history(known), pairs), "media_post_history", root, batch)
-
-    before = read_current(spark, "media_assets", root, below=batch, only=files)
+    files = observations.select(stable_id(F.col("ig_media_id")).alias("media_id")).distinct()
+    before = state_before(spark, "media_assets", root, files, load)
     pending = staged(ensure_pending(observations, before), "pending")
-    append_batch(merge_assets(before, pending), "media_assets", root, batch)
+    merge_state(merge_assets(before, pending), "media_assets", root, load)
     jobs = pending.filter("enqueue").select(F.lit("DOWNLOAD_MEDIA_ASSET").alias("type"), "media_id", F.col("fetched_from_url").alias("url"))
-    append_batch(jobs, "download_jobs", root, batch)
+    append_log(jobs, "download_jobs", root, load)
 
     # Progress last: counters never run ahead of the rows they count.
-    append_batch(_progress(spark, observations, posts, before, batch, root), "run_deltas", root, batch)
+    counters = _counters(spark, observations, posts, before, landed, root)
+    merge_state(add_counters(landed.audit, counters), "sync_runs", root, load, landed.since)
+
 
+def _apply(spark: SparkSession, observations: DataFrame, continuing: DataFrame, load: str, root: str, runs: DataFrame) -> DataFrame:
+    """Posts and history after the observations; returns the touched posts as they were before.
 
-def _progress(
-    spark: SparkSession, observations: DataFrame, posts: DataFrame, assets: DataFrame, batch: int, root: str
-) -> DataFrame:
+    ``continuing`` are the runs that may have recorded a post in an earlier load.
+    """
+    touched = observations.select("ig_media_id").distinct()
+    posts = state_before(spark, "media_posts", root, touched, load)
+    seed = posts.filter(F.col("recorded").isNotNull()).select("ig_media_id", "recorded.*")
+    pairs = read_log(spark, "media_post_history", root, continuing).filter(F.col("load") != load).select("ig_media_id", "sync_run_id")
+    append_log(change_history(observations, seed, pairs), "media_post_history", root, load, runs)
+
+    written = read_log(spark, "media_post_history", root, runs, load).withColumnRenamed("captured_at", "fetched_at")
+    newest = written.groupBy("ig_media_id").agg(F.max(F.struct(*RECORDED_COLUMNS)).alias("_newest"))
+    old = posts.select("ig_media_id", F.col("recorded").alias("_old"))
+    after = upsert_posts(observations, posts.drop("recorded")).join(newest, "ig_media_id", "left").join(old, "ig_media_id", "left")
+    merge_state(after.withColumn("recorded", F.greatest("_newest", "_old")), "media_posts", root, load)
+    return posts
+
+
+def _counters(spark: SparkSession, observations: DataFrame, posts: DataFrame, assets: DataFrame, landed: Landed, root: str) -> DataFrame:
     flags = observation_flags(observations, posts).withColumn("media_id", stable_id(F.col("ig_media_id")))
     status = assets.select("media_id", F.col("status").alias("_status"))
     new_status = F.when(F.col("first_media_url").isNull(), "skipped").otherwise("pending")
@@ -72,63 +127,88 @@ def _progress(
         F.count_if("content_changed").alias("items_updated"),
         F.count_if(waits & F.col("media_url").isNotNull()).alias("asset_jobs_enqueued"),
     )
-    pages = read_log(spark, "page_log", root, below=batch + 1, above=batch - 1)
-    pages = pages.groupBy("sync_run_id").agg(F.count("*").alias("pages_fetched"))
-    written = read_log(spark, "media_post_history", root, below=batch + 1, above=batch - 1)
-    written = written.groupBy("sync_run_id").agg(F.count("*").alias("metrics_recorded"))
-    unread = read_log(spark, "page_quarantine", root, below=batch + 1, above=batch - 1)
-    unread = unread.groupBy("sync_run_id").agg(F.count("*").alias("pages_unreadable"))
-    invalid = read_log(spark, "item_quarantine", root, below=batch + 1, above=batch - 1)
-    invalid = invalid.groupBy("sync_run_id").agg(F.count("*").alias("items_invalid"))
-    # A run may have nothing but unreadable pages.
-    out = pages.join(unread, "sync_run_id", "full_outer")
-    for part in (seen, written, invalid):
-        out = out.join(part, "sync_run_id", "left")
+    out = landed.runs.select("sync_run_id").join(seen, "sync_run_id", "left")
+    for table, name in (("media_post_history", "metrics_recorded"), ("item_quarantine", "items_invalid")):
+        rows = read_log(spark, table, root, landed.runs, landed.load)
+        out = out.join(rows.groupBy("sync_run_id").agg(F.count("*").alias(name)), "sync_run_id", "left")
     return out.fillna(0)
 
 
 def run_progress(spark: SparkSession, root: str) -> DataFrame:
-    """Counters per run, summed over the batches that fed it, and ``failure`` for ``finish_runs``: a run with an
-    unreadable page is not complete and cannot succeed."""
-    deltas = read_log(spark, "run_deltas", root)
-    names = [c for c in deltas.columns if c != "sync_run_id"]
-    summed = deltas.groupBy("sync_run_id").agg(*[F.sum(c).alias(c) for c in names])
+    """Counters per run and ``failure``: a run with an unreadable page is not complete and cannot succeed."""
     lost = F.format_string("%d unreadable page(s)", F.col("pages_unreadable"))
-    return summed.withColumn("failure", F.when(F.col("pages_unreadable") > 0, lost))
+    return read_state(spark, "sync_runs", root).select(
+        F.col("id").alias("sync_run_id"), "pages_fetched", "items_seen", "items_new", "items_updated", "metrics_recorded", "asset_jobs_enqueued",
+        "pages_unreadable", "items_invalid", F.when(F.col("pages_unreadable") > 0, lost).alias("failure"),
+    )
+
+
+def stored_run(spark: SparkSession, root: str, sync_run_id: str) -> DataFrame:
+    """Day and bucket of a stored run, by its audit row."""
+    rows = state_rows(spark, "sync_runs", root).filter(F.col("bucket") == run_bucket(F.lit(sync_run_id)))
+    return rows.filter(F.col("id") == sync_run_id).select(F.col("id").alias("sync_run_id"), "run_day", F.col("bucket").alias("run_bucket"))
+
+
+def stored_run_scan(spark: SparkSession, root: str, sync_run_id: str) -> DataFrame:
+    """Raw rows of one run in response order. The audit row tells the folder, so only that is read (dynamic pruning)."""
+    raw = read_log(spark, "data_points", root).drop("load")
+    return raw.join(stored_run(spark, root, sync_run_id), ["run_day", "run_bucket", "sync_run_id"]).drop("run_day", "run_bucket").orderBy("position_overall")
+
 
+def replay_stored(spark: SparkSession, root: str, sync_run_id: str, now: Column) -> None:
+    """Apply one stored run's raw rows again, as of ``now``, and store the result beside what streams write.
 
-def land_available(spark: SparkSession, landing: str, root: str, checkpoint: str, max_files: int | None = None) -> None:
-    """Land every page that arrived since the checkpoint, raw rows only, then stop."""
-    pages = read_landing_stream(spark, landing, max_files)
-    _run(pages, root, checkpoint, lambda rows, batch: _land(rows, batch, root))
+    A new load with an old run id: its values become the current ones even when newer runs exist, and a history row is added only for
+    posts that have none from this run. No asset and audit rows are touched. The same replay stored twice equals once.
+    """
+    at = spark.range(1).select(F.date_format(now, "yyyyMMdd'T'HHmmssSSSSSS")).first()[0]
+    load = f"replay-{sync_run_id}-{at}"
+    run = staged(stored_run(spark, root, sync_run_id), "replayed-run")
+    raw = read_log(spark, "data_points", root, run).drop("id", "ig_media_id", "run_day", "run_bucket", "load").withColumn("fetched_at", now)
+    good, _ = split_valid(with_validation(raw))
+    _apply(spark, staged(good, "replayed"), run, load, root, run)
+
+
+def land_available(
+    spark: SparkSession, landing: str, root: str, checkpoint: str, max_files: int | None = None, item_cap: int = DEFAULT_ITEM_CAP
+) -> None:
+    """Land every page that arrived since the checkpoint, raw rows and runs only, then stop."""
+
+    def step(pages: DataFrame, load: str) -> None:
+        landed = _land(pages, load, root, item_cap)
+        if landed is not None:
+            merge_state(landed.audit, "sync_runs", root, load, landed.since)
+
+    _run(read_landing_stream(spark, landing, max_files), checkpoint, step)
 
 
-def ingest_available(spark: SparkSession, landing: str, root: str, checkpoint: str, max_files: int | None = None) -> None:
+def ingest_available(
+    spark: SparkSession, landing: str, root: str, checkpoint: str, max_files: int | None = None, item_cap: int = DEFAULT_ITEM_CAP
+) -> None:
     """Process every page that arrived since the checkpoint, then stop.
 
     The checkpoint is the resume cursor: a batch is marked done after all its tables are
-    written. A crash in between repeats the batch, which overwrites its own folders.
+    written. A crash in between repeats the batch, which replaces its own rows.
     """
 
-    def step(pages: DataFrame, batch: int) -> None:
-        _land(pages, batch, root)
-        _curate(pages.sparkSession, batch, root)
+    def step(pages: DataFrame, load: str) -> None:
+        landed = _land(pages, load, root, item_cap)
+        if landed is not None:
+            _curate(pages.sparkSession, landed, root)
 
-    _run(read_landing_stream(spark, landing, max_files), root, checkpoint, step)
+    _run(read_landing_stream(spark, landing, max_files), checkpoint, step)
 
 
-def _run(rows: DataFrame, root: str, checkpoint: str, step: Callable[[DataFrame, int], None]) -> None:
-    """Run ``step`` on every micro-batch, numbered after what other streams left in the lake."""
-    first: dict[str, int] = {}
+def _run(rows: DataFrame, checkpoint: str, step: Callable[[DataFrame, str], None]) -> None:
+    """Run ``step`` on every micro-batch. A load is named by stream and batch: a new checkpoint is a new stream, whose loads
+    replace none of another's."""
 
-    def numbered(batch_rows: DataFrame, batch: int) -> None:
-        spark = batch_rows.sparkSession
-        if not first:
-            first["batch"] = first_batch(spark, root, spark.sparkContext.getLocalProperty("sql.streaming.queryId"))
-        step(batch_rows, first["batch"] + batch)
+    def named(batch_rows: DataFrame, batch: int) -> None:
+        stream = batch_rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        step(batch_rows, f"{stream}-{batch}")
 
     query = (
-        rows.writeStream.foreachBatch(numbered)
+        rows.writeStream.foreachBatch(named)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -136,27 +216,21 @@ def _run(rows: DataFrame, root: str, checkpoint: str, step: Callable[[DataFrame,
     query.awaitTermination()
 
 
-BUCKETS = 64
-
-
 def dedupe_available(messages: DataFrame, root: str, checkpoint: str) -> None:
     """Add every message of the stream that is not in the lake's ``messages`` yet, then stop.
 
     However late a delivery comes, it is kept when it is the first with its id: there is no watermark that would drop
-    it. Ids lie in BUCKETS folders by hash; a micro-batch reads the folders that its ids fall into. Of several
+    it. Ids lie in buckets by hash; a micro-batch reads the buckets that its ids fall into. Of several
     deliveries in a micro-batch the earliest stays.
     """
 
-    def step(rows: DataFrame, batch: int) -> None:
-        bucket = F.pmod(F.xxhash64("message_id"), F.lit(BUCKETS)).cast("int")
+    def step(rows: DataFrame, load: str) -> None:
         first = F.min_by(F.struct("hashtag_id", "delivered_at"), F.struct("delivered_at", "hashtag_id"))
-        fresh = rows.groupBy("message_id").agg(first.alias("first")).select("message_id", "first.*", bucket.alias("bucket"))
-        fresh = staged(fresh, "deliveries")
-        touched = [row[0] for row in fresh.select("bucket").distinct().collect()]  # BUCKETS numbers at most
-        known = read_log(rows.sparkSession, "messages", root, below=batch).filter(F.col("bucket").isin(touched))
-        append_batch(fresh.join(known.select("message_id"), "message_id", "left_anti"), "messages", root, batch)
+        fresh = staged(rows.groupBy("message_id").agg(first.alias("first")).select("message_id", "first.*"), "deliveries")
+        known = state_before(rows.sparkSession, "messages", root, fresh, load)
+        merge_state(fresh.join(known.select("message_id"), "message_id", "left_anti"), "messages", root, load)
 
-    _run(messages, root, checkpoint, step)
+    _run(messages, checkpoint, step)
 
 
 def dead_letter(deliveries: DataFrame, max_deliveries: int = MAX_DELIVERIES) -> DataFrame:
@@ -169,19 +243,36 @@ def dead_letter(deliveries: DataFrame, max_deliveries: int = MAX_DELIVERIES) ->
     )
 
 
+def park_available(deliveries: DataFrame, root: str, checkpoint: str, max_deliveries: int = MAX_DELIVERIES) -> None:
+    """Park every message of the stream once, on the delivery that passes the limit, then stop.
+
+    ``message_counts`` holds the deliveries so far of every message, ``parked`` a row per parked message. Of a message that a micro-batch
+    brings very often, only the first deliveries up to the limit are ordered.
+    """
+
+    def step(rows: DataFrame, load: str) -> None:
+        spark = rows.sparkSession
+        rows = rows.filter(F.col("message_id").isNotNull())
+        counts = staged(rows.groupBy("message_id").agg(F.count("*").alias("n")), "counts")
+        before = state_before(spark, "message_counts", root, counts, load)
+        so_far = F.coalesce("deliveries", F.lit(0))
+        by_time = Window.partitionBy("message_id").orderBy("delivered_at")
+        early = rows.select("message_id", "delivered_at", F.row_number().over(by_time).alias("k")).filter(F.col("k") <= max_deliveries + 1)
+        passing = early.join(before, "message_id", "left").filter(so_far + F.col("k") == max_deliveries + 1)
+        append_log(passing.select("message_id", F.lit(max_deliveries + 1).alias("deliveries"), F.col("delivered_at").alias("parked_at")), "parked", root, load)
+        total = counts.join(before, "message_id", "left").select("message_id", (so_far + F.col("n")).alias("deliveries"))
+        merge_state(total, "message_counts", root, load)
+
+    _run(deliveries, checkpoint, step)
+
+
 def route_stream(messages: DataFrame, root: str, checkpoint: str) -> None:
     """Route messages as they arrive: jobs to ``jobs``, unreadable ones to ``dead_letter``."""
 
-    def step(batch_rows: DataFrame, batch: int) -> None:
-        routed = route_messages(batch_rows)
+    def step(rows: DataFrame, load: str) -> None:
+        routed = route_messages(rows)
         parked = F.col("route") == "dead_letter"
-        routed.filter(~parked).write.mode("overwrite").parquet(f"{root}/jobs/batch={batch}")
-        routed.filter(parked).write.mode("overwrite").parquet(f"{root}/dead_letter/batch={batch}")
+        append_log(routed.filter(~parked), "jobs", root, load)
+        append_log(routed.filter(parked), "dead_letter", root, load)
 
-    query = (
-        messages.writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _run(messages, checkpoint, step)

@@ -57,7 +57,7 @@ def test_ingest_resumes_and_repeats(spark, tmp_path):
 
     def state():
         return (
-            texts(tables.read_current(spark, "media_posts", lake), POST),
+            texts(tables.read_state(spark, "media_posts", lake), POST),
             texts(tables.read_log(spark, "media_post_history", lake), HISTORY),
             {r.sync_run_id: r for r in ingest.run_progress(spark, lake).collect()},
         )
@@ -73,11 +73,12 @@ def test_ingest_resumes_and_repeats(spark, tmp_path):
     raw = tables.read_log(spark, "data_points", lake)
     assert raw.groupBy("sync_run_id").agg((F.max("position_overall") + 1).alias("n"), F.count("*").alias("c")).filter("n <> c").count() == 0
 
-    # A crash before the commit runs the last batch again.
-    ingest._curate(spark, 1, lake)
-    assert state()[:2] == (posts, history)
-    tables.compact(spark, "media_posts", lake)
-    assert state()[0] == posts
+    # A crash before the commit runs the last batch again, from the pages on.
+    load = max(r.load for r in raw.select("load").distinct().collect())
+    assert load.endswith("-1")
+    landed_again = ingest._land(bronze.read_landing(spark, f"{tmp_path}/in/b.json"), load, lake, 500)
+    ingest._curate(spark, landed_again, lake)
+    assert state() == (posts, history, progress)
 
 
 def test_resumed_attempt_restarts_page_numbers(spark):
@@ -111,7 +112,10 @@ def test_messages_are_routed_once(spark, tmp_path):
     stream = spark.readStream.schema("message_id string, body string").json(f"{tmp_path}/in")
     ingest.route_stream(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
     ingest.route_stream(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
-    assert [r.message_id for r in spark.read.parquet(f"{tmp_path}/out/jobs").collect()] == ["1"]
+    # A stream of its own replaces nothing that another one routed.
+    put(tmp_path / "in2", "m.json", [{"message_id": "3", "body": '{"type":"DISPATCH_DUE_SYNCS","kind":"recent"}'}])
+    ingest.route_stream(spark.readStream.schema("message_id string, body string").json(f"{tmp_path}/in2"), f"{tmp_path}/out", f"{tmp_path}/cp2")
+    assert sorted(r.message_id for r in spark.read.parquet(f"{tmp_path}/out/jobs").collect()) == ["1", "3"]
     assert [r.message_id for r in spark.read.parquet(f"{tmp_path}/out/dead_letter").collect()] == ["2"]
 
 
@@ -137,7 +141,7 @@ def test_nothing_is_lost_at_ingestion(spark, tmp_path):
     runs = {r.sync_run_id: r for r in ingest.run_progress(spark, lake).collect()}
     assert (runs["r1"].pages_fetched, runs["r1"].pages_unreadable, runs["r1"].items_seen, runs["r1"].items_invalid) == (1, 1, 1, 3)
     assert runs["r1"].failure and runs["r2"].failure and runs["r3"].failure is None
-    post = tables.read_current(spark, "media_posts", lake).first()
+    post = tables.read_state(spark, "media_posts", lake).first()
     assert post.like_count == 3_000_000_000 and post.taken_at.microsecond == 678_000
 
 
@@ -158,7 +162,7 @@ def test_late_deliveries_are_kept(spark, tmp_path):
     ingest.dedupe_available(stream, f"{tmp_path}/lake", f"{tmp_path}/cp")
     put(tmp_path / "in", "b.json", [{"message_id": m, "hashtag_id": "h", "delivered_at": "2020-01-01T00:00:00Z"} for m in ("y", "z")])
     ingest.dedupe_available(stream, f"{tmp_path}/lake", f"{tmp_path}/cp")
-    rows = sorted((r.message_id, r.delivered_at.day) for r in tables.read_log(spark, "messages", f"{tmp_path}/lake").collect())
+    rows = sorted((r.message_id, r.delivered_at.day) for r in tables.read_state(spark, "messages", f"{tmp_path}/lake").collect())
     assert [m for m, _ in rows] == ["x", "y", "z"] and rows[0][1] == 7
 
 
@@ -199,3 +203,113 @@ def test_only_runs_at_hand_are_read_from_the_state():
     row |= {"sync_run_id": ["r1", "r1", "r2", "r2"], "fetched_at": pd.to_datetime(["2026-01-01"] * 4), "position_overall": [0, 1, 0, 1]}
     out = list(state.handleInputRows(("p",), iter([pd.DataFrame(row)]), None))
     assert asked == [("r1",), ("r2",)] and out[0]["sync_run_id"].tolist() == ["r2"]
+
+
+def files_of(folder):
+    return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def posts_frame(spark, keys, likes):
+    return spark.createDataFrame([(k, k, likes) for k in keys], "id string, ig_media_id string, like_count long")
+
+
+def test_a_load_reads_and_writes_its_buckets_only(spark, tmp_path):
+    lake = f"{tmp_path}/lake"
+    tables.merge_state(posts_frame(spark, [f"p{n}" for n in range(400)], 1), "media_posts", lake, "l0")
+    one = posts_frame(spark, ["p7"], 2)
+    bucket = one.select(tables._bucket("media_posts", F.col("ig_media_id"))).first()[0]
+    here, sizes, before = f"{lake}/media_posts/bucket={bucket}/", [], files_of(f"{lake}/media_posts")
+    for n in range(10):
+        tables.merge_state(posts_frame(spark, ["p7"], 2 + n), "media_posts", lake, f"l{n + 1}")
+        after = files_of(f"{lake}/media_posts")
+        sizes.append(sum(os.path.getsize(f) for f in after if f.startswith(here)))
+        # Files of other buckets keep their names and times.
+        assert {f: t for f, t in after.items() if not f.startswith(here)} == {f: t for f, t in before.items() if not f.startswith(here)}
+    # What a load reads does not grow with the loads before it.
+    assert max(sizes) - min(sizes) < 600
+    plan = tables._folders_of(tables.state_rows(spark, "media_posts", lake), "media_posts", one, None)._jdf.queryExecution().toString()
+    assert f"PartitionFilters: [isnotnull(bucket#" in plan and f"= {bucket})" in plan
+    rows = {r.ig_media_id: r.like_count for r in tables.read_state(spark, "media_posts", lake).collect()}
+    assert len(rows) == 400 and rows.pop("p7") == 11 and set(rows.values()) == {1}
+
+
+def test_a_repeated_load_starts_from_the_rows_before_it(spark, tmp_path):
+    lake = f"{tmp_path}/lake"
+    tables.merge_state(posts_frame(spark, ["a", "b"], 1), "media_posts", lake, "l0")
+    for _ in range(3):
+        keys = posts_frame(spark, ["a", "c"], 0)
+        before = {r.ig_media_id: r.like_count for r in tables.state_before(spark, "media_posts", lake, keys, "l1").collect()}
+        assert before == {"a": 1}
+        tables.merge_state(posts_frame(spark, ["a", "c"], 2), "media_posts", lake, "l1")
+    assert {r.ig_media_id: r.like_count for r in tables.read_state(spark, "media_posts", lake).collect()} == {"a": 2, "b": 1, "c": 2}
+
+
+def page(run, seq, day, n=1, goes_on=True, body=None, **more):
+    data = [{"id": f"{run}-{seq}-{k}", "media_type": "IMAGE", "permalink": "https://e.com/p", "timestamp": "2026-01-02T03:04:05+0000"} for k in range(n)]
+    paging = {"cursors": {"after": f"c{seq}"}, **({"next": "https://e.com/n"} if goes_on else {})}
+    return {"sync_run_id": run, "hashtag_id": "h", "source": "top", "attempt": 1, "arrival_seq": seq, "fetched_at": f"2026-01-{day:02d}T00:00:0{seq % 10}.000000Z",
+            "body": body or json.dumps({"data": data, "paging": paging}), **more}
+
+
+def test_runs_are_started_advanced_and_finished(spark, tmp_path):
+    lake, arrivals = f"{tmp_path}/lake", [
+        [page("a", 1, 2, 3, app_usage='{"call_count":12}'), page("b", 1, 2, body="oops"), page("c", 1, 2, 4)],
+        [page("a", 2, 3, 2, app_usage='{"call_count":40}'), page("b", 2, 3, goes_on=False), page("d", 1, 3, goes_on=False, body='{"data":[')],
+        [page("a", 3, 4, 1, goes_on=False, attempt=2), page("c", 2, 4, 5)],
+    ]
+    for n, pages in enumerate(arrivals):
+        put(tmp_path / "in", f"{n}.json", [{**p, **({"attempt": 2} if p["sync_run_id"] == "a" and n == 2 else {})} for p in pages])
+        ingest.ingest_available(spark, f"{tmp_path}/in", lake, f"{tmp_path}/cp", item_cap=9)
+    runs = {r.id: r for r in tables.read_state(spark, "sync_runs", lake).collect()}
+    a, b, c, d = (runs[k] for k in "abcd")
+    assert (a.status, a.pages_fetched, a.items_seen, a.items_new, a.attempts, a.last_cursor, a.hit_item_cap) == ("succeeded", 3, 6, 6, 2, "c2", 0)
+    assert json.loads(a.rate_limit_snapshot)["worst_pct"] == 40 and a.duration_ms == 2 * 86_400_000 + 2_000
+    assert (b.status, b.error, b.pages_unreadable) == ("partial", "1 unreadable page(s)", 1)
+    # The source stops at the cap, whatever page comes next.
+    assert (c.status, c.hit_item_cap, c.items_seen, c.last_cursor) == ("succeeded", 1, 9, "c2")
+    assert (d.status, d.pages_fetched, d.finished_at, d.pages_unreadable) == ("running", 0, None, 1)
+    raw = ingest.stored_run_scan(spark, lake, "a").select("page_number", "position_overall").collect()
+    assert [tuple(r) for r in raw] == [(1, 0), (1, 1), (1, 2), (2, 3), (2, 4), (1, 5)]
+    plan = ingest.stored_run_scan(spark, lake, "a")._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan
+
+
+def test_runs_of_long_ago_are_forgotten(spark, tmp_path):
+    lake = f"{tmp_path}/lake"
+    for n, pages in enumerate([[page("a", 1, 1, 3), page("b", 1, 1, 3)], [page("a", 2, 1 + ingest.RUN_DAYS, 1)], [page("b", 2, 3 + ingest.RUN_DAYS, 1)]]):
+        put(tmp_path / "in", f"{n}.json", pages)
+        ingest.land_available(spark, f"{tmp_path}/in", lake, f"{tmp_path}/cp")
+    raw = {(r.sync_run_id, r.fetched_at.day): r.position_overall for r in tables.read_log(spark, "data_points", lake).orderBy("position_overall").collect()}
+    assert raw[("a", 1 + ingest.RUN_DAYS)] == 3 and raw[("b", 3 + ingest.RUN_DAYS)] == 0
+
+
+def test_a_stored_replay_repeats_without_effect(spark, tmp_path):
+    lake = f"{tmp_path}/lake"
+    first = {"id": "x", "media_type": "IMAGE", "permalink": "https://e.com/x", "timestamp": "2026-01-02T03:04:05+0000"}
+    bodies = [("r1", 2, {**first, "like_count": 1}), ("r2", 3, {**first, "like_count": 2}), ("r3", 4, {**first, "like_count": 2})]
+    put(tmp_path / "in", "a.json", [page(run, 1, day, body=json.dumps({"data": [doc]})) for run, day, doc in bodies])
+    ingest.ingest_available(spark, f"{tmp_path}/in", lake, f"{tmp_path}/cp")
+
+    def state():
+        history = tables.read_log(spark, "media_post_history", lake).orderBy("captured_at").collect()
+        return [(r.sync_run_id, r.like_count, r.rank) for r in history], tables.read_state(spark, "media_posts", lake).first().like_count
+
+    assert state() == ([("r1", 1, 1), ("r2", 2, 1)], 2)
+    # Run r1 has recorded the post, so its value becomes the current one without a history row.
+    for _ in range(2):
+        ingest.replay_stored(spark, lake, "r1", F.lit("2026-02-01 00:00:00").cast("timestamp"))
+        assert state() == ([("r1", 1, 1), ("r2", 2, 1)], 1)
+    # Run r3 changed nothing in its time and has no row, so nothing changes now either.
+    for _ in range(2):
+        ingest.replay_stored(spark, lake, "r3", F.lit("2026-02-02 00:00:00").cast("timestamp"))
+        assert state() == ([("r1", 1, 1), ("r2", 2, 1)], 2)
+
+
+def test_messages_are_parked_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lake, stream = f"{tmp_path}/lake", spark.readStream.schema("message_id string, delivered_at timestamp").json(f"{tmp_path}/in")
+    for n, times in enumerate([{"a": [1, 2], "b": [1, 2, 3, 4, 5]}, {"a": [6, 7, 8], "b": [9], "c": [9]}, {"a": [10]}]):
+        put(tmp_path / "in", f"{n}.json", [{"message_id": m, "delivered_at": f"2026-05-01T00:00:{t:02d}Z"} for m, at in times.items() for t in at])
+        ingest.park_available(stream, lake, f"{tmp_path}/cp")
+    parked = sorted((r.message_id, r.deliveries, r.parked_at.second) for r in tables.read_log(spark, "parked", lake).collect())
+    assert parked == [("a", 4, 7), ("b", 4, 4)]
