@@ -11,8 +11,8 @@ the last recorded state S. If S differs from the segment's first observation x,
 recorded and everything after it is determined; if S equals x it is skipped, and everything
 after it is determined as well. A segment therefore has exactly two possible outcomes, which
 are folded without knowing S. One small row per (post, segment) then decides which outcome
-holds, and a hot post is folded by as many tasks as it has segments. The fold sees keys and digests
-only; the recorded rows are fetched afterwards.
+holds, and a hot post is folded by as many tasks as it has segments. The fold sees keys and a digest
+per field only, and tells which fields changed; the recorded rows are fetched afterwards, once.
 """
 
 from __future__ import annotations
@@ -51,34 +51,51 @@ def changed_names(before: Column) -> Column:
     return F.filter(F.array(*flags), lambda name: name.isNotNull())
 
 
+def field_digests() -> dict[str, Column]:
+    """One 64-bit digest per tracked field, null being a value."""
+    return {f"_d{i}": F.xxhash64(c, F.col(c).isNull()) for i, c in enumerate(TRACKED_COLUMNS)}
+
+
+_DIGESTS = [f"_d{i}" for i in range(len(TRACKED_COLUMNS))]
+_ALL = (1 << len(_DIGESTS)) - 1
+
+
+def _mask(state: tuple[int, ...], before: tuple[int, ...]) -> int:
+    return sum(1 << i for i, (a, b) in enumerate(zip(state, before)) if a != b)
+
+
 def _fold_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Flag the rows each outcome records. Rows arrive sorted by (post, segment, arrival), so
-    a segment is never held in memory, only its last state and its recorded runs."""
+    """The rows that either outcome records, with the fields that changed as bits (0: not recorded). Rows arrive sorted by
+    (post, segment, arrival), so a segment is never held in memory, only its last state and its recorded runs.
+
+    What changed in the first row that a new start records depends on the segment before; it is filled in later.
+    """
     here_post = here_segment = fresh_state = kept_state = None
     fresh_runs: set[str] = set()
     kept_runs: set[str] = set()
     for batch in batches:
-        columns = [batch.column(name).to_pylist() for name in ("ig_media_id", "_seg", "sync_run_id", "_state")]
+        columns = [batch.column(name).to_pylist() for name in ("ig_media_id", "_seg", "sync_run_id")]
+        states = zip(*[batch.column(name).to_pylist() for name in _DIGESTS])
         if_new, if_same = [], []
-        for post, segment, run, state in zip(*columns):
+        for post, segment, run, state in zip(*columns, states):
             if segment != here_segment or post != here_post:
                 here_post, here_segment = post, segment
                 fresh_state, kept_state = None, state
                 fresh_runs, kept_runs = set(), set()
-            new = state != fresh_state and run not in fresh_runs
-            if new:
+            new = same = 0
+            if state != fresh_state and run not in fresh_runs:
+                new = _ALL if fresh_state is None else _mask(state, fresh_state)
                 fresh_state = state
                 fresh_runs.add(run)
-            same = state != kept_state and run not in kept_runs
-            if same:
+            if state != kept_state and run not in kept_runs:
+                same = _mask(state, kept_state)
                 kept_state = state
                 kept_runs.add(run)
             if_new.append(new)
             if_same.append(same)
-        flagged = batch.append_column("_if_new", pa.array(if_new, pa.bool_())).append_column(
-            "_if_same", pa.array(if_same, pa.bool_())
-        )
-        yield flagged.filter(pa.compute.or_(flagged["_if_new"], flagged["_if_same"]))
+        new, same = pa.array(if_new, pa.int32()), pa.array(if_same, pa.int32())
+        flagged = batch.append_column("_if_new", new).append_column("_if_same", same)
+        yield flagged.filter(pa.compute.greater(pa.compute.add(new, same), 0))
 
 
 def record_changes(
@@ -99,53 +116,52 @@ def record_changes(
             recorded_pairs.select("ig_media_id", "sync_run_id"), ["ig_media_id", "sync_run_id"], "left_anti"
         )
     observations = ranked(observations)
-    rows = closed_segments(observations, "ig_media_id", "sync_run_id", "fetched_at", "_seg", width)
-    # Keys, order and digest are all that the fold needs; texts stay where they are.
-    rows = rows.select("ig_media_id", *ARRIVAL, F.unhex(state_digest()).alias("_state"), F.unix_micros("_seg").alias("_seg"))
+    # Keys, order and digests are all that segments and fold need; texts stay where they are.
+    narrow = staged(observations.select("ig_media_id", *ARRIVAL, *[d.alias(name) for name, d in field_digests().items()]), "narrow")
+    rows = closed_segments(narrow, "ig_media_id", "sync_run_id", "fetched_at", "_seg", width).withColumn("_seg", F.unix_micros("_seg"))
     flagged = (
         rows.repartition("ig_media_id", "_seg")
         .sortWithinPartitions("ig_media_id", "_seg", *ARRIVAL)
         .mapInArrow(
             _fold_segments,
-            T.StructType(rows.schema.fields)
-            .add("_if_new", T.BooleanType())
-            .add("_if_same", T.BooleanType()),
+            T.StructType(list(rows.schema.fields))
+            .add("_if_new", T.IntegerType())
+            .add("_if_same", T.IntegerType()),
         )
     )
     # Two branches read the fold: it runs once.
     candidates = staged(flagged, "fold")
 
     # One row per (post, segment): its first state, and where each outcome leaves the post.
-    arrival = F.struct(*ARRIVAL)
+    arrival, state = F.struct(*ARRIVAL), F.struct(*_DIGESTS)
     segments = candidates.groupBy("ig_media_id", "_seg").agg(
-        F.min_by("_state", arrival).alias("first"),
-        F.max_by("_state", F.when(F.col("_if_new"), arrival)).alias("end_new"),
-        F.max_by("_state", F.when(F.col("_if_same"), arrival)).alias("end_same"),
+        F.min_by(state, arrival).alias("first"),
+        F.min(F.when(F.col("_if_new") > 0, arrival)).alias("opens"),
+        F.max_by(state, F.when(F.col("_if_new") > 0, arrival)).alias("end_new"),
+        F.max_by(state, F.when(F.col("_if_same") > 0, arrival)).alias("end_same"),
     )
     segments = segments.withColumn("end_same", F.coalesce("end_same", "first"))
     if seed is not None:
-        before = seed.select("ig_media_id", F.unhex(state_digest()).alias("seed"))
-        segments = segments.join(before, "ig_media_id", "left")
+        stored = F.struct(*[d.alias(name) for name, d in field_digests().items()])
+        segments = segments.join(seed.select("ig_media_id", stored.alias("seed")), "ig_media_id", "left")
     else:
-        segments = segments.withColumn("seed", F.lit(None).cast("binary"))
+        segments = segments.withColumn("seed", F.lit(None).cast(T.StructType([T.StructField(d, T.LongType()) for d in _DIGESTS])))
     segments = _choose(segments)
 
     # A row counts when the outcome it belongs to is the one that holds.
-    holds = (F.col("starts_same") & F.col("_if_same")) | (~F.col("starts_same") & F.col("_if_new"))
-    chosen = candidates.join(segments, ["ig_media_id", "_seg"]).filter(holds).select("ig_media_id", *ARRIVAL)
-    # A row that was delivered twice matches once.
-    recorded = observations.join(chosen, ["ig_media_id", *ARRIVAL], "left_semi").dropDuplicates(["ig_media_id", *ARRIVAL])
-    recorded = carry(recorded, ["ig_media_id"], ARRIVAL, previous=TRACKED_COLUMNS, width=width)
-    before = F.col("prev")
-    if seed is not None:
-        known = seed.select("ig_media_id", F.struct(*TRACKED_COLUMNS).alias("_seed"))
-        recorded = recorded.join(known, "ig_media_id", "left")
-        before = F.coalesce(before, F.col("_seed"))
-    return recorded.withColumn("changed_fields", changed_names(before)).select(*observations.columns, "changed_fields")
+    opening = arrival == F.col("opens")
+    changed = F.when(F.col("starts_same"), F.col("_if_same")).when(opening, F.col("opening_mask")).otherwise(F.col("_if_new"))
+    held = F.when(F.col("starts_same"), F.col("_if_same")).otherwise(F.col("_if_new")) > 0
+    chosen = candidates.join(segments, ["ig_media_id", "_seg"]).filter(held).select("ig_media_id", *ARRIVAL, changed.alias("_changed"))
+    # A row that was delivered twice counts once.
+    recorded = observations.join(chosen, ["ig_media_id", *ARRIVAL]).dropDuplicates(["ig_media_id", *ARRIVAL])
+    names = [F.when(F.col("_changed").bitwiseAND(1 << i) > 0, F.lit(name)) for i, (_, name) in enumerate(TRACKED_FIELDS)]
+    fields = F.filter(F.array(*names), lambda name: name.isNotNull())
+    return recorded.withColumn("changed_fields", fields).select(*observations.columns, "changed_fields")
 
 
 def _choose(segments: DataFrame) -> DataFrame:
-    """Decide per segment whether it starts in its own first state.
+    """Decide per segment whether it starts in its own first state, and what its first row changes if it does not.
 
     ``starts_same(k)`` is a function of ``starts_same(k-1)`` only: constant, identity or
     negation. Composing those along the post needs the last constant before k and the parity
@@ -171,8 +187,13 @@ def _choose(segments: DataFrame) -> DataFrame:
     out = out.withColumn("_fixed", F.last(fixed, ignorenulls=True).over(along))
     odd = (F.col("_flips") - F.col("_fixed.flips")) % 2 == 1
     out = out.withColumn("starts_same", F.col("_fixed.value") != odd)
-
-    return out.select("ig_media_id", "_seg", "starts_same")
+    left = F.lag(F.when(F.col("starts_same"), F.col("end_same")).otherwise(F.col("end_new"))).over(along)
+    out = out.withColumn("_before", F.coalesce(left, F.col("seed")))
+    bits = [F.when(F.col(f"_before.{d}") == x[d], 0).otherwise(1 << i) for i, d in enumerate(_DIGESTS)]
+    mask = bits[0]
+    for bit in bits[1:]:
+        mask = mask + bit
+    return out.select("ig_media_id", "_seg", "opens", "starts_same", mask.alias("opening_mask"))
 
 
 def change_history(
