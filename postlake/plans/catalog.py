@@ -1299,7 +1299,7 @@ def _(i):
 def _turning_pages(i: Inputs) -> DataFrame:
     block = F.col("arrival_seq").cast("string")
     full = F.col("n_items") == 6
-    turned = F.concat(F.expr("left(body, length(body) - 2)"), F.lit('},"next":"https://graph.example.com/page?after=c'), block, F.lit('"}}'))
+    turned = F.concat(F.expr("left(body, length(body) - 2)"), F.lit(',"next":"https://graph.example.com/page?after=c'), block, F.lit('"}}'))
     usage = F.concat(F.lit('{"call_count":'), (F.col("arrival_seq") * 7 % 100).cast("string"), F.lit("}"))
     return i.view("landed").withColumns({"body": F.when(full, turned).otherwise(F.col("body")), "app_usage": F.when(F.col("arrival_seq") % 2 == 0, usage)})
 
@@ -1314,7 +1314,7 @@ RUNS = """, pages AS (SELECT sync_run_id, arrival_seq, hashtag_id, source, attem
   SELECT e.sync_run_id AS id, CASE e.source WHEN 'top' THEN 'SYNC_TOP_HASHTAG_MEDIA' ELSE 'SYNC_RECENT_HASHTAG_MEDIA' END AS type,
     CASE WHEN NOT over THEN 'running' WHEN unread = 0 THEN 'succeeded' WHEN landed > 0 THEN 'partial' ELSE 'failed' END AS status,
     CAST(attempts AS BIGINT) AS attempts, CAST(pages AS BIGINT) AS pages_fetched, coalesce(c.items, 0) AS items_seen, coalesce(c.new, 0) AS items_new, coalesce(c.changed, 0) AS items_updated,
-    @us{started} AS started_at, CASE WHEN over THEN @us{ended} END AS finished_at, CASE WHEN over THEN (epoch_us(ended) - epoch_us(started)) // 1000 END AS duration_ms,
+    @us{started} AS started_at, CASE WHEN over THEN @us{ended} END AS finished_at, CASE WHEN over THEN CAST(round((epoch_us(ended) - epoch_us(started)) / 1000.0) AS BIGINT) END AS duration_ms,
     cursor AS last_cursor, usage AS worst_pct, CASE WHEN over AND unread > 0 THEN unread || ' unreadable page(s)' END AS error
   FROM ends AS e LEFT JOIN counted AS c ON c.sync_run_id = e.sync_run_id"""
 
