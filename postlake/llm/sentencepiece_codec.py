@@ -21,7 +21,7 @@ SPACE = "▁"
 # Fixed value: how much less than the worst piece an uncovered character scores.
 UNKNOWN_PENALTY = 10.0
 # Encoded chunks that a task remembers.
-REMEMBERED = 1 << 16
+REMEMBERED = 1 << 18
 MARKS = ".,;:!?"
 
 
@@ -49,7 +49,8 @@ def read_vocabulary(path: str) -> Vocabulary:
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary) -> None:
+    def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         self.bytes_, self.unknown = vocabulary.bytes_, vocabulary.unknown
         self.automaton = ahocorasick.Automaton()
         for k, text, score in vocabulary.pieces:
@@ -116,7 +117,7 @@ class Encoder:
         return b"".join(out)
 
     def _learn(self, chunk: str) -> bytes:
-        if len(self.known) >= REMEMBERED:
+        if len(self.known) >= self.remembered:
             self.known.clear()
         if chunk[-1] in self.marks and chunk[-2:-1].isalpha():
             word, mark = chunk[:-1], chunk[-1]
@@ -149,8 +150,8 @@ class Decoder:
         return [spelled[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(places[:-1], places[1:])]
 
 
-def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(Vocabulary(*vocabulary.value))
+def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast, remembered: int = REMEMBERED) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(Vocabulary(*vocabulary.value), remembered)
     for batch in in_parts(batches, 100):
         texts = batch["caption"].to_pylist()
         ids = [encoder.encode(t) if t is not None else b"" for t in texts]
@@ -196,10 +197,11 @@ def decode_captions(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return rows.mapInArrow(lambda b: _decode(b, shared), f"id {kind}, n_pieces long, pieces array<int>, caption string")
 
 
-def round_trip(posts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def round_trip(posts: DataFrame, vocabulary: Vocabulary, remembered: int = REMEMBERED) -> DataFrame:
     """``encode_captions`` and ``decode_captions`` in one pass: ``id``, ``n_pieces``, ``pieces`` and the ``caption`` that the pieces
-    spell. The pieces are decoded in the worker that made them, so a task needs one worker and they move once."""
+    spell. The pieces are decoded in the worker that made them, so a task needs one worker and they move once.
+    ``remembered`` chunks are looked up instead of encoded again: fewer take less memory and more time."""
     kind = posts.schema["id"].dataType.simpleString()
     shared = SparkSession.active().sparkContext.broadcast(tuple(vocabulary))
     rows = posts.select("id", "caption")
-    return rows.mapInArrow(lambda b: _decode(_encode(b, shared), shared), f"id {kind}, n_pieces long, pieces array<int>, caption string")
+    return rows.mapInArrow(lambda b: _decode(_encode(b, shared, remembered), shared), f"id {kind}, n_pieces long, pieces array<int>, caption string")
