@@ -58,7 +58,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every text, with the text that they decode to."""
     vocabulary = sentencepiece_codec.read_vocabulary(TOKENIZER)
-    decoded = sentencepiece_codec.round_trip(posts_of(docs), vocabulary)
+    # Workers that earlier stages have used hold memory of theirs, so this stage remembers less.
+    decoded = sentencepiece_codec.round_trip(posts_of(docs), vocabulary, remembered=1 << 16)
     return decoded.select(F.col("id").alias("doc_id"), "n_pieces", "pieces", F.col("caption").alias("text"))
 
 
