@@ -6,8 +6,9 @@ the last one pieces. Stages are written as Parquet and read again, so each start
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlake.llm import mixing, sentencepiece_codec, simhash, substrings, toxicity
 from postlake.llm.queries import TOKENIZER, labels_of, posts_of
@@ -45,13 +46,15 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words of each document that the mix takes, in reading order, a time through the source after the other."""
     # Mixed with the rest of its row for an id, so rows that share an id, or have none, keep their own columns.
-    rest = ["doc_id", *(c for c in docs.columns if c not in ("doc_id", "text", "source", "n_chars"))]
-    posts = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("id"), F.col("text").alias("caption"), F.col("source").alias("hashtag_id"))
+    rest = [f for f in docs.schema.fields if f.name not in ("text", "source", "n_chars")]
+    own = F.struct(*[entries_for_maps(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in rest])
+    posts = docs.select(own.alias("id"), F.col("text").alias("caption"), F.col("source").alias("hashtag_id"))
     mixed = mixing.mix_posts(posts).filter("taken > 0")
     parts = F.sort_array(F.collect_list(F.struct("times", "start", "text")))
     text = F.array_join(F.transform(parts, lambda p: p["text"]), " ")
     texts = mixed.groupBy("id", "hashtag_id", "offset").agg(text.alias("mixed_text"))
-    rows = texts.select(F.col("id").withField("source", F.col("hashtag_id")).alias("doc"), "mixed_text")
+    back = [maps_of_entries(F.col(f"id.`{f.name}`"), f.dataType).alias(f.name) for f in rest]
+    rows = texts.select(F.struct(*back, F.col("hashtag_id").alias("source")).alias("doc"), "mixed_text")
     return with_text(rows, docs.columns, F.col("mixed_text"))
 
 
@@ -68,6 +71,34 @@ def whole(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
 
 
+def _entries(kind: T.MapType) -> T.ArrayType:
+    return T.ArrayType(T.StructType().add("key", kind.keyType).add("value", kind.valueType))
+
+
+def _inside(column: Column, kind: T.DataType, change) -> Column:
+    """``change`` at the elements or fields of a column that hold maps; a null stays one."""
+    if "map<" not in kind.simpleString():
+        return column
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: change(x, kind.elementType))
+    fields = [change(column[f.name], f.dataType).alias(f.name) for f in kind.fields]
+    return F.when(column.isNotNull(), F.struct(*fields))
+
+
+def entries_for_maps(column: Column, kind: T.DataType) -> Column:
+    """Maps, at any depth, as arrays of their entries: a row with maps can be neither hashed nor grouped."""
+    if isinstance(kind, T.MapType):
+        column, kind = F.map_entries(column), _entries(kind)
+    return _inside(column, kind, entries_for_maps)
+
+
+def maps_of_entries(column: Column, kind: T.DataType) -> Column:
+    """Turns back what ``entries_for_maps`` did to a column of type ``kind``."""
+    if isinstance(kind, T.MapType):
+        return F.map_from_entries(_inside(column, _entries(kind), maps_of_entries))
+    return _inside(column, kind, maps_of_entries)
+
+
 def with_text(rows: DataFrame, columns: list[str], text) -> DataFrame:
     """The columns of documents, out of ``doc``, with another text and its length."""
     new = {"text": text, "n_chars": F.length(text).cast("long")}
