@@ -110,6 +110,24 @@ def test_the_mix_keeps_the_columns_of_each_row(spark, sf_dir):
         assert set(r["text"].split()) <= set(text.split())
 
 
+def test_stages_take_tables_with_maps(spark, sf_dir):
+    maps = {
+        "tags": "map('a', 1, 'b', cast(null as int))", "none": "cast(null as map<string,int>)",
+        "deep": "array(named_struct('k.x', map(1, map('z', doc_id)), 'y', 2), null)", "empty": "cast(map() as map<string,string>)",
+    }
+    rows = [(1, caption(90, 300), "a"), (2, caption(91, 300), "b"), (3, caption(92, 300), None), (None, caption(93, 300), "b"), (5, None, "b")]
+    given = docs(spark, rows).selectExpr("*", *[f"{sql} AS {name}" for name, sql in maps.items()])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, given, sf_dir)
+        assert out.dtypes == given.dtypes, name
+        found = {r["doc_id"]: r for r in out.collect()}
+        assert len(found) >= 4, name
+        for i, r in found.items():
+            assert (r["tags"], r["none"], r["empty"]) == ({"a": 1, "b": None}, None, {})
+            assert r["deep"][0]["k.x"] == {1: {"z": i}} and r["deep"][0]["y"] == 2 and r["deep"][1] is None
+    assert corpus_pipeline.encode(spark, given, sf_dir).count() == len(rows)
+
+
 def test_every_operator_is_registered():
     names = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert names == list(range(1, 11)) and len(corpus_pipeline.STAGES) == 5
+    assert names == list(range(1, 14)) and len(corpus_pipeline.STAGES) == 5
