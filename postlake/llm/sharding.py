@@ -57,11 +57,11 @@ def shard_posts(
             "bucket": (first + F.pmod("spread", many)).cast("int"),
         }
     )
-    # Where each bucket starts in its shard: one row per bucket.
+    # Where each bucket starts in its shard: one row per bucket, dealt like the buckets so that their join moves no record.
     per_bucket = dealt.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     starts = per_bucket.selectExpr(
         "bucket AS b", "sum(n) OVER (PARTITION BY shard ORDER BY bucket) - n AS first_slot"
-    )
+    ).repartitionById(firsts[-1], "b")
     scattered = dealt.repartitionById(firsts[-1], "bucket").sortWithinPartitions("bucket", "key", F.expr("post.caption"))
     row = F.struct("post", "size", "shard", "grown_shard").alias("row")
     mixed = scattered.groupBy("bucket").agg(F.collect_list(row).alias("rows"))
