@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +13,12 @@ TRAILING_PERIODS = r"\.+$"
 MAX_VALUE_LENGTH = 255
 
 # Code points of the white space that may surround a tag name.
-BLANK_POINTS = "0009-000D 0020 00A0 1680 2000-200A 2028 2029 202F 205F 3000 FEFF"
-
-_BLANK = "[" + re.sub(r"[0-9A-F]{4}", r"\\x{\g<0>}", BLANK_POINTS.replace(" ", "")) + "]+"
+BLANK = r"[\x{0009}-\x{000D}\x{0020}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]+"
 
 
 def normalize_tag(raw: Column) -> Column:
     """``  ##Matcha `` -> ``matcha``."""
-    trimmed = F.regexp_replace(raw, f"^{_BLANK}|{_BLANK}$", "")
+    trimmed = F.regexp_replace(raw, f"^{BLANK}|{BLANK}$", "")
     return strip_tag(trimmed)
 
 

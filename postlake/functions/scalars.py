@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postlake.functions.captions import BLANK
 from postlake.schemas import USAGE_ENTRY
 
 # Content types with a known file extension.
@@ -64,7 +65,7 @@ def effective_rank(source: Column, position: Column) -> Column:
 
 def extension_for(content_type: Column) -> Column:
     table = F.create_map(*[F.lit(x) for pair in EXTENSIONS.items() for x in pair])
-    bare = F.lower(F.trim(F.split(content_type, ";").getItem(0)))
+    bare = F.lower(F.regexp_replace(F.split(content_type, ";").getItem(0), f"^{BLANK}|{BLANK}$", ""))
     return F.coalesce(F.try_element_at(table, bare), F.lit(DEFAULT_EXTENSION))
 
 

@@ -14,7 +14,7 @@ from postlake.session import staged
 from postlake.sources.bronze import with_page_items
 
 # Error codes and statuses by what they mean.
-AUTH_CODES = (102, 190, 463, 467)
+AUTH_CODES = (190, 102, 463, 467)
 THROTTLE_CODES = (4, 17, 32, 613, 80004)
 TOO_LARGE_CODE = 1
 TOO_LARGE_TEXT = r"(?i)reduce the amount of data"

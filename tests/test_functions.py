@@ -62,7 +62,7 @@ def test_source_timestamps(spark):
 
 @pytest.mark.parametrize(
     "content_type, extension",
-    [("image/jpeg", ".jpg"), (" Image/PNG ; q=1", ".png"), ("video/quicktime", ".mov"), ("text/html", ".bin"), ("", ".bin"), (None, ".bin")],
+    [("image/jpeg", ".jpg"), (" Image/PNG ; q=1", ".png"), ("video/quicktime", ".mov"), ("\timage/gif\u00a0;x", ".gif"), ("text/html", ".bin"), ("", ".bin"), (None, ".bin")],
 )
 def test_extensions(spark, content_type, extension):
     assert one(spark, fn.extension_for(F.col("v")), content_type) == extension
